@@ -1,12 +1,15 @@
 """Local wall-clock time <-> UTC with explicit handling of DST edges.
 
-All timestamps are ``timestamp_ntz``: a local wall-clock value in, the UTC
-wall-clock value out. Nothing depends on ``spark.sql.session.timeZone``.
+Timestamps are ``timestamp_ntz``: a local wall-clock value in, the UTC
+wall-clock value out. With the session zone at UTC (``session.SQL_CONF``) the
+codegen'd ``from_utc_timestamp`` does the zone arithmetic; under any other
+session zone ``convert_timezone`` (zone-independent, slower) is used instead,
+so results never depend on the session zone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOCAL_ZONE
@@ -16,8 +19,9 @@ def _day() -> Column:
     return F.expr("INTERVAL '1' DAY")
 
 
-def _to_local(utc: Column, tz: str) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+def _session_is_utc() -> bool:
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Z", "+00:00", "Etc/UTC")
 
 
 def localize(
@@ -29,32 +33,44 @@ def localize(
     """Interpret ``local`` as wall-clock time in ``tz``; return UTC.
 
     The offsets in force one day before and one day after give two candidate
-    instants. A candidate is valid when it maps back to ``local``. No valid
-    candidate: the time falls in a gap (non-existent). Two different valid
-    candidates: the time is repeated (ambiguous). Either case is NULL by
-    default; otherwise the earlier instant is kept for ambiguous times and
-    Spark's forward shift for gaps. Assumes at most one offset change within
-    a day either side, which holds for civil time zones.
+    instants. Equal offsets (almost every value): the candidate is the
+    answer. Otherwise a candidate is valid when it maps back to ``local``. No
+    valid candidate: the time falls in a gap (non-existent). Two different
+    valid candidates: the time is repeated (ambiguous). Either case is NULL
+    by default; otherwise the earlier instant is kept for ambiguous times and
+    the forward shift for gaps. Assumes at most one offset change within a
+    day either side, which holds for civil time zones.
     """
+    if _session_is_utc():
+        x = local.cast("timestamp")
+
+        def to_local(u: Column) -> Column:
+            return F.from_utc_timestamp(u, tz)
+
+        shifted = F.to_utc_timestamp(x, tz)
+    else:
+        x = local
+
+        def to_local(u: Column) -> Column:
+            return F.convert_timezone(F.lit("UTC"), F.lit(tz), u)
+
+        shifted = F.convert_timezone(F.lit(tz), F.lit("UTC"), x)
+
     day = _day()
-    before = local - (_to_local(local - day, tz) - (local - day))
-    after = local - (_to_local(local + day, tz) - (local + day))
-    ok_before = _to_local(before, tz) == local
-    ok_after = _to_local(after, tz) == local
+    off_before = to_local(x - day) - (x - day)
+    off_after = to_local(x + day) - (x + day)
+    before = x - off_before
+    after = x - off_after
+    ok_before = to_local(before) == x
+    ok_after = to_local(after) == x
     ambiguous = ok_before & ok_after & (before != after)
     missing = ~ok_before & ~ok_after
-    shifted = F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
-    value = (
-        F.when(ok_before & ok_after, F.least(before, after))
-        .when(ok_before, before)
-        .when(ok_after, after)
-        .otherwise(shifted)
-    )
+    edge = F.when(ok_before & ok_after, F.least(before, after)).when(ok_before, before).when(ok_after, after)
     if ambiguous_null:
-        value = F.when(ambiguous, F.lit(None)).otherwise(value)
-    if nonexistent_null:
-        value = F.when(missing, F.lit(None)).otherwise(value)
-    return value
+        edge = F.when(ambiguous, F.lit(None)).otherwise(edge)
+    edge = F.when(missing, F.lit(None) if nonexistent_null else shifted).otherwise(edge)
+    value = F.when(x.isNull(), F.lit(None)).when(off_before == off_after, before).otherwise(edge)
+    return value.cast("timestamp_ntz")
 
 
 def local_year(local: Column) -> Column:

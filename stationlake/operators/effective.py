@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # A broadcast history is copied to every executor. Below this many rows (a
 # station history has a few thousand) the copy is cheap; beyond it the join
 # is bucketed by month and shuffled on (key, month).
@@ -34,6 +36,7 @@ def effective_dated_join(
     how: str = "left",
     dim_key: str | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    materialize_dim: bool = True,
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
@@ -42,9 +45,15 @@ def effective_dated_join(
     both sides get a month bucket, the history exploded over the months its
     interval covers (clipped to the fact's time range), and the join is an
     equi-join on (key, month), so a hot key is spread over its months.
+
+    A derived history is first written once to the shared folder
+    (``materialize_dim``): the size check is then a metadata read and the
+    join does not recompute it.
     """
     dim_key = dim_key or key
     d = dim.withColumnRenamed(dim_key, "__dk")
+    if materialize_dim:
+        d = materialize(d, "history")
     if has_at_most(d, max_broadcast_rows):
         cond = (
             (F.col(key) == F.col("__dk"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings every job relies on. They are runtime-settable, so they can be
 # applied to a session someone else built (``configure``).
@@ -72,3 +73,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stationlake-"))
         base = sc.getCheckpointDir()
     return "/".join([base.rstrip("/"), *parts])
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the plan) and makes the row count a metadata read.
+    """
+    path = shared_dir(df.sparkSession, "materialized", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -29,6 +29,10 @@ from ..schemas import MISSING, clean_name
 MAX_BROADCAST_FILES = 200_000
 
 
+def _pos(name: str) -> str:
+    return "__p_" + name.replace(".", "_")
+
+
 def read_lines(
     spark: SparkSession, paths: str | Sequence[str], encoding: str = "UTF-8", glob: str | None = None
 ) -> DataFrame:
@@ -59,13 +63,15 @@ def read_delimited(
     encoding: str = "UTF-8",
     glob: str | None = None,
     sentinel: str | None = MISSING,
+    renames: Mapping[str, str] | None = None,
     max_broadcast_files: int = MAX_BROADCAST_FILES,
 ) -> DataFrame:
     """Typed columns named ``clean_name(header)``.
 
     ``columns`` maps the header cell as published (e.g. ``"  FX"``) to a Spark
     type name. Values are trimmed, the text sentinel becomes NULL before any
-    cast, and casts that fail give NULL. The result also carries ``file``.
+    cast, and casts that fail give NULL. ``renames`` maps clean names to
+    output names (e.g. dotted names). The result also carries ``file``.
     """
     wanted = {clean_name(h): t for h, t in columns.items()}
     lines = read_lines(spark, paths, encoding, glob)
@@ -78,7 +84,7 @@ def read_delimited(
     )
     positions = header.select(
         F.col("file").alias("__file"),
-        *[F.array_position(F.col("h"), F.lit(name)).cast("int").alias(f"__p_{name}") for name in wanted],
+        *[F.array_position(F.col("h"), F.lit(name)).cast("int").alias(_pos(name)) for name in wanted],
     )
     if len(lines.inputFiles()) <= max_broadcast_files:
         positions = F.broadcast(positions)
@@ -87,11 +93,11 @@ def read_delimited(
     data = data.withColumn("__cells", cells).join(positions, F.col("file") == F.col("__file"))
 
     def pick(name: str, dtype: str):
-        pos = F.col(f"__p_{name}")
+        pos = F.col(_pos(name))
         raw = F.when(pos > 0, F.try_element_at(F.col("__cells"), pos))
         value = null_sentinel(raw, sentinel) if sentinel is not None else F.trim(raw)
         if dtype != "string":
             value = value.try_cast(dtype)
-        return value.alias(name)
+        return value.alias((renames or {}).get(name, name))
 
     return data.select("file", *[pick(n, t) for n, t in wanted.items()])

@@ -1,0 +1,123 @@
+"""Readers: header binding, sections, links, archives."""
+
+import io
+import zipfile
+
+from pyspark.sql import functions as F
+
+from stationlake.sources import (
+    explode_archives,
+    extract_links,
+    new_files,
+    read_archives,
+    read_delimited,
+    read_sectioned,
+    resolve_links,
+    route_members,
+    section_lines,
+)
+
+
+def _write(path, text, encoding="utf-8", newline="\n"):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(text.replace("\n", newline).encode(encoding))
+
+
+def test_delimited_binds_each_file_by_its_header(spark, tmp_path):
+    _write(tmp_path / "a.txt", "STATIONS_ID;  FX;  FM;eor\n   44; 10.5;  3.0;eor\n")
+    _write(tmp_path / "b.txt", "STATIONS_ID;  FM;  FX;extra;eor\n  123; 1.0; 20.0;x;eor\n")
+    _write(tmp_path / "c.txt", "STATIONS_ID;  FX\n    7;-999\n\n")
+    df = read_delimited(spark, str(tmp_path), {"STATIONS_ID": "string", "  FX": "double", "  FM": "double"}, "STATIONS_ID")
+    got = sorted((r.stations_id, r.fx, r.fm) for r in df.collect())
+    assert got == [("123", 20.0, 1.0), ("44", 10.5, 3.0), ("7", None, None)]
+
+
+def test_delimited_latin1_and_dotted_names(spark, tmp_path):
+    _write(
+        tmp_path / "Metadaten_Geographie_1.txt",
+        "Stations_id;Geogr.Breite;Stationsname\n   44;52.93;Großenkneten\n",
+        encoding="latin-1",
+    )
+    df = read_delimited(
+        spark, str(tmp_path), {"Stations_id": "string", "Geogr.Breite": "double", "Stationsname": "string"},
+        "Stations_id", encoding="ISO-8859-1", renames={"geogr.breite": "geogr_breite"},
+    )
+    r = df.first()
+    assert (r.stations_id, r.geogr_breite, r.stationsname) == ("44", 52.93, "Großenkneten")
+
+
+OPERATOR_TEXT = (
+    "Legende\n\nStations_ID;Betreibername;Von_Datum;Bis_Datum\n"
+    "          44;Deutscher Wetterdienst;19370101;19691231\n"
+    "          44;Deutscher Wetterdienst;19700101;        \n"
+    "generiert: 01.01.2024\n"
+)
+
+
+def test_sectioned_crlf_footer_and_missing_marker(spark, tmp_path):
+    marker = "\n\nStations_ID;Betreibername;Von_Datum;Bis_Datum\n "
+    _write(tmp_path / "Metadaten_Stationsname_Betreibername_44.txt", OPERATOR_TEXT, "latin-1", "\r\n")
+    _write(tmp_path / "Metadaten_Stationsname_Betreibername_99.txt", "no table here\r\n", "latin-1")
+    one = "x\n\nStations_ID;Betreibername;Von_Datum;Bis_Datum\n  5;Ämter;20000101;\nfooter\n"
+    _write(tmp_path / "Metadaten_Stationsname_Betreibername_5.txt", one, "latin-1")
+    rows, rejects = read_sectioned(spark, str(tmp_path), marker, ["a", "b", "c", "d"])
+    got = {(r.a, r.b, r.c, r.d) for r in rows.collect()}
+    # The marker ends in a blank, so only the first data line loses one.
+    assert got == {
+        (" 5", "Ämter", "20000101", ""),
+        ("         44", "Deutscher Wetterdienst", "19370101", "19691231"),
+        ("          44", "Deutscher Wetterdienst", "19700101", "        "),
+    }
+    assert [r.file.rsplit("/", 1)[-1] for r in rejects.collect()] == ["Metadaten_Stationsname_Betreibername_99.txt"]
+
+
+def test_section_lines_whole_text(spark):
+    df = spark.createDataFrame([(1, "a\r\nb\nc\n"), (2, "only"), (3, "x\n\ny\n")], "id int, t string")
+    got = sorted(tuple(r) for r in section_lines(df, "t", keep=["id"]).collect())
+    assert got == [(1, 0, "a"), (1, 1, "b"), (3, 0, "x"), (3, 1, "")]
+
+
+def test_links_keep_resolve_and_new(spark):
+    pages = spark.createDataFrame(
+        [
+            ("https://h.example/recent/", '<a href="a.zip">a</a><A HREF=\'b.txt\'>b</A><a href="c.html">c</a><a class="x" href="/d.pdf">'),
+            ("https://h.example/historical/", '<a href="a.zip">a</a><a href="e.zip">e</a>'),
+        ],
+        "url string, html string",
+    )
+    links = extract_links(pages, "html", keep=".pdf$|.txt$|.zip$", carry=["url"])
+    got = sorted((r.url.split("/")[-2], r.href) for r in links.collect())
+    assert got == [("historical", "a.zip"), ("historical", "e.zip"), ("recent", "/d.pdf"), ("recent", "a.zip"), ("recent", "b.txt")]
+    abs_ = links.select(resolve_links(F.col("url"), F.col("href")).alias("u"))
+    assert "https://h.example/d.pdf" in [r.u for r in abs_.collect()]
+    stored = links.filter(F.col("url").contains("recent")).select("href")
+    fresh = new_files(links.filter(F.col("url").contains("historical")).select("href"), stored, "href")
+    assert [r.href for r in fresh.collect()] == ["e.zip"]
+
+
+def _zip_bytes(members):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        for name, body in members.items():
+            zf.writestr(name, body)
+    return buf.getvalue()
+
+
+def test_archives_explode_and_route(spark, tmp_path):
+    content = _zip_bytes(
+        {
+            "produkt_klima_tag_19370101_20231231_00044.txt": "a;b\n",
+            "Metadaten_Geographie_00044.txt": "g\n",
+            "Metadaten_Geraete_00044.html": "<html/>",
+            "unrelated.pdf": "x",
+        }
+    )
+    (tmp_path / "tageswerte_KL_00044.zip").write_bytes(content)
+    members = route_members(read_archives(spark, str(tmp_path)))
+    got = sorted((r.member, r.route) for r in members.collect())
+    assert got == [
+        ("Metadaten_Geographie_00044.txt", "metadata"),
+        ("produkt_klima_tag_19370101_20231231_00044.txt", "tables"),
+    ]
+    df = spark.createDataFrame([("z", bytearray(content))], "archive string, content binary")
+    assert explode_archives(df).count() == 4
