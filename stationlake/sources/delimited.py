@@ -73,8 +73,23 @@ def read_delimited(
     cast, and casts that fail give NULL. ``renames`` maps clean names to
     output names (e.g. dotted names). The result also carries ``file``.
     """
-    wanted = {clean_name(h): t for h, t in columns.items()}
     lines = read_lines(spark, paths, encoding, glob)
+    few_files = len(lines.inputFiles()) <= max_broadcast_files
+    return bind_by_header(lines, columns, id_column, sep, sentinel, renames, broadcast_headers=few_files)
+
+
+def bind_by_header(
+    lines: DataFrame,
+    columns: Mapping[str, str],
+    id_column: str,
+    sep: str = ";",
+    sentinel: str | None = MISSING,
+    renames: Mapping[str, str] | None = None,
+    broadcast_headers: bool = True,
+) -> DataFrame:
+    """(file, line) rows -> typed columns, each file bound by its own header
+    line (the line whose first cell names ``id_column``)."""
+    wanted = {clean_name(h): t for h, t in columns.items()}
     cells = F.split(F.col("line"), sep, -1)
     id_name = clean_name(id_column)
     is_header = F.lower(F.replace(F.get(cells, 0), F.lit(" "), F.lit(""))) == F.lit(id_name)
@@ -86,7 +101,7 @@ def read_delimited(
         F.col("file").alias("__file"),
         *[F.array_position(F.col("h"), F.lit(name)).cast("int").alias(_pos(name)) for name in wanted],
     )
-    if len(lines.inputFiles()) <= max_broadcast_files:
+    if broadcast_headers:
         positions = F.broadcast(positions)
 
     data = lines.filter(~is_header & (F.trim(F.col("line")) != ""))
