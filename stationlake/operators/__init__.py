@@ -12,6 +12,7 @@ from .quality import (
     quality_report,
     raise_on_error,
 )
+from .partitioning import spread
 from .union import union_categories
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "quality_report",
     "raise_on_error",
     "union_categories",
+    "spread",
 ]

@@ -87,7 +87,7 @@ def effective_dated_join(
 
 def intervals_from_starts(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     ts: str,
     touching: bool = False,
     bucket: str = "day",
@@ -105,20 +105,14 @@ def intervals_from_starts(
     task: within (key, time bucket) by a window, and across buckets from one
     row per (key, bucket) (its first start), joined back on (key, bucket).
     """
-    b = df.select(key, ts, *extra).withColumn("__b", F.date_trunc(bucket, F.col(ts)))
-    inner = Window.partitionBy(key, "__b").orderBy(ts, *tiebreak)
+    keys = [key] if isinstance(key, str) else list(key)
+    b = df.select(*keys, ts, *extra).withColumn("__b", F.date_trunc(bucket, F.col(ts)))
+    inner = Window.partitionBy(*keys, "__b").orderBy(ts, *tiebreak)
     b = b.withColumn("__next", F.lead(ts).over(inner))
-    firsts = b.groupBy(key, "__b").agg(F.min(ts).alias("__first"))
-    across = Window.partitionBy(key).orderBy("__b")
-    firsts = firsts.select(
-        key, "__b", F.lead("__first").over(across).alias("__next_bucket")
-    )
-    b = b.join(firsts, [key, "__b"], "left")
+    firsts = b.groupBy(*keys, "__b").agg(F.min(ts).alias("__first"))
+    across = Window.partitionBy(*keys).orderBy("__b")
+    firsts = firsts.select(*keys, "__b", F.lead("__first").over(across).alias("__next_bucket"))
+    b = b.join(firsts, [*keys, "__b"], "left")
     nxt = F.coalesce(F.col("__next"), F.col("__next_bucket"))
     end = nxt if touching else nxt - F.expr("INTERVAL '0.000001' SECOND")
-    return b.select(
-        key,
-        *extra,
-        F.col(ts).alias("start"),
-        end.alias("end"),
-    )
+    return b.select(*keys, *extra, F.col(ts).alias("start"), end.alias("end"))

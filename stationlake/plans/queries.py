@@ -48,12 +48,13 @@ from ..operators import (
     intervals_from_starts,
     keep_first,
     quality_report,
+    spread,
     time_slice,
     top_k,
     total_order,
     union_categories,
 )
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 from ..sinks import write_partitioned
 from ..sources import explode_archives, extract_links, new_files, route_members, section_lines
 from ..sources.tables import read_parquet
@@ -114,34 +115,36 @@ def dedup_latest(spark, sf_dir):
 
 def event_histories(spark, sf_dir, touching: bool):
     """Two per-user histories from the events: 'signup' events open a new
-    location interval, 'error' events a new operator interval."""
+    location interval, 'error' events a new operator interval. Both are
+    built in one job (keyed by user and kind) and written once."""
     ev = table(spark, sf_dir, "events")
-    geo = intervals_from_starts(
-        ev.filter(F.col("event_type") == "signup").select(
-            "user_id", "ts", F.col("event_id").alias("geo_event_id"), F.col("value").alias("geo_value")
-        ),
-        "user_id",
-        "ts",
-        touching=touching,
-        extra=["geo_event_id", "geo_value"],
-        tiebreak=["geo_event_id"],
-    ).withColumnsRenamed({"start": "geo_start", "end": "geo_end"})
-    op = intervals_from_starts(
-        ev.filter(F.col("event_type") == "error").select(
-            "user_id", "ts", F.col("event_id").alias("op_event_id"), F.col("value").alias("op_value")
+    starts = ev.filter(F.col("event_type").isin("signup", "error")).select(
+        "user_id", F.col("event_type").alias("kind"), "ts", "event_id", "value"
+    )
+    both = materialize(
+        intervals_from_starts(
+            starts, ["user_id", "kind"], "ts", touching=touching, extra=["event_id", "value"], tiebreak=["event_id"]
         ),
-        "user_id",
-        "ts",
-        touching=touching,
-        extra=["op_event_id", "op_value"],
-        tiebreak=["op_event_id"],
-    ).withColumnsRenamed({"start": "op_start", "end": "op_end"})
-    return ev, geo, op
+        "event_histories",
+    )
+
+    def kind(name: str, prefix: str) -> DataFrame:
+        return both.filter(F.col("kind") == name).select(
+            "user_id",
+            F.col("event_id").alias(f"{prefix}_event_id"),
+            F.col("value").alias(f"{prefix}_value"),
+            F.col("start").alias(f"{prefix}_start"),
+            F.col("end").alias(f"{prefix}_end"),
+        )
+
+    return ev, kind("signup", "geo"), kind("error", "op")
 
 
 def effective_fact(spark, sf_dir, touching: bool, max_broadcast_rows=None):
     ev, geo, op = event_histories(spark, sf_dir, touching)
-    kw = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
+    kw = {"materialize_dim": False}
+    if max_broadcast_rows is not None:
+        kw["max_broadcast_rows"] = max_broadcast_rows
     fact = ev.select("event_id", "user_id", "ts", "event_type")
     fact = effective_dated_join(fact, geo, "user_id", "ts", "geo_start", "geo_end", **kw)
     fact = effective_dated_join(fact, op, "user_id", "ts", "op_start", "op_end", **kw)
@@ -275,7 +278,7 @@ FROM (SELECT l_orderkey, l_linenumber, '202402' || CAST(l_linenumber + 25 AS VAR
 """,
 )
 def parse_dates(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     raw = F.concat(F.lit("202402"), (F.col("l_linenumber") + 25).cast("string"))
     return li.select("l_orderkey", "l_linenumber", raw.alias("raw_date")).withColumn(
         "parsed", parse_yyyymmdd("raw_date")
@@ -522,7 +525,7 @@ SELECT doc_id, line_no, line FROM (
 """,
 )
 def section_lines_q(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return section_lines(docs, "text", marker=None, keep=["doc_id"])
 
 
@@ -577,11 +580,10 @@ def new_files_q(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-def _write_orders_by_month(spark, sf_dir) -> str:
+def _write_orders_by_month(spark, sf_dir, times: int = 1) -> str:
     orders = table(spark, sf_dir, "orders").withColumn("month", year_month(F.col("o_orderdate")))
     path = shared_dir(spark, "orders_by_month", uuid.uuid4().hex)
-    # Written twice: the second full refresh must replace, not append.
-    for _ in range(2):
+    for _ in range(times):
         write_partitioned(orders, path, ["month"], cluster_by="o_orderdate")
     return path
 
@@ -591,7 +593,8 @@ def _write_orders_by_month(spark, sf_dir) -> str:
     "SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders",
 )
 def partition_roundtrip(spark, sf_dir):
-    return read_parquet(spark, _write_orders_by_month(spark, sf_dir), {"month": "string"})
+    # Written twice: the second full refresh must replace, not append.
+    return read_parquet(spark, _write_orders_by_month(spark, sf_dir, times=2), {"month": "string"})
 
 
 @query(
@@ -657,7 +660,7 @@ SELECT member, route, n_bytes FROM (
 """,
 )
 def archive_members(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
     archives = docs.mapInPandas(_zip_documents, "archive string, content binary")
     members = route_members(explode_archives(archives))
     return members.select("member", "route", F.length("body").cast("long").alias("n_bytes"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -54,7 +54,8 @@ from ..schemas import (
     QUALITY_LEVELS,
     STAGING_COLUMNS,
 )
-from ..sinks import write_csv, write_partitioned
+from ..operators import distinct_values, group_max, top_k
+from ..sinks import create_view, write_csv, write_partitioned
 from ..sources import read_delimited, read_sectioned
 
 GEO_CSV_SCHEMA = (
@@ -129,18 +130,31 @@ def fetch_operator(
     return rows.drop("file"), rejects
 
 
-def run_raw(spark: SparkSession, root: str, out: str) -> dict[str, str]:
+def run_raw(spark: SparkSession, root: str, out: str, counts: dict[str, int] | None = None) -> dict[str, str]:
     """Raw -> clean files: measurements by local year (gzip Parquet, sorted
-    by time), histories as CSV with header. Full refresh."""
+    by time), histories as CSV with header. Full refresh.
+
+    Row counts are observed while writing (no second job) and stored in
+    ``counts`` when given.
+    """
     main = transform_measurements(fetch_measurements(spark, root))
     geo = transform_history(fetch_geo(spark, root), "stations_id", ["von_datum", "bis_datum"])
     op_rows, _ = fetch_operator(spark, root)
     op = transform_history(op_rows, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])
-    return {
-        "main": write_partitioned(main, f"{out}/main", ["year"], cluster_by="mess_datum"),
+    obs = {name: Observation(name) for name in ("main", "metadata_geo", "metadata_operator")}
+    geo = geo.observe(obs["metadata_geo"], F.count(F.lit(1)).alias("rows"))
+    op = op.observe(obs["metadata_operator"], F.count(F.lit(1)).alias("rows"))
+    paths = {
+        "main": write_partitioned(
+            main, f"{out}/main", ["year"], cluster_by="mess_datum", compression="gzip", observation=obs["main"]
+        ),
+        # The histories are a few thousand rows: one file each.
         "metadata_geo": write_csv(geo.coalesce(1), f"{out}/metadata_geo"),
         "metadata_operator": write_csv(op.coalesce(1), f"{out}/metadata_operator"),
     }
+    if counts is not None:
+        counts.update({name: o.get["rows"] for name, o in obs.items()})
+    return paths
 
 
 # ---------------------------------------------------------------------------
@@ -240,7 +254,9 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str
     """Raw files -> published fact (by UTC month, clustered by time) and the
     quality report of the published table."""
     main, geo_raw, op_raw = read_raw(spark, paths)
-    stg = stg_measurements(main)
+    # The staging model is a view: evaluated inside the fact build.
+    create_view(stg_measurements(main), "stg_measurements")
+    stg = spark.table("stg_measurements")
     geo, op = dim_geo(geo_raw), dim_operator(op_raw)
     fact = fact_measurements(stg, geo, op)
     path = write_partitioned(
@@ -251,3 +267,31 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str
     )
     published = spark.read.parquet(path)
     return path, quality_report(fact_checks(published, geo, op))
+
+
+# ---------------------------------------------------------------------------
+# Analytics on the fact (the exploratory queries)
+# ---------------------------------------------------------------------------
+
+
+def station_year_max(fact: DataFrame, value: str = "max_temperature_2m_c_qn4") -> DataFrame:
+    """Highest value per station and year, highest first."""
+    out = group_max(
+        fact, ["station_id", F.year("dt_measurement_utc").alias("year")], value, "max_value"
+    )
+    return out.orderBy(F.col("max_value").desc_nulls_last(), "station_id", "year")
+
+
+def years_since(fact: DataFrame, since: str = "1900-01-01") -> DataFrame:
+    """Distinct years with measurements on or after ``since``, newest first."""
+    recent = fact.filter(F.to_date("dt_measurement_utc") >= F.lit(since).cast("date"))
+    return distinct_values(recent, F.year("dt_measurement_utc"), "year").orderBy(F.col("year").desc())
+
+
+def hottest_days(fact: DataFrame, k: int = 40) -> DataFrame:
+    """The ``k`` highest daily maxima (ties by station and time)."""
+    return top_k(
+        fact.filter(F.col("max_temperature_2m_c_qn4").isNotNull()),
+        k,
+        [F.col("max_temperature_2m_c_qn4").desc(), F.col("station_id"), F.col("dt_measurement_utc")],
+    )

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: str | None, partitions: int | None) -> DataFrame:
@@ -30,14 +31,23 @@ def write_partitioned(
     path: str,
     partition_by: Sequence[str],
     cluster_by: str | None = None,
-    compression: str = "gzip",
+    compression: str = "snappy",
     mode: str = "overwrite",
     partitions: int | None = None,
     max_records_per_file: int | None = None,
+    observation: Observation | None = None,
 ) -> str:
     """Hive-style partitioned Parquet. With the session's dynamic overwrite
-    mode only the partitions present in ``df`` are replaced."""
-    w = _clustered(df, partition_by, cluster_by, partitions).write.mode(mode)
+    mode only the partitions present in ``df`` are replaced.
+
+    ``observation`` receives the written row count (``rows``). It is taken
+    after the range shuffle, so the partitioner's sampling pass over the
+    input does not count.
+    """
+    out = _clustered(df, partition_by, cluster_by, partitions)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    w = out.write.mode(mode)
     w = w.option("compression", compression)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)

@@ -100,3 +100,15 @@ def test_decode_unknown_is_null(spark):
     df = spark.createDataFrame([(1,), (6,), (7,), (None,)], "c int")
     got = [r.l for r in df.select(decode_codes("c").alias("l")).collect()]
     assert got == ["Credit card", "Voided trip", None, None]
+
+
+def test_parse_matches_try_to_date(spark):
+    # every day number 00-39 of every month 00-13 in leap and common years,
+    # plus malformed text
+    rows = [(f"{y}{m:02d}{d:02d}",) for y in (1900, 2000, 2023, 2024, 1) for m in range(14) for d in range(40)]
+    rows += [("2024021",), ("202402011",), ("2024-2-1",), ("abcdefgh",), ("",), ("00010101",)]
+    df = spark.createDataFrame(rows, "s string")
+    got = df.select("s", parse_yyyymmdd("s").alias("a"),
+                    F.expr("cast(try_to_date(s, 'yyyyMMdd') as timestamp_ntz)").alias("b"))
+    bad = got.filter("not (a <=> b)").collect()
+    assert bad == []

@@ -82,14 +82,21 @@ def raw_root(tmp_path_factory):
     return root
 
 
+COUNTS: dict = {}
+
+
 @pytest.fixture(scope="module")
 def built(spark, raw_root, tmp_path_factory):
     out = tmp_path_factory.mktemp("out")
-    paths = weather.run_raw(spark, str(raw_root), str(out / "raw"))
+    paths = weather.run_raw(spark, str(raw_root), str(out / "raw"), counts=COUNTS)
     fact_path, report = weather.run_marts(spark, paths, str(out / "marts"))
     return paths, fact_path, report
 
 
+def test_observed_counts(built):
+    assert COUNTS == {"main": 7, "metadata_geo": 4, "metadata_operator": 1}
+
+
 def _key(station, ts):
     return hashlib.md5(f"{station}-{ts:%Y-%m-%d %H:%M:%S}+00".encode()).hexdigest()
 
@@ -170,3 +177,33 @@ def test_operator_rejects_missing_marker(spark, raw_root, tmp_path):
         assert rejects.count() == 1
     finally:
         bad.unlink()
+
+
+def test_fact_analytics(spark, built):
+    _, fact_path, _ = built
+    fact = spark.read.parquet(fact_path)
+    top = weather.station_year_max(fact).collect()
+    # years of the UTC timestamp; highest first, NULL last
+    assert [(r.station_id, r.year, r.max_value) for r in top] == [
+        ("123456", 2022, 4.0),
+        ("00044", 2023, 3.0),
+        ("00044", 2022, 2.4),
+        ("12345", 2022, None),
+    ]
+    assert [r.year for r in weather.years_since(fact).collect()] == [2023, 2022]
+    assert weather.hottest_days(fact, 2).count() == 2
+
+
+def test_publish_table_and_slice(spark, built):
+    from stationlake.operators import time_slice
+    from stationlake.sinks import publish_table
+
+    _, fact_path, _ = built
+    fact = spark.read.parquet(fact_path)
+    publish_table(fact, "fact_measurements", ["month"], cluster_by="dt_measurement_utc")
+    t = spark.table("fact_measurements")
+    assert t.count() == 5
+    jan = time_slice(t, "dt_measurement_utc", "2023-01-01", "2023-02-01", partition_col="month")
+    assert jan.count() == 1
+    publish_table(fact, "fact_measurements", ["month"], cluster_by="dt_measurement_utc")
+    assert spark.table("fact_measurements").count() == 5
