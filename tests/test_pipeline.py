@@ -207,3 +207,12 @@ def test_publish_table_and_slice(spark, built):
     assert jan.count() == 1
     publish_table(fact, "fact_measurements", ["month"], cluster_by="dt_measurement_utc")
     assert spark.table("fact_measurements").count() == 5
+
+
+def test_staging_test_run(spark, built):
+    paths, _, _ = built
+    main, _, _ = weather.read_raw(spark, paths)
+    full = weather.stg_measurements(main)
+    sample = weather.stg_measurements(main, test_run=True)
+    assert sample.count() == full.count() == 4  # fewer than the 100-row cap
+    assert [r.measurement_id for r in sample.collect()] == sorted(r.measurement_id for r in full.collect())
