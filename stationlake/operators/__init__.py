@@ -11,6 +11,7 @@ from .quality import (
     check_unique,
     quality_report,
     raise_on_error,
+    row_checks,
 )
 from .partitioning import spread
 from .union import union_categories
@@ -32,6 +33,7 @@ __all__ = [
     "check_unique",
     "quality_report",
     "raise_on_error",
+    "row_checks",
     "union_categories",
     "spread",
 ]

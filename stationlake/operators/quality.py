@@ -77,9 +77,73 @@ def _failures(check: Check) -> DataFrame:
     )
 
 
-def quality_report(checks: Sequence[Check]) -> DataFrame:
-    """One row per check with status pass / warn / fail."""
-    rows = [_failures(c) for c in checks]
+def row_checks(
+    df: DataFrame,
+    not_null: Sequence[tuple[str, str]] = (),
+    accepted: Sequence[tuple[str, Sequence, str]] = (),
+) -> DataFrame:
+    """Row-level checks of one table in two passes instead of one per check.
+
+    ``not_null``: (column, severity) pairs, counted in one global
+    aggregation. ``accepted``: (column, values, severity) triples; every
+    column's outside values are stacked into (check, value) pairs, reduced to
+    distinct pairs (partial aggregation) and counted per check. Rows in the
+    report schema of ``quality_report`` (without status).
+    """
+    parts = []
+    if not_null:
+        counts = df.agg(
+            *[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"n{i}") for i, (c, _) in enumerate(not_null)]
+        )
+        for i, (c, sev) in enumerate(not_null):
+            parts.append(
+                counts.select(
+                    F.lit("not_null").alias("check_name"),
+                    F.lit(c).alias("column_name"),
+                    F.lit(sev).alias("severity"),
+                    F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("long").alias("failures"),
+                )
+            )
+    if accepted:
+        pairs = F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("check"),
+                    F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(values)), F.col(c).cast("string")).alias("value"),
+                )
+                for i, (c, values, _) in enumerate(accepted)
+            ]
+        )
+        bad = (
+            df.select(F.inline(pairs))
+            .filter(F.col("value").isNotNull())
+            .distinct()
+            .groupBy("check")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        meta = df.sparkSession.createDataFrame(
+            [(i, c, sev) for i, (c, _, sev) in enumerate(accepted)], "check int, column_name string, severity string"
+        )
+        parts.append(
+            F.broadcast(meta)
+            .join(bad, "check", "left")
+            .select(
+                F.lit("accepted_values").alias("check_name"),
+                "column_name",
+                "severity",
+                F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("failures"),
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def quality_report(checks: Sequence[Check], reports: Sequence[DataFrame] = ()) -> DataFrame:
+    """One row per check with status pass / warn / fail. ``reports`` are
+    already-counted rows (e.g. from ``row_checks``)."""
+    rows = [_failures(c) for c in checks] + list(reports)
     report = rows[0]
     for r in rows[1:]:
         report = report.unionByName(r)

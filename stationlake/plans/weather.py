@@ -30,13 +30,12 @@ from ..functions import (
 )
 from ..operators import (
     Check,
-    check_accepted_values,
-    check_not_null,
     check_relationships,
     check_unique,
     effective_dated_join,
     keep_first,
     quality_report,
+    row_checks,
     total_order,
     union_categories,
 )
@@ -228,19 +227,24 @@ def fact_measurements(stg: DataFrame, geo: DataFrame, op: DataFrame, **join_opti
     return f.select(*FACT_COLUMNS)
 
 
-def fact_checks(fact: DataFrame, geo: DataFrame, op: DataFrame) -> list[Check]:
-    """The declared tests of the fact table."""
-    return [
+def fact_checks(fact: DataFrame, geo: DataFrame, op: DataFrame) -> tuple[list[Check], DataFrame]:
+    """The declared tests of the fact table: the key and referential checks
+    as their own jobs, the row-level ones fused into two passes."""
+    checks = [
         Check("unique", "measurement_id", check_unique(fact, "measurement_id"), "warn"),
-        Check("not_null", "measurement_id", check_not_null(fact, "measurement_id"), "warn"),
-        Check("not_null", "station_id", check_not_null(fact, "station_id"), "warn"),
         Check("relationships", "station_id->dim_geo", check_relationships(fact, "station_id", geo, "station_id"), "warn", count_rows=True),
         Check("relationships", "station_id->dim_operator", check_relationships(fact, "station_id", op, "station_id"), "warn", count_rows=True),
-        Check("not_null", "dt_measurement_utc", check_not_null(fact, "dt_measurement_utc"), "warn"),
-        Check("accepted_values", "quality_niveau_3", check_accepted_values(fact, "quality_niveau_3", QUALITY_LEVELS)),
-        Check("accepted_values", "quality_niveau_4", check_accepted_values(fact, "quality_niveau_4", QUALITY_LEVELS)),
-        Check("accepted_values", "precipitation_type_qn4", check_accepted_values(fact, "precipitation_type_qn4", PRECIPITATION_FORMS)),
     ]
+    rows = row_checks(
+        fact,
+        not_null=[("measurement_id", "warn"), ("station_id", "warn"), ("dt_measurement_utc", "warn")],
+        accepted=[
+            ("quality_niveau_3", QUALITY_LEVELS, "error"),
+            ("quality_niveau_4", QUALITY_LEVELS, "error"),
+            ("precipitation_type_qn4", PRECIPITATION_FORMS, "error"),
+        ],
+    )
+    return checks, rows
 
 
 def read_raw(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -266,7 +270,8 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str
         cluster_by="dt_measurement_utc",
     )
     published = spark.read.parquet(path)
-    return path, quality_report(fact_checks(published, geo, op))
+    checks, rows = fact_checks(published, geo, op)
+    return path, quality_report(checks, [rows])
 
 
 # ---------------------------------------------------------------------------

@@ -113,3 +113,19 @@ def test_quality_report_statuses(spark):
         ("accepted_values", 0, "pass"),
         ("accepted_values", 2, "fail"),
     ]
+
+
+def test_row_checks_match_single_checks(spark):
+    from stationlake.operators import row_checks
+
+    df = spark.createDataFrame(
+        [(1, "a", 3), (None, "b", 3), (2, None, 7), (3, "q", 7), (4, "q", 8)], "k long, v string, c int"
+    )
+    fused = quality_report([], [row_checks(df, [("k", "warn"), ("v", "warn")], [("v", ["a", "b"], "error"), ("c", [3, 7, 8], "error")])])
+    got = sorted((r.check_name, r.column_name, r.failures, r.status) for r in fused.collect())
+    assert got == [
+        ("accepted_values", "c", 0, "pass"),
+        ("accepted_values", "v", 1, "fail"),  # one distinct bad value: 'q'
+        ("not_null", "k", 1, "warn"),
+        ("not_null", "v", 1, "warn"),
+    ]
