@@ -538,7 +538,8 @@ PAGE_LINK_KEEP = r"^/[A-Za-z]+$"
     r"""
 SELECT page_id, href FROM (
   SELECT page_id,
-         replace(unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)),
+         replace(regexp_replace(unnest(regexp_extract_all(html,
+                   '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)), '^["'']|["'']$', '', 'g'),
                  '&amp;', '&') AS href
   FROM pages
 ) WHERE regexp_matches(href, '^/[A-Za-z]+$')
@@ -556,7 +557,8 @@ _CATEGORY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([a-z]{2})/"
     r"""
 WITH links AS (
   SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([a-z]{2})/', 1) AS category,
-         replace(unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)),
+         replace(regexp_replace(unnest(regexp_extract_all(html,
+                   '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)), '^["'']|["'']$', '', 'g'),
                  '&amp;', '&') AS href
   FROM pages
 )

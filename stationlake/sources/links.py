@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Anchor tags with a quoted href (RE2 and Java agree on this pattern).
-HREF_PATTERN = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# Anchor tags with an href, quoted or not (RE2 and Java agree on these).
+HREF_PATTERN = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+QUOTES_PATTERN = r"""^["']|["']$"""
 _ROOT = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)"
 
 
@@ -19,7 +20,7 @@ def extract_links(
     anchored): (*carry, href). ``&amp;`` is decoded as an HTML parser would."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(HREF_PATTERN), F.lit(1))
     out = pages.select(*carry, F.explode(hrefs).alias("href")).withColumn(
-        "href", F.replace(F.col("href"), F.lit("&amp;"), F.lit("&"))
+        "href", F.replace(F.regexp_replace(F.col("href"), QUOTES_PATTERN, ""), F.lit("&amp;"), F.lit("&"))
     )
     if keep:
         out = out.filter(F.col("href").rlike(keep))

@@ -80,14 +80,17 @@ def test_section_lines_whole_text(spark):
 def test_links_keep_resolve_and_new(spark):
     pages = spark.createDataFrame(
         [
-            ("https://h.example/recent/", '<a href="a.zip">a</a><A HREF=\'b.txt\'>b</A><a href="c.html">c</a><a class="x" href="/d.pdf">'),
+            ("https://h.example/recent/", '<a href="a.zip">a</a><A HREF=\'b.txt\'>b</A><a href="c.html">c</a><a class="x" href="/d.pdf"><a href=f.zip>f</a>'),
             ("https://h.example/historical/", '<a href="a.zip">a</a><a href="e.zip">e</a>'),
         ],
         "url string, html string",
     )
     links = extract_links(pages, "html", keep=".pdf$|.txt$|.zip$", carry=["url"])
     got = sorted((r.url.split("/")[-2], r.href) for r in links.collect())
-    assert got == [("historical", "a.zip"), ("historical", "e.zip"), ("recent", "/d.pdf"), ("recent", "a.zip"), ("recent", "b.txt")]
+    assert got == [
+        ("historical", "a.zip"), ("historical", "e.zip"),
+        ("recent", "/d.pdf"), ("recent", "a.zip"), ("recent", "b.txt"), ("recent", "f.zip"),
+    ]
     abs_ = links.select(resolve_links(F.col("url"), F.col("href")).alias("u"))
     assert "https://h.example/d.pdf" in [r.u for r in abs_.collect()]
     stored = links.filter(F.col("url").contains("recent")).select("href")
