@@ -56,7 +56,7 @@ from ..operators import (
 )
 from ..session import materialize, shared_dir
 from ..sinks import write_partitioned
-from ..sources import explode_archives, extract_links, new_files, route_members, section_lines
+from ..sources import explode_archives, extract_links, new_files, read_delimited, route_members, section_lines
 from ..sources.tables import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -611,6 +611,68 @@ def partition_slice(spark, sf_dir):
     return time_slice(df, "o_orderdate", "1996-01-01", "1996-07-01", partition_col="month")
 
 
+# ---------------------------------------------------------------------------
+# Delimited text bound by header
+# ---------------------------------------------------------------------------
+
+# Header cells as the files carry them (blank-padded), and their types.
+EVENT_TEXT_COLUMNS = {
+    "EVENT_ID": "long",
+    "  TS": "timestamp_ntz",
+    "USER_ID": "long",
+    "  EVENT_TYPE": "string",
+    " VALUE": "double",
+}
+
+
+def _write_event_text(spark, sf_dir) -> str:
+    """The events as ';' text with header, the two categories written with
+    different column orders, NULL written as the -999 sentinel."""
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("EVENT_ID"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("  TS"),
+        F.col("user_id").alias("USER_ID"),
+        F.col("event_type").alias("  EVENT_TYPE"),
+        F.col("value").alias(" VALUE"),
+    )
+    path = shared_dir(spark, "event_text", uuid.uuid4().hex)
+    cut = F.col("  TS") < F.lit("2024-01-15")
+    layouts = {
+        "historical": (cut, list(EVENT_TEXT_COLUMNS)),
+        "recent": (~cut, list(reversed(EVENT_TEXT_COLUMNS))),
+    }
+    for category, (cond, order) in layouts.items():
+        (
+            ev.filter(cond)
+            .select(*[F.col(f"`{c}`") for c in order])
+            .write.mode("overwrite")
+            .option("header", "true")
+            .option("sep", ";")
+            .option("nullValue", "-999")
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .csv(f"{path}/{category}")
+        )
+    return path
+
+
+@query(
+    "delimited_roundtrip",
+    """
+SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 'historical' ELSE 'recent' END AS category
+FROM events
+""",
+)
+def delimited_roundtrip(spark, sf_dir):
+    path = _write_event_text(spark, sf_dir)
+    parts = {
+        c: read_delimited(spark, f"{path}/{c}", EVENT_TEXT_COLUMNS, "EVENT_ID", glob="*.csv").drop("file")
+        for c in ("historical", "recent")
+    }
+    return union_categories(parts)
+
+
 # ---------------------------------------------------------------------------
 # archives
 # ---------------------------------------------------------------------------

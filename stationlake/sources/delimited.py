@@ -6,7 +6,7 @@ values swapped. Here each line is split once and every file is bound by its
 own header line, in a single scan:
 
 1. all lines of all files, with their file path (``_metadata.file_path``);
-2. header lines (the first cell names the id column) give, per file, the
+2. header lines (a cell names the id column) give, per file, the
    position of each wanted column;
 3. data lines are joined to their file's positions and the cells picked.
 
@@ -88,15 +88,16 @@ def bind_by_header(
     broadcast_headers: bool = True,
 ) -> DataFrame:
     """(file, line) rows -> typed columns, each file bound by its own header
-    line (the line whose first cell names ``id_column``)."""
+    line (the line with a cell naming ``id_column``)."""
     wanted = {clean_name(h): t for h, t in columns.items()}
     cells = F.split(F.col("line"), sep, -1)
+    names = F.transform(cells, lambda z: F.lower(F.replace(z, F.lit(" "), F.lit(""))))
     id_name = clean_name(id_column)
-    is_header = F.lower(F.replace(F.get(cells, 0), F.lit(" "), F.lit(""))) == F.lit(id_name)
+    # A header line has a cell naming the id column, wherever it stands. The
+    # substring test is cheap and rules out data lines before any split.
+    is_header = F.lower(F.col("line")).contains(id_name) & F.array_contains(names, id_name)
 
-    header = lines.filter(is_header).select(
-        "file", F.transform(cells, lambda z: F.lower(F.replace(z, F.lit(" "), F.lit("")))).alias("h")
-    )
+    header = lines.filter(is_header).select("file", names.alias("h"))
     positions = header.select(
         F.col("file").alias("__file"),
         *[F.array_position(F.col("h"), F.lit(name)).cast("int").alias(_pos(name)) for name in wanted],

@@ -27,9 +27,10 @@ def test_delimited_binds_each_file_by_its_header(spark, tmp_path):
     _write(tmp_path / "a.txt", "STATIONS_ID;  FX;  FM;eor\n   44; 10.5;  3.0;eor\n")
     _write(tmp_path / "b.txt", "STATIONS_ID;  FM;  FX;extra;eor\n  123; 1.0; 20.0;x;eor\n")
     _write(tmp_path / "c.txt", "STATIONS_ID;  FX\n    7;-999\n\n")
+    _write(tmp_path / "d.txt", "  FM;  FX;STATIONS_ID\n 2.0; 9.0;    8\n")
     df = read_delimited(spark, str(tmp_path), {"STATIONS_ID": "string", "  FX": "double", "  FM": "double"}, "STATIONS_ID")
     got = sorted((r.stations_id, r.fx, r.fm) for r in df.collect())
-    assert got == [("123", 20.0, 1.0), ("44", 10.5, 3.0), ("7", None, None)]
+    assert got == [("123", 20.0, 1.0), ("44", 10.5, 3.0), ("7", None, None), ("8", 9.0, 2.0)]
 
 
 def test_delimited_latin1_and_dotted_names(spark, tmp_path):
