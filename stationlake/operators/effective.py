@@ -12,13 +12,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
-# A broadcast history is copied to every executor. Below this many rows (a
-# station history has a few thousand) the copy is cheap; beyond it the join
-# is bucketed by month and shuffled on (key, month).
-MAX_BROADCAST_ROWS = 2_000_000
+# A broadcast history is copied to every executor. Up to this many rows and
+# this estimated size (a station history has a few thousand rows) the copy
+# is cheap; beyond it the join is bucketed by month and shuffled on
+# (key, month).
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
@@ -26,6 +29,20 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row: 8 per fixed-width value, 48 per string or
+    other variable-width value, plus a 16-byte row header."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return 16 + sum(8 if isinstance(f.dataType, fixed) else 48 for f in df.schema.fields)
+
+
+def broadcastable(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Row count (proved, never counted past the bound) and estimated size
+    are both below the bounds."""
+    rows = min(max_rows, max_bytes // row_width(df))
+    return has_at_most(df, rows)
+
+
 def effective_dated_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -36,11 +53,13 @@ def effective_dated_join(
     how: str = "left",
     dim_key: str | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     materialize_dim: bool = True,
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
-    Small history (row count checked): broadcast hash join on ``key`` with the
+    Small history (row count and estimated bytes checked): broadcast hash
+    join on ``key`` with the
     range as residual condition; the fact is not shuffled. Large history:
     both sides get a month bucket, the history exploded over the months its
     interval covers (clipped to the fact's time range), and the join is an
@@ -54,7 +73,7 @@ def effective_dated_join(
     d = dim.withColumnRenamed(dim_key, "__dk")
     if materialize_dim:
         d = materialize(d, "history")
-    if has_at_most(d, max_broadcast_rows):
+    if broadcastable(d, max_broadcast_rows, max_broadcast_bytes):
         cond = (
             (F.col(key) == F.col("__dk"))
             & (F.col(ts) >= F.col(start))

@@ -14,7 +14,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     of many files already has enough splits and is returned unchanged, so
     no shuffle is added where the scan parallelises by itself.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(target) if splits < target else df

@@ -65,10 +65,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     The cluster names that folder; it is read from the session. Only when it
     is unset on a local master (tests, laptops) is a fresh one created.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    base = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stationlake-"))
         base = sc.getCheckpointDir()
