@@ -55,7 +55,8 @@ from ..schemas import (
 )
 from ..operators import distinct_values, group_max, top_k
 from ..sinks import create_view, write_csv, write_partitioned
-from ..sources import read_delimited, read_sectioned
+from ..sources import read_delimited, read_sectioned, read_table
+from ..sources.tables import read_csv_table, read_parquet
 
 GEO_CSV_SCHEMA = (
     "stations_id string, stationshoehe double, geogr_breite double, geogr_laenge double, "
@@ -248,9 +249,9 @@ def fact_checks(fact: DataFrame, geo: DataFrame, op: DataFrame) -> tuple[list[Ch
 
 
 def read_raw(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    main = spark.read.parquet(paths["main"]).withColumn("year", F.col("year").cast("string"))
-    geo = spark.read.schema(GEO_CSV_SCHEMA).option("header", "true").csv(paths["metadata_geo"])
-    op = spark.read.schema(OPERATOR_CSV_SCHEMA).option("header", "true").csv(paths["metadata_operator"])
+    main = read_parquet(spark, paths["main"], {"year": "string"})
+    geo = read_csv_table(spark, paths["metadata_geo"], GEO_CSV_SCHEMA)
+    op = read_csv_table(spark, paths["metadata_operator"], OPERATOR_CSV_SCHEMA)
     return main, geo, op
 
 
@@ -260,7 +261,7 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str
     main, geo_raw, op_raw = read_raw(spark, paths)
     # The staging model is a view: evaluated inside the fact build.
     create_view(stg_measurements(main), "stg_measurements")
-    stg = spark.table("stg_measurements")
+    stg = read_table(spark, "stg_measurements")
     geo, op = dim_geo(geo_raw), dim_operator(op_raw)
     fact = fact_measurements(stg, geo, op)
     path = write_partitioned(

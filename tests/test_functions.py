@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import (
     cast_int_rounded,
+    clean_column_names,
+    try_cast_columns,
     clean_station_id,
     concat_nullable,
     decode_codes,
@@ -112,3 +114,11 @@ def test_parse_matches_try_to_date(spark):
                     F.expr("cast(try_to_date(s, 'yyyyMMdd') as timestamp_ntz)").alias("b"))
     bad = got.filter("not (a <=> b)").collect()
     assert bad == []
+
+
+def test_clean_names_and_cast_map(spark):
+    df = spark.createDataFrame([("44", " 12", "x")], "`STATIONS_ID` string, `  SHK_TAG` string, `Geogr.Breite` string")
+    df = clean_column_names(df, {"geogr.breite": "geogr_breite"})
+    assert df.columns == ["stations_id", "shk_tag", "geogr_breite"]
+    r = try_cast_columns(df.withColumn("shk_tag", F.trim("shk_tag")), {"shk_tag": "int", "geogr_breite": "double"}).first()
+    assert (r.shk_tag, r.geogr_breite) == (12, None)
