@@ -35,6 +35,7 @@ from ..operators import (
     effective_dated_join,
     keep_first,
     quality_report,
+    raise_on_error,
     row_checks,
     total_order,
     union_categories,
@@ -301,3 +302,42 @@ def hottest_days(fact: DataFrame, k: int = 40) -> DataFrame:
         k,
         [F.col("max_temperature_2m_c_qn4").desc(), F.col("station_id"), F.col("dt_measurement_utc")],
     )
+
+
+# ---------------------------------------------------------------------------
+# Whole run
+# ---------------------------------------------------------------------------
+
+
+def run_all(spark: SparkSession, root: str, out: str, fail_on_error: bool = True) -> dict:
+    """Raw files -> clean files -> published fact -> checked report.
+
+    ``root`` holds ``<category>/tables`` and ``<category>/metadata`` folders
+    (the unpacked archives); ``out`` is the shared output folder. Warn-level
+    failures are reported; error-level failures raise when ``fail_on_error``.
+    """
+    counts: dict[str, int] = {}
+    paths = run_raw(spark, root, f"{out}/raw", counts=counts)
+    fact_path, report = run_marts(spark, paths, f"{out}/marts")
+    rows = raise_on_error(report) if fail_on_error else report.collect()
+    return {"paths": {**paths, "fact": fact_path}, "rows": counts, "report": [r.asDict() for r in rows]}
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    import argparse
+    import json
+
+    from ..session import build_session
+
+    ap = argparse.ArgumentParser(description="Build the observation star schema.")
+    ap.add_argument("root", help="folder with <category>/tables and <category>/metadata")
+    ap.add_argument("out", help="shared output folder")
+    ap.add_argument("--master", default=None, help="e.g. local[8]; omit on a cluster")
+    ap.add_argument("--warn-only", action="store_true", help="do not fail on error-level checks")
+    args = ap.parse_args(argv)
+    spark = build_session(master=args.master)
+    print(json.dumps(run_all(spark, args.root, args.out, not args.warn_only), default=str, indent=2))
+
+
+if __name__ == "__main__":
+    main()

@@ -216,3 +216,12 @@ def test_staging_test_run(spark, built):
     sample = weather.stg_measurements(main, test_run=True)
     assert sample.count() == full.count() == 4  # fewer than the 100-row cap
     assert [r.measurement_id for r in sample.collect()] == sorted(r.measurement_id for r in full.collect())
+
+
+def test_run_all(spark, raw_root, tmp_path):
+    res = weather.run_all(spark, str(raw_root), str(tmp_path / "all"))
+    assert res["rows"]["main"] == 7
+    statuses = {(r["check_name"], r["column_name"]): r["status"] for r in res["report"]}
+    assert statuses[("unique", "measurement_id")] == "warn"
+    assert "fail" not in statuses.values()
+    assert spark.read.parquet(res["paths"]["fact"]).count() == 5
