@@ -71,7 +71,7 @@ def _put(path, text, encoding="utf-8"):
 
 @pytest.fixture(scope="module")
 def raw_root(tmp_path_factory):
-    root = tmp_path_factory.mktemp("dwd")
+    root = tmp_path_factory.mktemp("raw")
     _put(root / "recent/tables/produkt_klima_tag_20220101_20231231_00044.txt", RECENT_44, "latin-1")
     _put(root / "recent/tables/produkt_klima_tag_20220101_20231231_123456.txt", RECENT_123456, "latin-1")
     _put(root / "recent/tables/produkt_klima_tag_20220101_20231231_12345.txt", RECENT_12345, "latin-1")
