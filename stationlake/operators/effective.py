@@ -18,7 +18,7 @@ from ..session import materialize
 
 # A broadcast history is copied to every executor. Up to this many rows and
 # this estimated size (a station history has a few thousand rows) the copy
-# is cheap; beyond it the join is bucketed by month and shuffled on
+# is cheap; beyond it the join is bucketed by time and shuffled on
 # (key, month).
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 << 20
@@ -55,6 +55,7 @@ def effective_dated_join(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     materialize_dim: bool = True,
+    bucket: str = "month",
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
@@ -65,6 +66,10 @@ def effective_dated_join(
     interval covers (clipped to the fact's time range), and the join is an
     equi-join on (key, month), so a hot key is spread over its months.
 
+    ``bucket`` ("month" or "year") trades the history's growth (one row per
+    bucket its interval covers; open intervals reach the fact's last
+    timestamp) against the size of the largest (key, bucket) cell.
+
     A derived history is first written once to the shared folder
     (``materialize_dim``): the size check is then a metadata read and the
     join does not recompute it.
@@ -84,17 +89,17 @@ def effective_dated_join(
     lo, hi = fact.agg(F.min(ts), F.max(ts)).first()
     if lo is None:
         return fact.join(d, F.lit(False), how).drop("__dk")
-    first_month = F.date_trunc("month", F.greatest(F.col(start), F.lit(lo)))
-    last_month = F.date_trunc("month", F.least(F.coalesce(F.col(end), F.lit(hi)), F.lit(hi)))
+    first_bucket = F.date_trunc(bucket, F.greatest(F.col(start), F.lit(lo)))
+    last_bucket = F.date_trunc(bucket, F.least(F.coalesce(F.col(end), F.lit(hi)), F.lit(hi)))
     d = (
         d.filter(F.col(start).isNotNull() & (F.col(start) <= F.lit(hi)))
         .filter(F.col(end).isNull() | (F.col(end) >= F.lit(lo)))
         .withColumn(
             "__bucket",
-            F.explode(F.sequence(first_month, last_month, F.expr("INTERVAL 1 MONTH"))),
+            F.explode(F.sequence(first_bucket, last_bucket, F.expr(f"INTERVAL 1 {bucket.upper()}"))),
         )
     )
-    f = fact.withColumn("__fbucket", F.date_trunc("month", F.col(ts)))
+    f = fact.withColumn("__fbucket", F.date_trunc(bucket, F.col(ts)))
     cond = (
         (F.col(key) == F.col("__dk"))
         & (F.col("__fbucket") == F.col("__bucket"))

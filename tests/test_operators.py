@@ -78,8 +78,9 @@ def test_effective_join_broadcast(spark):
 
 def test_effective_join_bucketed_matches(spark):
     fact, dim = _fact_dim(spark)
-    j = effective_dated_join(fact, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0)
-    assert sorted([(r.station_id, r.ts, r.name) for r in j.collect()], key=str) == EXPECTED
+    for bucket in ("month", "year"):
+        j = effective_dated_join(fact, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0, bucket=bucket)
+        assert sorted([(r.station_id, r.ts, r.name) for r in j.collect()], key=str) == EXPECTED
 
 
 def test_intervals_from_starts_matches_window_lead(spark):
