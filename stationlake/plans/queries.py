@@ -56,7 +56,15 @@ from ..operators import (
 )
 from ..session import materialize, shared_dir
 from ..sinks import write_partitioned
-from ..sources import explode_archives, extract_links, new_files, read_delimited, route_members, section_lines
+from ..sources import (
+    explode_archives,
+    extract_links,
+    new_files,
+    read_delimited,
+    read_sectioned,
+    route_members,
+    section_lines,
+)
 from ..sources.tables import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -673,6 +681,47 @@ def delimited_roundtrip(spark, sf_dir):
     return union_categories(parts)
 
 
+# ---------------------------------------------------------------------------
+# Sectioned files
+# ---------------------------------------------------------------------------
+
+SECTION_HEADER = "Stations_ID;Betreibername;Von_Datum;Bis_Datum"
+
+
+def _sectioned_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One sectioned file per task: preamble, blank line, header, the rows
+    (ids right-aligned as published), footer; CRLF line ends."""
+    yield pd.DataFrame({"value": ["Stationsname / Betreibername\r", "\r", SECTION_HEADER + "\r"]})
+    for batch in batches:
+        lines = [
+            f"{doc_id:>12};{source};{lang};\r" for doc_id, source, lang in zip(batch["doc_id"], batch["source"], batch["lang"])
+        ]
+        yield pd.DataFrame({"value": lines})
+    yield pd.DataFrame({"value": ["generiert: footer\r"]})
+
+
+@query(
+    "sectioned_roundtrip",
+    """
+SELECT CAST(doc_id AS VARCHAR) AS stations_id, source AS betreibername, lang AS betrieb_von_datum,
+       '' AS betrieb_bis_datum
+FROM documents
+""",
+)
+def sectioned_roundtrip(spark, sf_dir):
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"))
+    path = shared_dir(spark, "sectioned", uuid.uuid4().hex)
+    docs.mapInPandas(_sectioned_lines, "value string").write.mode("overwrite").text(path)
+    rows, _ = read_sectioned(
+        spark,
+        path,
+        "\n\n" + SECTION_HEADER + "\n ",
+        ["stations_id", "betreibername", "betrieb_von_datum", "betrieb_bis_datum"],
+        glob="*.txt",
+    )
+    return rows.drop("file").withColumn("stations_id", F.replace("stations_id", F.lit(" "), F.lit("")))
+
+
 # ---------------------------------------------------------------------------
 # archives
 # ---------------------------------------------------------------------------
