@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize_counted
 
 # A broadcast history is copied to every executor. Up to this many rows and
 # this estimated size (a station history has a few thousand rows) the copy
@@ -56,6 +56,7 @@ def effective_dated_join(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     materialize_dim: bool = True,
     bucket: str = "month",
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
@@ -71,14 +72,20 @@ def effective_dated_join(
     timestamp) against the size of the largest (key, bucket) cell.
 
     A derived history is first written once to the shared folder
-    (``materialize_dim``): the size check is then a metadata read and the
-    join does not recompute it.
+    (``materialize_dim``), its rows counted during that write: the join does
+    not recompute it and the size check needs no job. ``dim_rows`` passes a
+    count already known for ``dim``.
     """
     dim_key = dim_key or key
     d = dim.withColumnRenamed(dim_key, "__dk")
     if materialize_dim:
-        d = materialize(d, "history")
-    if broadcastable(d, max_broadcast_rows, max_broadcast_bytes):
+        d, metrics = materialize_counted(d, "history")
+        dim_rows = metrics["rows"]
+    if dim_rows is not None:
+        small = dim_rows <= min(max_broadcast_rows, max_broadcast_bytes // row_width(d))
+    else:
+        small = broadcastable(d, max_broadcast_rows, max_broadcast_bytes)
+    if small:
         cond = (
             (F.col(key) == F.col("__dk"))
             & (F.col(ts) >= F.col(start))

@@ -54,7 +54,7 @@ from ..operators import (
     total_order,
     union_categories,
 )
-from ..session import materialize, shared_dir
+from ..session import materialize_counted, shared_dir
 from ..sinks import write_partitioned
 from ..sources import (
     explode_archives,
@@ -129,11 +129,13 @@ def event_histories(spark, sf_dir, touching: bool):
     starts = ev.filter(F.col("event_type").isin("signup", "error")).select(
         "user_id", F.col("event_type").alias("kind"), "ts", "event_id", "value"
     )
-    both = materialize(
+    both, counts = materialize_counted(
         intervals_from_starts(
             starts, ["user_id", "kind"], "ts", touching=touching, extra=["event_id", "value"], tiebreak=["event_id"]
         ),
         "event_histories",
+        signup=F.count_if(F.col("kind") == "signup"),
+        error=F.count_if(F.col("kind") == "error"),
     )
 
     def kind(name: str, prefix: str) -> DataFrame:
@@ -145,17 +147,17 @@ def event_histories(spark, sf_dir, touching: bool):
             F.col("end").alias(f"{prefix}_end"),
         )
 
-    return ev, kind("signup", "geo"), kind("error", "op")
+    return ev, (kind("signup", "geo"), counts["signup"]), (kind("error", "op"), counts["error"])
 
 
 def effective_fact(spark, sf_dir, touching: bool, max_broadcast_rows=None):
-    ev, geo, op = event_histories(spark, sf_dir, touching)
+    ev, (geo, geo_rows), (op, op_rows) = event_histories(spark, sf_dir, touching)
     kw = {"materialize_dim": False}
     if max_broadcast_rows is not None:
         kw["max_broadcast_rows"] = max_broadcast_rows
     fact = ev.select("event_id", "user_id", "ts", "event_type")
-    fact = effective_dated_join(fact, geo, "user_id", "ts", "geo_start", "geo_end", **kw)
-    fact = effective_dated_join(fact, op, "user_id", "ts", "op_start", "op_end", **kw)
+    fact = effective_dated_join(fact, geo, "user_id", "ts", "geo_start", "geo_end", dim_rows=geo_rows, **kw)
+    fact = effective_dated_join(fact, op, "user_id", "ts", "op_start", "op_end", dim_rows=op_rows, **kw)
     return fact.select(
         "event_id",
         "user_id",
@@ -286,7 +288,7 @@ FROM (SELECT l_orderkey, l_linenumber, '202402' || CAST(l_linenumber + 25 AS VAR
 """,
 )
 def parse_dates(spark, sf_dir):
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = spread(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
     raw = F.concat(F.lit("202402"), (F.col("l_linenumber") + 25).cast("string"))
     return li.select("l_orderkey", "l_linenumber", raw.alias("raw_date")).withColumn(
         "parsed", parse_yyyymmdd("raw_date")
@@ -533,7 +535,7 @@ SELECT doc_id, line_no, line FROM (
 """,
 )
 def section_lines_q(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = spread(table(spark, sf_dir, "documents"), ["doc_id"])
     return section_lines(docs, "text", marker=None, keep=["doc_id"])
 
 
@@ -709,7 +711,7 @@ FROM documents
 """,
 )
 def sectioned_roundtrip(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), ["doc_id"])
     path = shared_dir(spark, "sectioned", uuid.uuid4().hex)
     docs.mapInPandas(_sectioned_lines, "value string").write.mode("overwrite").text(path)
     rows, _ = read_sectioned(
@@ -773,7 +775,7 @@ SELECT member, route, n_bytes FROM (
 """,
 )
 def archive_members(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), ["doc_id"])
     archives = docs.mapInPandas(_zip_documents, "archive string, content binary")
     members = route_members(explode_archives(archives))
     return members.select("member", "route", F.length("body").cast("long").alias("n_bytes"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # SQL settings every job relies on. They are runtime-settable, so they can be
 # applied to a session someone else built (``configure``).
@@ -87,3 +88,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, "materialized", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` plus row counts observed during the write (``rows``
+    and any named aggregate in ``counts``), so no second job counts them."""
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]]
+    out = materialize(df.observe(obs, *metrics), name)
+    return out, obs.get
