@@ -256,20 +256,31 @@ def read_raw(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, Dat
     return main, geo, op
 
 
-def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str, DataFrame]:
-    """Raw files -> published fact (by UTC month, clustered by time) and the
-    quality report of the published table."""
+def build_fact(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fact with its month column, dim_geo, dim_operator) from the raw files.
+
+    One shuffle for the whole fact build: a range partition on (day,
+    station) puts every station-day in one task (what the dedup window
+    needs) and gives each task a contiguous time range (what the
+    month-partitioned, time-clustered write needs). The history joins are
+    broadcast and keep this partitioning.
+    """
     main, geo_raw, op_raw = read_raw(spark, paths)
+    main = main.repartitionByRange("mess_datum", "stations_id")
     # The staging model is a view: evaluated inside the fact build.
     create_view(stg_measurements(main), "stg_measurements")
     stg = read_table(spark, "stg_measurements")
     geo, op = dim_geo(geo_raw), dim_operator(op_raw)
     fact = fact_measurements(stg, geo, op)
+    return fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op
+
+
+def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str, DataFrame]:
+    """Raw files -> published fact (by UTC month, clustered by time) and the
+    quality report of the published table."""
+    fact, geo, op = build_fact(spark, paths)
     path = write_partitioned(
-        fact.withColumn("month", year_month(F.col("dt_measurement_utc"))),
-        f"{out}/fact_measurements",
-        ["month"],
-        cluster_by="dt_measurement_utc",
+        fact, f"{out}/fact_measurements", ["month"], cluster_by="dt_measurement_utc", range_partitioned=True
     )
     published = spark.read.parquet(path)
     checks, rows = fact_checks(published, geo, op)

@@ -16,10 +16,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: str | None, partitions: int | None) -> DataFrame:
+def _clustered(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    cluster_by: str | None,
+    partitions: int | None,
+    range_partitioned: bool = False,
+) -> DataFrame:
     if cluster_by is None:
         return df
-    if partitions:
+    if range_partitioned:
+        pass
+    elif partitions:
         df = df.repartitionByRange(partitions, cluster_by)
     else:
         df = df.repartitionByRange(cluster_by)
@@ -36,6 +44,7 @@ def write_partitioned(
     partitions: int | None = None,
     max_records_per_file: int | None = None,
     observation: Observation | None = None,
+    range_partitioned: bool = False,
 ) -> str:
     """Hive-style partitioned Parquet. With the session's dynamic overwrite
     mode only the partitions present in ``df`` are replaced.
@@ -43,8 +52,12 @@ def write_partitioned(
     ``observation`` receives the written row count (``rows``). It is taken
     after the range shuffle, so the partitioner's sampling pass over the
     input does not count.
+
+    ``range_partitioned``: ``df`` is already range-partitioned on the
+    clustering time (e.g. by an upstream step that needed that shuffle
+    anyway); only the local sort is added.
     """
-    out = _clustered(df, partition_by, cluster_by, partitions)
+    out = _clustered(df, partition_by, cluster_by, partitions, range_partitioned)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode(mode)

@@ -225,3 +225,14 @@ def test_run_all(spark, raw_root, tmp_path):
     assert statuses[("unique", "measurement_id")] == "warn"
     assert "fail" not in statuses.values()
     assert spark.read.parquet(res["paths"]["fact"]).count() == 5
+
+
+def test_fact_build_shuffles_once(spark, built):
+    from planutil import plan_text
+
+    paths, _, _ = built
+    fact, _, _ = weather.build_fact(spark, paths)
+    plan = plan_text(fact.sortWithinPartitions("month", "dt_measurement_utc"), "simple")
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert len(exchanges) == 1 and "rangepartitioning" in exchanges[0], plan
+    assert plan.count("BroadcastHashJoin") == 2
