@@ -596,7 +596,7 @@ def _write_orders_by_month(spark, sf_dir, times: int = 1) -> str:
     orders = table(spark, sf_dir, "orders").withColumn("month", year_month(F.col("o_orderdate")))
     path = shared_dir(spark, "orders_by_month", uuid.uuid4().hex)
     for _ in range(times):
-        write_partitioned(orders, path, ["month"], cluster_by="o_orderdate")
+        write_partitioned(orders, path, ["month"], cluster_by=["o_orderdate", "o_orderkey"])
     return path
 
 

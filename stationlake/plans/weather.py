@@ -147,7 +147,12 @@ def run_raw(spark: SparkSession, root: str, out: str, counts: dict[str, int] | N
     op = op.observe(obs["metadata_operator"], F.count(F.lit(1)).alias("rows"))
     paths = {
         "main": write_partitioned(
-            main, f"{out}/main", ["year"], cluster_by="mess_datum", compression="gzip", observation=obs["main"]
+            main,
+            f"{out}/main",
+            ["year"],
+            cluster_by=["mess_datum", "stations_id"],
+            compression="gzip",
+            observation=obs["main"],
         ),
         # The histories are a few thousand rows: one file each.
         "metadata_geo": write_csv(geo.coalesce(1), f"{out}/metadata_geo"),
@@ -280,7 +285,11 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str
     quality report of the published table."""
     fact, geo, op = build_fact(spark, paths)
     path = write_partitioned(
-        fact, f"{out}/fact_measurements", ["month"], cluster_by="dt_measurement_utc", range_partitioned=True
+        fact,
+        f"{out}/fact_measurements",
+        ["month"],
+        cluster_by=["dt_measurement_utc", "station_id"],
+        range_partitioned=True,
     )
     published = spark.read.parquet(path)
     checks, rows = fact_checks(published, geo, op)

@@ -46,7 +46,7 @@ def ingest_new_measurements(
             {"category": F.lit(category), "batch": F.lit(batch_id)}
         )
         (
-            rows.sortWithinPartitions("year", "mess_datum")
+            rows.sortWithinPartitions("year", "mess_datum", "stations_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "gzip")
