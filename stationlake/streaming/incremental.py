@@ -30,10 +30,15 @@ def ingest_new_measurements(
     out: str,
     category: str = "recent",
     checkpoint: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 10_000,
 ):
     """Process the files of ``source`` not seen before; returns the finished
-    ``StreamingQuery``."""
+    ``StreamingQuery``.
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow`` then
+    runs as many batches as needed), and with it the per-file header table
+    that each batch broadcasts.
+    """
     checkpoint = checkpoint or shared_dir(spark, "streams", "measurements", category)
     reader = spark.readStream.format("text").option("pathGlobFilter", "*.txt")
     if max_files_per_trigger:

@@ -12,9 +12,10 @@ def test_incremental_ingest_reads_only_new_files(spark, tmp_path):
     src.mkdir()
     (src / "produkt_klima_tag_44.txt").write_text(RECENT_44)
     (src / "produkt_klima_tag_123456.txt").write_text(RECENT_123456)
-    ingest_new_measurements(spark, str(src), str(out), checkpoint=str(ckpt))
+    ingest_new_measurements(spark, str(src), str(out), checkpoint=str(ckpt), max_files_per_trigger=1)
     first = read_parquet(spark, str(out), {"year": "string"})
     assert first.count() == 4
+    assert first.select("batch").distinct().count() == 2  # one file per batch
 
     (src / "produkt_klima_tag_12345.txt").write_text(RECENT_12345)
     ingest_new_measurements(spark, str(src), str(out), checkpoint=str(ckpt))
