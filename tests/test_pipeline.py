@@ -236,3 +236,23 @@ def test_fact_build_shuffles_once(spark, built):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
     assert len(exchanges) == 1 and "rangepartitioning" in exchanges[0], plan
     assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_sql_over_view_matches_functions(spark, built):
+    from stationlake.sinks import create_view
+
+    _, fact_path, _ = built
+    fact = spark.read.parquet(fact_path)
+    create_view(fact, "temps")
+    by_sql = spark.sql(
+        "SELECT station_id, extract(year FROM dt_measurement_utc) AS year, "
+        "max(max_temperature_2m_c_qn4) AS max_value FROM temps GROUP BY 1, 2 ORDER BY 3 DESC"
+    )
+    assert sorted(map(tuple, by_sql.collect()), key=str) == sorted(
+        map(tuple, weather.station_year_max(fact).collect()), key=str
+    )
+    years = spark.sql(
+        "SELECT DISTINCT extract(year FROM dt_measurement_utc) AS year FROM temps "
+        "WHERE to_date(dt_measurement_utc) >= '1900-01-01' ORDER BY 1 DESC"
+    )
+    assert [r.year for r in years.collect()] == [r.year for r in weather.years_since(fact).collect()]
