@@ -95,7 +95,9 @@ def effective_dated_join(
 
     lo, hi = fact.agg(F.min(ts), F.max(ts)).first()
     if lo is None:
-        return fact.join(d, F.lit(False), how).drop("__dk")
+        # No timestamp can match: history columns are NULL (no join needed).
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema.fields if f.name != "__dk"]
+        return fact.select("*", *nulls) if how == "left" else fact.limit(0).select("*", *nulls)
     first_bucket = F.date_trunc(bucket, F.greatest(F.col(start), F.lit(lo)))
     last_bucket = F.date_trunc(bucket, F.least(F.coalesce(F.col(end), F.lit(hi)), F.lit(hi)))
     d = (

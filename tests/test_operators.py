@@ -130,3 +130,13 @@ def test_row_checks_match_single_checks(spark):
         ("not_null", "k", 1, "warn"),
         ("not_null", "v", 1, "warn"),
     ]
+
+
+def test_bucketed_join_without_timestamps(spark):
+    fact, dim = _fact_dim(spark)
+    empty = fact.filter("ts is null")
+    j = effective_dated_join(empty, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0)
+    assert j.count() == 0 and "name" in j.columns
+    nulls = fact.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    j = effective_dated_join(nulls, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0)
+    assert j.count() == fact.count() and j.filter("name is not null").count() == 0
