@@ -19,7 +19,7 @@ from ..session import materialize_counted
 # A broadcast history is copied to every executor. Up to this many rows and
 # this estimated size (a station history has a few thousand rows) the copy
 # is cheap; beyond it the join is bucketed by time and shuffled on
-# (key, month).
+# (key, time bucket).
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 << 20
 
@@ -61,11 +61,11 @@ def effective_dated_join(
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
     Small history (row count and estimated bytes checked): broadcast hash
-    join on ``key`` with the
-    range as residual condition; the fact is not shuffled. Large history:
-    both sides get a month bucket, the history exploded over the months its
-    interval covers (clipped to the fact's time range), and the join is an
-    equi-join on (key, month), so a hot key is spread over its months.
+    join on ``key`` with the range as residual condition; the fact is not
+    shuffled. Large history: both sides get a time bucket, the history
+    exploded over the buckets its interval covers (clipped to the fact's
+    time range), and the join is an equi-join on (key, bucket), so a hot key
+    is spread over its buckets (and AQE splits a still-skewed bucket).
 
     ``bucket`` ("month" or "year") trades the history's growth (one row per
     bucket its interval covers; open intervals reach the fact's last
@@ -93,16 +93,18 @@ def effective_dated_join(
         )
         return fact.join(F.broadcast(d), cond, how).drop("__dk")
 
-    lo, hi = fact.agg(F.min(ts), F.max(ts)).first()
-    if lo is None:
+    lo_value, hi_value = fact.agg(F.min(ts), F.max(ts)).first()
+    if lo_value is None:
         # No timestamp can match: history columns are NULL (no join needed).
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema.fields if f.name != "__dk"]
         return fact.select("*", *nulls) if how == "left" else fact.limit(0).select("*", *nulls)
-    first_bucket = F.date_trunc(bucket, F.greatest(F.col(start), F.lit(lo)))
-    last_bucket = F.date_trunc(bucket, F.least(F.coalesce(F.col(end), F.lit(hi)), F.lit(hi)))
+    ts_type = fact.schema[ts].dataType
+    lo, hi = F.lit(lo_value).cast(ts_type), F.lit(hi_value).cast(ts_type)
+    first_bucket = F.date_trunc(bucket, F.greatest(F.col(start), lo))
+    last_bucket = F.date_trunc(bucket, F.least(F.coalesce(F.col(end), hi), hi))
     d = (
-        d.filter(F.col(start).isNotNull() & (F.col(start) <= F.lit(hi)))
-        .filter(F.col(end).isNull() | (F.col(end) >= F.lit(lo)))
+        d.filter(F.col(start).isNotNull() & (F.col(start) <= hi))
+        .filter(F.col(end).isNull() | (F.col(end) >= lo))
         .withColumn(
             "__bucket",
             F.explode(F.sequence(first_bucket, last_bucket, F.expr(f"INTERVAL 1 {bucket.upper()}"))),
@@ -134,9 +136,11 @@ def intervals_from_starts(
     last interval is open (NULL). Starts at the same instant are ordered by
     ``tiebreak`` so that the result is deterministic.
 
-    The next start is found in two levels so that no key is sorted in one
-    task: within (key, time bucket) by a window, and across buckets from one
-    row per (key, bucket) (its first start), joined back on (key, bucket).
+    The next start is found in two levels so that no key is sorted whole in
+    one task: within (key, time bucket) by a window, and across buckets from
+    one row per (key, bucket) (its first start), joined back on (key,
+    bucket). A hot key is split over its buckets; ``bucket`` should be fine
+    enough for the data's time span that one (key, bucket) cell stays small.
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = df.select(*keys, ts, *extra).withColumn("__b", F.date_trunc(bucket, F.col(ts)))
