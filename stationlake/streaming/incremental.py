@@ -24,6 +24,22 @@ from ..session import shared_dir
 from ..sources.delimited import bind_by_header
 
 
+def write_measurement_batch(lines: DataFrame, batch_id: int, out: str, category: str = "recent") -> None:
+    """One micro-batch of (file, line) rows -> clean rows under
+    ``out/year=.../batch=<batch_id>``. Dynamic overwrite of exactly those
+    partitions makes a retried batch replace its earlier attempt."""
+    rows = bind_by_header(lines, MEASUREMENT_COLUMNS, "STATIONS_ID").drop("file")
+    rows = transform_measurements(rows).withColumns({"category": F.lit(category), "batch": F.lit(batch_id)})
+    (
+        rows.sortWithinPartitions("year", "mess_datum", "stations_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
+        .partitionBy("year", "batch")
+        .parquet(out)
+    )
+
+
 def ingest_new_measurements(
     spark: SparkSession,
     source: str,
@@ -46,18 +62,7 @@ def ingest_new_measurements(
     lines = reader.load(source).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = bind_by_header(batch, MEASUREMENT_COLUMNS, "STATIONS_ID").drop("file")
-        rows = transform_measurements(rows).withColumns(
-            {"category": F.lit(category), "batch": F.lit(batch_id)}
-        )
-        (
-            rows.sortWithinPartitions("year", "mess_datum", "stations_id")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "gzip")
-            .partitionBy("year", "batch")
-            .parquet(out)
-        )
+        write_measurement_batch(batch, batch_id, out, category)
 
     query = (
         lines.writeStream.foreachBatch(write_batch)

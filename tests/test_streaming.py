@@ -25,3 +25,21 @@ def test_incremental_ingest_reads_only_new_files(spark, tmp_path):
     # nothing new: a third run adds nothing
     ingest_new_measurements(spark, str(src), str(out), checkpoint=str(ckpt))
     assert read_parquet(spark, str(out)).count() == 5
+
+
+def test_retried_batch_replaces_its_output(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stationlake.sources.delimited import read_lines
+    from stationlake.streaming.incremental import write_measurement_batch
+
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "produkt_klima_tag_44.txt").write_text(RECENT_44)
+    lines = read_lines(spark, str(src))
+    write_measurement_batch(lines, 7, str(out))
+    write_measurement_batch(lines, 7, str(out))  # the same batch again
+    assert read_parquet(spark, str(out)).count() == 3
+    new = lines.filter(F.col("line").contains("20230102") | F.col("line").contains("STATIONS_ID"))
+    write_measurement_batch(new, 8, str(out))
+    assert read_parquet(spark, str(out)).count() == 4
