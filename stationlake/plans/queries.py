@@ -66,6 +66,8 @@ from ..sources import (
     section_lines,
 )
 from ..sources.tables import read_parquet
+from . import weather
+from .derived import write_raw_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -788,3 +790,99 @@ def archive_members(spark, sf_dir):
     archives = docs.mapInPandas(_zip_documents, "archive string, content binary")
     members = route_members(explode_archives(archives))
     return members.select("member", "route", F.length("body").cast("long").alias("n_bytes"))
+
+
+# ---------------------------------------------------------------------------
+# The whole pipeline: raw text -> clean files -> staging -> dims -> fact
+# ---------------------------------------------------------------------------
+
+_STATION_SQL = (
+    "CASE WHEN length(CAST({c} AS VARCHAR)) < 5 THEN lpad(CAST({c} AS VARCHAR), 5, '0') "
+    "ELSE CAST({c} AS VARCHAR) END"
+)
+_UTC_SQL = "((date_trunc('day', {c}) AT TIME ZONE 'Europe/Brussels') AT TIME ZONE 'UTC')"
+_UTC_END_SQL = "((date_trunc('day', {c}) - INTERVAL 1 DAY) AT TIME ZONE 'Europe/Brussels') AT TIME ZONE 'UTC'"
+
+WEATHER_FACT_SQL = f"""
+WITH raw AS (
+  SELECT *, 'historical' AS category FROM events WHERE ts < TIMESTAMP '2024-01-18 00:00:00'
+  UNION ALL
+  SELECT *, 'recent' AS category FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+), clean AS (
+  SELECT {_STATION_SQL.format(c="user_id")} AS stations_id,
+         {_UTC_SQL.format(c="ts")} AS mess_datum,
+         10 AS qn_3, value AS fx, CAST(NULL AS DOUBLE) AS fm,
+         CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 3 WHEN 'purchase' THEN 5
+                         WHEN 'error' THEN 7 WHEN 'signup' THEN 9 END AS qn_4,
+         value AS rsk, 0 AS rskf, value AS sdk, 0 AS shk_tag, CAST(NULL AS VARCHAR) AS nm,
+         CAST(NULL AS DOUBLE) AS vpm, CAST(NULL AS DOUBLE) AS pm, value AS tmk,
+         CAST(NULL AS DOUBLE) AS upm, CAST(NULL AS DOUBLE) AS txk, CAST(NULL AS DOUBLE) AS tnk,
+         CAST(NULL AS DOUBLE) AS tgk, category, strftime(ts, '%Y') AS year
+  FROM raw
+), ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY stations_id, mess_datum
+    ORDER BY (category = 'historical') DESC NULLS LAST, qn_4 DESC NULLS LAST, qn_3 DESC NULLS LAST,
+             fx ASC NULLS FIRST, fm ASC NULLS FIRST, rsk ASC NULLS FIRST, rskf ASC NULLS FIRST,
+             sdk ASC NULLS FIRST, shk_tag ASC NULLS FIRST, nm ASC NULLS FIRST, vpm ASC NULLS FIRST,
+             pm ASC NULLS FIRST, tmk ASC NULLS FIRST, upm ASC NULLS FIRST, txk ASC NULLS FIRST,
+             tnk ASC NULLS FIRST, tgk ASC NULLS FIRST, category ASC NULLS FIRST, year ASC NULLS FIRST) AS _rn
+  FROM clean WHERE stations_id IS NOT NULL AND mess_datum IS NOT NULL
+), stg AS (
+  SELECT md5(concat_ws('-', stations_id, strftime(mess_datum, '%Y-%m-%d %H:%M:%S') || '+00')) AS measurement_id,
+         stations_id AS station_id, mess_datum AS dt_measurement_utc,
+         CAST(round(qn_3) AS INTEGER) AS quality_niveau_3, CAST(round(qn_4) AS INTEGER) AS quality_niveau_4,
+         round(fx, 2) AS max_wind_gust_mps_qn3, round(fm, 2) AS mean_wind_velocity_mps_qn3,
+         round(rsk, 2) AS precipitation_heigt_mm_qn4, CAST(round(rskf) AS INTEGER) AS precipitation_type_qn4,
+         CAST(round(sdk) AS INTEGER) AS sunshine_duration_h_qn4, CAST(round(shk_tag) AS INTEGER) AS snow_depth_cm_qn4,
+         nm AS mean_cloud_coverage_qn4, round(vpm, 2) AS mean_vapour_pressure_hpa_qn4,
+         round(pm, 2) AS mean_pressure_hpa_qn4, round(tmk, 2) AS mean_temperature_2m_c_qn4,
+         round(upm, 2) AS mean_rel_humidity_qn4, round(txk, 2) AS max_temperature_2m_c_qn4,
+         round(tnk, 2) AS min_temperature_2m_c_qn4, round(tgk, 2) AS mean_temperature_5cm_c_qn4
+  FROM ranked WHERE _rn = 1
+), geo_src AS (
+  SELECT user_id, event_id, value, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
+  FROM events WHERE event_type = 'signup'
+), geo AS (
+  SELECT {_STATION_SQL.format(c="user_id")} AS station_id, value AS station_height_m,
+         CAST(value AS VARCHAR) AS latitude, CAST(user_id + 0.5 AS VARCHAR) AS longitude,
+         {_UTC_SQL.format(c="ts")} AS dt_geo_start,
+         CASE WHEN next_ts IS NULL THEN NULL ELSE {_UTC_END_SQL.format(c="next_ts")} END AS dt_geo_end,
+         'Station ' || CAST(event_id AS VARCHAR) AS station_name
+  FROM geo_src
+), op_src AS (
+  SELECT user_id, event_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
+  FROM events WHERE event_type = 'error'
+), op AS (
+  SELECT {_STATION_SQL.format(c="user_id")} AS station_id, 'Operator ' || CAST(event_id AS VARCHAR) AS operator_name,
+         {_UTC_SQL.format(c="ts")} AS dt_op_start,
+         CASE WHEN next_ts IS NULL THEN NULL ELSE {_UTC_END_SQL.format(c="next_ts")} END AS dt_op_end
+  FROM op_src
+)
+SELECT s.measurement_id, s.station_id, s.dt_measurement_utc, g.station_name, o.operator_name,
+       g.station_height_m, g.latitude || ',' || g.longitude AS lat_long,
+       s.quality_niveau_3, s.quality_niveau_4, s.max_wind_gust_mps_qn3, s.mean_wind_velocity_mps_qn3,
+       s.precipitation_heigt_mm_qn4, s.precipitation_type_qn4, s.sunshine_duration_h_qn4,
+       s.snow_depth_cm_qn4, s.mean_cloud_coverage_qn4, s.mean_vapour_pressure_hpa_qn4,
+       s.mean_pressure_hpa_qn4, s.mean_temperature_2m_c_qn4, s.mean_rel_humidity_qn4,
+       s.max_temperature_2m_c_qn4, s.min_temperature_2m_c_qn4, s.mean_temperature_5cm_c_qn4,
+       strftime(s.dt_measurement_utc, '%Y-%m') AS month
+FROM stg s
+LEFT JOIN geo g ON s.station_id = g.station_id AND s.dt_measurement_utc >= g.dt_geo_start
+  AND (g.dt_geo_end IS NULL OR s.dt_measurement_utc <= g.dt_geo_end)
+LEFT JOIN op o ON s.station_id = o.station_id AND s.dt_measurement_utc >= o.dt_op_start
+  AND (o.dt_op_end IS NULL OR s.dt_measurement_utc <= o.dt_op_end)
+"""
+
+
+@query("weather_fact", WEATHER_FACT_SQL)
+def weather_fact(spark, sf_dir):
+    """The published pipeline end to end on raw files Spark derives from
+    ``events`` (``plans.derived``): header-bound text, latin-1 location
+    history, sectioned operator history -> clean files -> staging view
+    (dedup, keys, casts) -> dims -> effective-dated fact by month."""
+    root = shared_dir(spark, "weather", uuid.uuid4().hex)
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
+    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
+    fact_path, _ = weather.run_marts(spark, paths, f"{root}/marts")
+    return read_parquet(spark, fact_path, {"month": "string"})

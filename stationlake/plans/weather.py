@@ -73,11 +73,16 @@ OPERATOR_CSV_SCHEMA = (
 # ---------------------------------------------------------------------------
 
 
-def fetch_measurements(spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+DEFAULT_GLOBS = {"main": "*.txt", "metadata_geo": GEO_FILE_GLOB, "metadata_operator": OPERATOR_FILE_GLOB}
+
+
+def fetch_measurements(
+    spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES, glob: str = DEFAULT_GLOBS["main"]
+) -> DataFrame:
     """All daily files of all categories, bound by header name, tagged with
     their category."""
     parts = {
-        c: read_delimited(spark, f"{root}/{c}/tables", MEASUREMENT_COLUMNS, "STATIONS_ID", glob="*.txt")
+        c: read_delimited(spark, f"{root}/{c}/tables", MEASUREMENT_COLUMNS, "STATIONS_ID", glob=glob)
         for c in categories
     }
     return union_categories(parts).drop("file")
@@ -96,7 +101,9 @@ def transform_measurements(df: DataFrame) -> DataFrame:
     )
 
 
-def fetch_geo(spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def fetch_geo(
+    spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES, glob: str = DEFAULT_GLOBS["metadata_geo"]
+) -> DataFrame:
     parts = {
         c: read_delimited(
             spark,
@@ -104,7 +111,7 @@ def fetch_geo(spark: SparkSession, root: str, categories: Sequence[str] = CATEGO
             GEO_COLUMNS,
             "Stations_id",
             encoding="ISO-8859-1",
-            glob=GEO_FILE_GLOB,
+            glob=glob,
             renames=GEO_RENAMES,
         )
         for c in categories
@@ -119,28 +126,38 @@ def transform_history(df: DataFrame, id_col: str, date_cols: Sequence[str]) -> D
 
 
 def fetch_operator(
-    spark: SparkSession, root: str, categories: Sequence[str] = ("recent",)
+    spark: SparkSession,
+    root: str,
+    categories: Sequence[str] = ("recent",),
+    glob: str = DEFAULT_GLOBS["metadata_operator"],
 ) -> tuple[DataFrame, DataFrame]:
     """Operator tables from the sectioned files (recent only by default, as
     published). Returns (rows, rejected files)."""
     rows, rejects = None, None
     for c in categories:
-        r, j = read_sectioned(spark, f"{root}/{c}/metadata", OPERATOR_MARKER, OPERATOR_COLUMNS, glob=OPERATOR_FILE_GLOB)
+        r, j = read_sectioned(spark, f"{root}/{c}/metadata", OPERATOR_MARKER, OPERATOR_COLUMNS, glob=glob)
         rows = r if rows is None else rows.unionByName(r)
         rejects = j if rejects is None else rejects.unionByName(j)
     return rows.drop("file"), rejects
 
 
-def run_raw(spark: SparkSession, root: str, out: str, counts: dict[str, int] | None = None) -> dict[str, str]:
+def run_raw(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    counts: dict[str, int] | None = None,
+    globs: dict[str, str] | None = None,
+) -> dict[str, str]:
     """Raw -> clean files: measurements by local year (gzip Parquet, sorted
     by time), histories as CSV with header. Full refresh.
 
     Row counts are observed while writing (no second job) and stored in
     ``counts`` when given.
     """
-    main = transform_measurements(fetch_measurements(spark, root))
-    geo = transform_history(fetch_geo(spark, root), "stations_id", ["von_datum", "bis_datum"])
-    op_rows, _ = fetch_operator(spark, root)
+    globs = {**DEFAULT_GLOBS, **(globs or {})}
+    main = transform_measurements(fetch_measurements(spark, root, glob=globs["main"]))
+    geo = transform_history(fetch_geo(spark, root, glob=globs["metadata_geo"]), "stations_id", ["von_datum", "bis_datum"])
+    op_rows, _ = fetch_operator(spark, root, glob=globs["metadata_operator"])
     op = transform_history(op_rows, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])
     obs = {name: Observation(name) for name in ("main", "metadata_geo", "metadata_operator")}
     geo = geo.observe(obs["metadata_geo"], F.count(F.lit(1)).alias("rows"))
