@@ -91,14 +91,17 @@ def fetch_measurements(
 def transform_measurements(df: DataFrame) -> DataFrame:
     """Ids stripped and padded; the date parsed, localised to UTC (DST
     edges NULL) and its local year kept as the storage partition."""
-    local = parse_yyyymmdd("mess_datum")
+    # The parsed date is its own column: localize() refers to its input
+    # about ten times, and an inlined parser would be copied into each.
+    df = df.withColumn("__local", parse_yyyymmdd("mess_datum"))
+    local = F.col("__local")
     return df.withColumns(
         {
             "stations_id": clean_station_id("stations_id"),
             "year": local_year(local),
             "mess_datum": localize(local),
         }
-    )
+    ).drop("__local")
 
 
 def fetch_geo(
@@ -120,9 +123,12 @@ def fetch_geo(
 
 
 def transform_history(df: DataFrame, id_col: str, date_cols: Sequence[str]) -> DataFrame:
+    """Ids stripped and padded; interval dates parsed and localised (the
+    parsed values first as their own columns, see transform_measurements)."""
+    df = df.withColumns({f"__local_{c}": parse_yyyymmdd(c) for c in date_cols})
     out = {id_col: clean_station_id(id_col)}
-    out.update({c: localize(parse_yyyymmdd(c)) for c in date_cols})
-    return df.withColumns(out)
+    out.update({c: localize(F.col(f"__local_{c}")) for c in date_cols})
+    return df.withColumns(out).drop(*[f"__local_{c}" for c in date_cols])
 
 
 def fetch_operator(
