@@ -42,6 +42,8 @@ from ..operators import (
 )
 from ..schemas import (
     CATEGORIES,
+    LISTING_KEEP,
+    MEASUREMENT_FILE_TOKEN,
     FACT_COLUMNS,
     GEO_COLUMNS,
     GEO_FILE_GLOB,
@@ -56,7 +58,8 @@ from ..schemas import (
 )
 from ..operators import distinct_values, group_max, top_k
 from ..sinks import create_view, write_csv, write_partitioned
-from ..sources import read_delimited, read_sectioned, read_table
+from ..sources import extract_links, member_lines, new_files, read_archives, read_delimited, read_sectioned, read_table
+from ..sources.delimited import bind_by_header
 from ..sources.tables import read_csv_table, read_parquet
 
 GEO_CSV_SCHEMA = (
@@ -88,6 +91,29 @@ def fetch_measurements(
     return union_categories(parts).drop("file")
 
 
+def listing_links(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("category",)) -> DataFrame:
+    """Archive, text and pdf links of the listing pages (one row per link)."""
+    return extract_links(pages, html, keep=LISTING_KEEP, carry=carry)
+
+
+def links_to_fetch(links: DataFrame, stored: DataFrame) -> DataFrame:
+    """Listed links whose file (the href) is not stored yet."""
+    return new_files(links, stored, "href")
+
+
+def measurements_from_archives(
+    spark: SparkSession, archives: dict[str, str], encoding: str = "ISO-8859-1"
+) -> DataFrame:
+    """The daily files read straight out of the zip archives of each
+    category (no unpacking to disk): members named like the data files,
+    each bound by its own header, tagged with the category."""
+    parts = {}
+    for category, path in archives.items():
+        members = read_archives(spark, path).filter(F.col("member").contains(MEASUREMENT_FILE_TOKEN))
+        parts[category] = bind_by_header(member_lines(members, encoding), MEASUREMENT_COLUMNS, "STATIONS_ID")
+    return union_categories(parts).drop("file")
+
+
 def transform_measurements(df: DataFrame) -> DataFrame:
     """Ids stripped and padded; the date parsed, localised to UTC (DST
     edges NULL) and its local year kept as the storage partition."""

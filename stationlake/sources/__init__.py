@@ -1,6 +1,6 @@
 """Readers: delimited and sectioned text, archives, listing pages, tables."""
 
-from .archives import explode_archives, read_archives, route_members
+from .archives import explode_archives, member_lines, read_archives, route_members
 from .delimited import read_delimited
 from .links import extract_links, new_files, resolve_links
 from .sections import read_sectioned, section_lines
@@ -10,6 +10,7 @@ __all__ = [
     "explode_archives",
     "read_archives",
     "route_members",
+    "member_lines",
     "read_delimited",
     "extract_links",
     "new_files",

@@ -65,3 +65,13 @@ def route_members(members: DataFrame) -> DataFrame:
     """Members with their route; members without a route are dropped, as
     the unzip step extracts only the two kinds."""
     return members.withColumn("route", route(F.col("member"))).filter(F.col("route").isNotNull())
+
+
+def member_lines(members: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """Members -> (file, line) rows (file = archive!member), the shape the
+    header-bound reader takes. CRLF is normalised; the whole body is used."""
+    text = F.regexp_replace(F.decode(F.col("body"), encoding), "\r\n?", "\n")
+    return members.select(
+        F.concat_ws("!", F.col("archive"), F.col("member")).alias("file"),
+        F.explode(F.split(F.regexp_replace(text, "\n\\z", ""), "\n", -1)).alias("line"),
+    )

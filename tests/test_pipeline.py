@@ -256,3 +256,40 @@ def test_sql_over_view_matches_functions(spark, built):
         "WHERE to_date(dt_measurement_utc) >= '1900-01-01' ORDER BY 1 DESC"
     )
     assert [r.year for r in years.collect()] == [r.year for r in weather.years_since(fact).collect()]
+
+
+def test_measurements_straight_from_archives(spark, raw_root, tmp_path):
+    import io
+    import zipfile
+
+    from pyspark.sql import functions as F
+
+    for category in ("recent", "historical"):
+        (tmp_path / category).mkdir()
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            for f in (raw_root / category / "tables").glob("*.txt"):
+                zf.write(f, f.name)
+            zf.writestr("Metadaten_Geraete_00044.html", "<html/>")
+        (tmp_path / category / "tageswerte_KL.zip").write_bytes(buf.getvalue())
+    archived = weather.measurements_from_archives(
+        spark, {c: str(tmp_path / c) for c in ("recent", "historical")}
+    )
+    unpacked = weather.fetch_measurements(spark, str(raw_root))
+    assert archived.count() == unpacked.count() == 7
+    assert archived.exceptAll(unpacked.select(*archived.columns)).count() == 0
+
+
+def test_listing_links_and_fetch_selection(spark):
+    pages = spark.createDataFrame(
+        [
+            ("recent", '<a href="tageswerte_KL_00044_akt.zip">z</a><a href="DESCRIPTION.pdf">d</a><a href="../">up</a>'),
+            ("historical", '<a href="tageswerte_KL_00044_hist.zip">z</a><a href="DESCRIPTION.pdf">d</a>'),
+        ],
+        "category string, html string",
+    )
+    links = weather.listing_links(pages)
+    assert links.count() == 4
+    stored = spark.createDataFrame([("DESCRIPTION.pdf",)], "href string")
+    todo = sorted(r.href for r in weather.links_to_fetch(links.select("href"), stored).collect())
+    assert todo == ["tageswerte_KL_00044_akt.zip", "tageswerte_KL_00044_hist.zip"]
