@@ -60,6 +60,7 @@ from ..operators import distinct_values, group_max, top_k
 from ..sinks import create_view, write_csv, write_partitioned
 from ..sources import extract_links, member_lines, new_files, read_archives, read_delimited, read_sectioned, read_table
 from ..sources.delimited import bind_by_header
+from ..sources.sections import sectioned_rows
 from ..sources.tables import read_csv_table, read_parquet
 
 GEO_CSV_SCHEMA = (
@@ -101,19 +102,58 @@ def links_to_fetch(links: DataFrame, stored: DataFrame) -> DataFrame:
     return new_files(links, stored, "href")
 
 
+def _archive_members(spark: SparkSession, root: str, category: str, token: str) -> DataFrame:
+    """Members of ``<root>/<category>/download/*.zip`` whose name holds
+    ``token``."""
+    members = read_archives(spark, f"{root}/{category}/download")
+    return members.filter(F.col("member").contains(token))
+
+
 def measurements_from_archives(
-    spark: SparkSession, archives: dict[str, str], encoding: str = "ISO-8859-1"
+    spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES, encoding: str = "ISO-8859-1"
 ) -> DataFrame:
     """The daily files read straight out of the zip archives of each
     category (no unpacking to disk): members named like the data files,
     each bound by its own header, tagged with the category."""
-    parts = {}
-    for category, path in archives.items():
-        members = read_archives(spark, path).filter(F.col("member").contains(MEASUREMENT_FILE_TOKEN))
-        parts[category] = bind_by_header(member_lines(members, encoding), MEASUREMENT_COLUMNS, "STATIONS_ID")
+    parts = {
+        c: bind_by_header(
+            member_lines(_archive_members(spark, root, c, MEASUREMENT_FILE_TOKEN), encoding),
+            MEASUREMENT_COLUMNS,
+            "STATIONS_ID",
+        )
+        for c in categories
+    }
     return union_categories(parts).drop("file")
 
 
+def geo_from_archives(spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    parts = {
+        c: bind_by_header(
+            member_lines(_archive_members(spark, root, c, GEO_FILE_GLOB.rstrip("*")), "ISO-8859-1"),
+            GEO_COLUMNS,
+            "Stations_id",
+            renames=GEO_RENAMES,
+        )
+        for c in categories
+    }
+    return union_categories(parts).drop("file", "category")
+
+
+def operator_from_archives(
+    spark: SparkSession, root: str, categories: Sequence[str] = ("recent",)
+) -> tuple[DataFrame, DataFrame]:
+    rows, rejects = None, None
+    for c in categories:
+        members = _archive_members(spark, root, c, OPERATOR_FILE_GLOB.rstrip("*"))
+        files = members.select(
+            F.concat_ws("!", "archive", "member").alias("file"), F.decode("body", "ISO-8859-1").alias("text")
+        )
+        r, j = sectioned_rows(files, OPERATOR_MARKER, OPERATOR_COLUMNS)
+        rows = r if rows is None else rows.unionByName(r)
+        rejects = j if rejects is None else rejects.unionByName(j)
+    return rows.drop("file"), rejects
+
+
 def transform_measurements(df: DataFrame) -> DataFrame:
     """Ids stripped and padded; the date parsed, localised to UTC (DST
     edges NULL) and its local year kept as the storage partition."""
@@ -179,17 +219,25 @@ def run_raw(
     out: str,
     counts: dict[str, int] | None = None,
     globs: dict[str, str] | None = None,
+    from_archives: bool = False,
 ) -> dict[str, str]:
     """Raw -> clean files: measurements by local year (gzip Parquet, sorted
     by time), histories as CSV with header. Full refresh.
 
     Row counts are observed while writing (no second job) and stored in
-    ``counts`` when given.
+    ``counts`` when given. ``from_archives``: read the zips under
+    ``<root>/<category>/download`` directly instead of unpacked folders.
     """
     globs = {**DEFAULT_GLOBS, **(globs or {})}
-    main = transform_measurements(fetch_measurements(spark, root, glob=globs["main"]))
-    geo = transform_history(fetch_geo(spark, root, glob=globs["metadata_geo"]), "stations_id", ["von_datum", "bis_datum"])
-    op_rows, _ = fetch_operator(spark, root, glob=globs["metadata_operator"])
+    if from_archives:
+        main_raw, geo_raw = measurements_from_archives(spark, root), geo_from_archives(spark, root)
+        op_rows, _ = operator_from_archives(spark, root)
+    else:
+        main_raw = fetch_measurements(spark, root, glob=globs["main"])
+        geo_raw = fetch_geo(spark, root, glob=globs["metadata_geo"])
+        op_rows, _ = fetch_operator(spark, root, glob=globs["metadata_operator"])
+    main = transform_measurements(main_raw)
+    geo = transform_history(geo_raw, "stations_id", ["von_datum", "bis_datum"])
     op = transform_history(op_rows, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])
     obs = {name: Observation(name) for name in ("main", "metadata_geo", "metadata_operator")}
     geo = geo.observe(obs["metadata_geo"], F.count(F.lit(1)).alias("rows"))
@@ -378,7 +426,7 @@ def hottest_days(fact: DataFrame, k: int = 40) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def run_all(spark: SparkSession, root: str, out: str, fail_on_error: bool = True) -> dict:
+def run_all(spark: SparkSession, root: str, out: str, fail_on_error: bool = True, from_archives: bool = False) -> dict:
     """Raw files -> clean files -> published fact -> checked report.
 
     ``root`` holds ``<category>/tables`` and ``<category>/metadata`` folders
@@ -386,7 +434,7 @@ def run_all(spark: SparkSession, root: str, out: str, fail_on_error: bool = True
     failures are reported; error-level failures raise when ``fail_on_error``.
     """
     counts: dict[str, int] = {}
-    paths = run_raw(spark, root, f"{out}/raw", counts=counts)
+    paths = run_raw(spark, root, f"{out}/raw", counts=counts, from_archives=from_archives)
     fact_path, report = run_marts(spark, paths, f"{out}/marts")
     rows = raise_on_error(report) if fail_on_error else report.collect()
     return {"paths": {**paths, "fact": fact_path}, "rows": counts, "report": [r.asDict() for r in rows]}
@@ -399,13 +447,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     from ..session import build_session
 
     ap = argparse.ArgumentParser(description="Build the observation star schema.")
-    ap.add_argument("root", help="folder with <category>/tables and <category>/metadata")
+    ap.add_argument("root", help="folder with <category>/tables and <category>/metadata (or <category>/download)")
     ap.add_argument("out", help="shared output folder")
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit on a cluster")
     ap.add_argument("--warn-only", action="store_true", help="do not fail on error-level checks")
+    ap.add_argument("--from-archives", action="store_true", help="read <root>/<category>/download/*.zip directly")
     args = ap.parse_args(argv)
     spark = build_session(master=args.master)
-    print(json.dumps(run_all(spark, args.root, args.out, not args.warn_only), default=str, indent=2))
+    result = run_all(spark, args.root, args.out, not args.warn_only, args.from_archives)
+    print(json.dumps(result, default=str, indent=2))
 
 
 if __name__ == "__main__":

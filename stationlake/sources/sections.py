@@ -47,27 +47,18 @@ def section_lines(
     )
 
 
-def read_sectioned(
-    spark: SparkSession,
-    path: str,
+def sectioned_rows(
+    files: DataFrame,
     marker: str,
     columns: Sequence[str],
     sep: str = ";",
-    encoding: str = "ISO-8859-1",
-    glob: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Files -> (rows, rejects).
+    """(file, text) rows -> (rows, rejects).
 
     rows: one row per data line, named ``columns`` by position, with
     ``file``. rejects: files in which the marker was not found, so that a
     bad file is reported instead of failing the job.
     """
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select(
-        F.col("path").alias("file"), F.decode(F.col("content"), encoding).alias("text")
-    )
     body = section_body(normalize_newlines(F.col("text")), marker)
     rejects = files.filter(body.isNull()).select("file")
     lines = section_lines(files, "text", marker, keep=["file"])
@@ -77,3 +68,23 @@ def read_sectioned(
         *[F.try_element_at(cells, F.lit(i + 1)).alias(c) for i, c in enumerate(columns)],
     )
     return rows, rejects
+
+
+def read_sectioned(
+    spark: SparkSession,
+    path: str,
+    marker: str,
+    columns: Sequence[str],
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+    glob: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Sectioned files under ``path`` -> (rows, rejects), see
+    ``sectioned_rows``."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path).select(
+        F.col("path").alias("file"), F.decode(F.col("content"), encoding).alias("text")
+    )
+    return sectioned_rows(files, marker, columns, sep)

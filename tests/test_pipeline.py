@@ -258,27 +258,31 @@ def test_sql_over_view_matches_functions(spark, built):
     assert [r.year for r in years.collect()] == [r.year for r in weather.years_since(fact).collect()]
 
 
-def test_measurements_straight_from_archives(spark, raw_root, tmp_path):
+def test_pipeline_straight_from_archives(spark, raw_root, built, tmp_path):
     import io
     import zipfile
 
-    from pyspark.sql import functions as F
-
+    # one archive per category with every file of its folders, plus an .html member
     for category in ("recent", "historical"):
-        (tmp_path / category).mkdir()
+        (tmp_path / category / "download").mkdir(parents=True)
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            for f in (raw_root / category / "tables").glob("*.txt"):
+            for f in (raw_root / category).glob("*/*.txt"):
                 zf.write(f, f.name)
             zf.writestr("Metadaten_Geraete_00044.html", "<html/>")
-        (tmp_path / category / "tageswerte_KL.zip").write_bytes(buf.getvalue())
-    archived = weather.measurements_from_archives(
-        spark, {c: str(tmp_path / c) for c in ("recent", "historical")}
-    )
+        (tmp_path / category / "download" / "tageswerte_KL.zip").write_bytes(buf.getvalue())
+    archived = weather.measurements_from_archives(spark, str(tmp_path))
     unpacked = weather.fetch_measurements(spark, str(raw_root))
     assert archived.count() == unpacked.count() == 7
     assert archived.exceptAll(unpacked.select(*archived.columns)).count() == 0
 
+    paths = weather.run_raw(spark, str(tmp_path), str(tmp_path / "out" / "raw"), from_archives=True)
+    fact_path, _ = weather.run_marts(spark, paths, str(tmp_path / "out" / "marts"))
+    _, golden_path, _ = built
+    a, b = spark.read.parquet(fact_path), spark.read.parquet(golden_path)
+    assert a.count() == b.count() == 5
+    assert a.exceptAll(b.select(*a.columns)).count() == 0
+
 
 def test_listing_links_and_fetch_selection(spark):
     pages = spark.createDataFrame(
