@@ -124,9 +124,9 @@ def row_checks(
         meta = df.sparkSession.createDataFrame(
             [(i, c, sev) for i, (c, _, sev) in enumerate(accepted)], "check int, column_name string, severity string"
         )
+        # ``bad`` has at most one row per accepted-values check.
         parts.append(
-            F.broadcast(meta)
-            .join(bad, "check", "left")
+            meta.join(F.broadcast(bad), "check", "left")
             .select(
                 F.lit("accepted_values").alias("check_name"),
                 "column_name",

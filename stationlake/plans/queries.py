@@ -54,6 +54,7 @@ from ..operators import (
     total_order,
     union_categories,
 )
+from ..schemas import PRECIPITATION_FORMS, QUALITY_LEVELS
 from ..session import materialize_counted, shared_dir
 from ..sinks import write_partitioned
 from ..sources import (
@@ -803,7 +804,7 @@ _STATION_SQL = (
 _UTC_SQL = "((date_trunc('day', {c}) AT TIME ZONE 'Europe/Brussels') AT TIME ZONE 'UTC')"
 _UTC_END_SQL = "((date_trunc('day', {c}) - INTERVAL 1 DAY) AT TIME ZONE 'Europe/Brussels') AT TIME ZONE 'UTC'"
 
-WEATHER_FACT_SQL = f"""
+_WEATHER_CTES = f"""
 WITH raw AS (
   SELECT *, 'historical' AS category FROM events WHERE ts < TIMESTAMP '2024-01-18 00:00:00'
   UNION ALL
@@ -858,7 +859,9 @@ WITH raw AS (
          {_UTC_SQL.format(c="ts")} AS dt_op_start,
          CASE WHEN next_ts IS NULL THEN NULL ELSE {_UTC_END_SQL.format(c="next_ts")} END AS dt_op_end
   FROM op_src
-)
+)"""
+
+_WEATHER_FACT_SELECT = """
 SELECT s.measurement_id, s.station_id, s.dt_measurement_utc, g.station_name, o.operator_name,
        g.station_height_m, g.latitude || ',' || g.longitude AS lat_long,
        s.quality_niveau_3, s.quality_niveau_4, s.max_wind_gust_mps_qn3, s.mean_wind_velocity_mps_qn3,
@@ -874,6 +877,50 @@ LEFT JOIN op o ON s.station_id = o.station_id AND s.dt_measurement_utc >= o.dt_o
   AND (o.dt_op_end IS NULL OR s.dt_measurement_utc <= o.dt_op_end)
 """
 
+WEATHER_FACT_SQL = _WEATHER_CTES + _WEATHER_FACT_SELECT
+
+_ACCEPTED = {
+    "quality_niveau_3": ", ".join(map(str, QUALITY_LEVELS)),
+    "quality_niveau_4": ", ".join(map(str, QUALITY_LEVELS)),
+    "precipitation_type_qn4": ", ".join(map(str, PRECIPITATION_FORMS)),
+}
+
+WEATHER_CHECKS_SQL = (
+    _WEATHER_CTES
+    + ", fact AS ("
+    + _WEATHER_FACT_SELECT
+    + "), r AS (\n"
+    + "  SELECT 'unique' AS check_name, 'measurement_id' AS column_name, 'warn' AS severity,\n"
+    + "         (SELECT count(*) FROM (SELECT measurement_id FROM fact WHERE measurement_id IS NOT NULL\n"
+    + "                                GROUP BY 1 HAVING count(*) > 1)) AS failures\n"
+    + "".join(
+        f"  UNION ALL SELECT 'relationships', 'station_id->{name}', 'warn',\n"
+        f"         (SELECT count(*) FROM fact f WHERE f.station_id IS NOT NULL AND NOT EXISTS (\n"
+        f"            SELECT 1 FROM {cte} d WHERE d.station_id = f.station_id))\n"
+        for name, cte in (("dim_geo", "geo"), ("dim_operator", "op"))
+    )
+    + "".join(
+        f"  UNION ALL SELECT 'not_null', '{c}', 'warn', (SELECT count(*) FROM fact WHERE {c} IS NULL)\n"
+        for c in ("measurement_id", "station_id", "dt_measurement_utc")
+    )
+    + "".join(
+        f"  UNION ALL SELECT 'accepted_values', '{c}', 'error',\n"
+        f"         (SELECT count(DISTINCT {c}) FROM fact WHERE {c} IS NOT NULL AND {c} NOT IN ({values}))\n"
+        for c, values in _ACCEPTED.items()
+    )
+    + ")\n"
+    + "SELECT check_name, column_name, severity, CAST(failures AS BIGINT) AS failures,\n"
+    + "       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status\n"
+    + "FROM r"
+)
+
+
+def _run_weather(spark, sf_dir):
+    root = shared_dir(spark, "weather", uuid.uuid4().hex)
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
+    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
+    return weather.run_marts(spark, paths, f"{root}/marts")
+
 
 @query("weather_fact", WEATHER_FACT_SQL)
 def weather_fact(spark, sf_dir):
@@ -881,8 +928,14 @@ def weather_fact(spark, sf_dir):
     ``events`` (``plans.derived``): header-bound text, latin-1 location
     history, sectioned operator history -> clean files -> staging view
     (dedup, keys, casts) -> dims -> effective-dated fact by month."""
-    root = shared_dir(spark, "weather", uuid.uuid4().hex)
-    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
-    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
-    fact_path, _ = weather.run_marts(spark, paths, f"{root}/marts")
+    fact_path, _ = _run_weather(spark, sf_dir)
     return read_parquet(spark, fact_path, {"month": "string"})
+
+
+@query("weather_checks", WEATHER_CHECKS_SQL)
+def weather_checks(spark, sf_dir):
+    """The declared tests of the published fact (unique and not-null keys,
+    both relationships, accepted quality and precipitation codes) as one
+    report with severity and status."""
+    _, report = _run_weather(spark, sf_dir)
+    return report
