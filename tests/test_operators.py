@@ -140,3 +140,16 @@ def test_bucketed_join_without_timestamps(spark):
     nulls = fact.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
     j = effective_dated_join(nulls, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0)
     assert j.count() == fact.count() and j.filter("name is not null").count() == 0
+
+
+def test_raise_on_error_only_for_error_severity(spark):
+    import pytest
+
+    from stationlake.operators import raise_on_error
+
+    df = spark.createDataFrame([("a",), ("z",)], "v string")
+    warn_only = quality_report([Check("accepted_values", "v", check_accepted_values(df, "v", ["a"]), "warn")])
+    assert [r.status for r in raise_on_error(warn_only)] == ["warn"]
+    failing = quality_report([Check("accepted_values", "v", check_accepted_values(df, "v", ["a"]))])
+    with pytest.raises(AssertionError, match="accepted_values"):
+        raise_on_error(failing)

@@ -125,3 +125,20 @@ def test_archives_explode_and_route(spark, tmp_path):
     ]
     df = spark.createDataFrame([("z", bytearray(content))], "archive string, content binary")
     assert explode_archives(df).count() == 4
+
+
+def test_resolve_relative_links(spark):
+    df = spark.createDataFrame(
+        [
+            ("https://h.example/climate/daily/kl/recent/?C=M", "tageswerte_KL_00044_akt.zip"),
+            ("https://h.example/climate/daily/kl/recent/", "/top.txt"),
+            ("https://h.example/a/b.html#x", "http://other.example/c.pdf"),
+        ],
+        "url string, href string",
+    )
+    got = [r.u for r in df.select(resolve_links(F.col("url"), F.col("href")).alias("u")).collect()]
+    assert got == [
+        "https://h.example/climate/daily/kl/recent/tageswerte_KL_00044_akt.zip",
+        "https://h.example/top.txt",
+        "http://other.example/c.pdf",
+    ]
