@@ -14,6 +14,7 @@ partitioned by UTC month and clustered by time, then runs the quality job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -242,8 +243,8 @@ def run_raw(
     obs = {name: Observation(name) for name in ("main", "metadata_geo", "metadata_operator")}
     geo = geo.observe(obs["metadata_geo"], F.count(F.lit(1)).alias("rows"))
     op = op.observe(obs["metadata_operator"], F.count(F.lit(1)).alias("rows"))
-    paths = {
-        "main": write_partitioned(
+    writes = {
+        "main": lambda: write_partitioned(
             main,
             f"{out}/main",
             ["year"],
@@ -252,9 +253,15 @@ def run_raw(
             observation=obs["main"],
         ),
         # The histories are a few thousand rows: one file each.
-        "metadata_geo": write_csv(geo.coalesce(1), f"{out}/metadata_geo"),
-        "metadata_operator": write_csv(op.coalesce(1), f"{out}/metadata_operator"),
+        "metadata_geo": lambda: write_csv(geo.coalesce(1), f"{out}/metadata_geo"),
+        "metadata_operator": lambda: write_csv(op.coalesce(1), f"{out}/metadata_operator"),
     }
+    # The three writes are independent Spark jobs: submitted from separate
+    # driver threads, the small history writes use slots the large write
+    # leaves idle instead of waiting for it.
+    with ThreadPoolExecutor(len(writes)) as pool:
+        futures = {name: pool.submit(write) for name, write in writes.items()}
+        paths = {name: f.result() for name, f in futures.items()}
     if counts is not None:
         counts.update({name: o.get["rows"] for name, o in obs.items()})
     return paths
