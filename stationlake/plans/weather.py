@@ -58,6 +58,7 @@ from ..schemas import (
     STAGING_COLUMNS,
 )
 from ..operators import distinct_values, group_max, top_k
+from ..session import materialize_counted
 from ..sinks import create_view, write_csv, write_partitioned
 from ..sources import extract_links, member_lines, new_files, read_archives, read_delimited, read_sectioned, read_table
 from ..sources.delimited import bind_by_header
@@ -324,15 +325,24 @@ def dim_operator(op: DataFrame) -> DataFrame:
     )
 
 
-def fact_measurements(stg: DataFrame, geo: DataFrame, op: DataFrame, **join_options) -> DataFrame:
+def fact_measurements(
+    stg: DataFrame,
+    geo: DataFrame,
+    op: DataFrame,
+    geo_rows: int | None = None,
+    op_rows: int | None = None,
+    **join_options,
+) -> DataFrame:
     """Measurements with the location and operator valid on their day.
     Overlapping history rows multiply measurements (reported by the unique
-    check); measurements without a valid history row keep NULLs."""
+    check); measurements without a valid history row keep NULLs.
+    ``geo_rows`` / ``op_rows``: known row counts of already materialised
+    histories (then pass ``materialize_dim=False``)."""
     f = effective_dated_join(
-        stg, geo, "station_id", "dt_measurement_utc", "dt_geo_start", "dt_geo_end", **join_options
+        stg, geo, "station_id", "dt_measurement_utc", "dt_geo_start", "dt_geo_end", dim_rows=geo_rows, **join_options
     )
     f = effective_dated_join(
-        f, op, "station_id", "dt_measurement_utc", "dt_op_start", "dt_op_end", **join_options
+        f, op, "station_id", "dt_measurement_utc", "dt_op_start", "dt_op_end", dim_rows=op_rows, **join_options
     )
     f = f.withColumn("lat_long", concat_nullable(F.col("latitude"), F.col("longitude")))
     return f.select(*FACT_COLUMNS)
@@ -379,8 +389,13 @@ def build_fact(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, D
     # The staging model is a view: evaluated inside the fact build.
     create_view(stg_measurements(main), "stg_measurements")
     stg = read_table(spark, "stg_measurements")
-    geo, op = dim_geo(geo_raw), dim_operator(op_raw)
-    fact = fact_measurements(stg, geo, op)
+    # Both histories are written once to the shared folder (lineage cut,
+    # rows counted during the write), in parallel: they are independent jobs.
+    with ThreadPoolExecutor(2) as pool:
+        geo_job = pool.submit(materialize_counted, dim_geo(geo_raw), "dim_geo")
+        op_job = pool.submit(materialize_counted, dim_operator(op_raw), "dim_operator")
+        (geo, geo_n), (op, op_n) = geo_job.result(), op_job.result()
+    fact = fact_measurements(stg, geo, op, geo_n["rows"], op_n["rows"], materialize_dim=False)
     return fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op
 
 
