@@ -1,14 +1,18 @@
 """The observation pipeline: raw text -> clean tables -> star schema.
 
 Entry point A (raw): ``fetch_*`` read the category folders
-(``<root>/<category>/tables`` and ``<root>/<category>/metadata``),
-``transform_*`` clean them, ``run_raw`` writes the measurements partitioned
-by local year and the two histories as CSV.
+(``<root>/<category>/tables`` and ``<root>/<category>/metadata``) or, with
+``*_from_archives``, the zip archives themselves; ``transform_*`` clean them;
+``run_raw`` writes the measurements partitioned by local year and the two
+histories as CSV. ``listing_links`` / ``links_to_fetch`` select what to
+download.
 
 Entry point B (marts): ``stg_measurements`` (a view in the source: one row
 per station and day, typed, keyed), ``dim_geo``, ``dim_operator`` and
-``fact_measurements`` (effective-dated joins), ``run_marts`` publishes the fact
-partitioned by UTC month and clustered by time, then runs the quality job.
+``fact_measurements`` (effective-dated joins); ``run_marts`` publishes the
+fact partitioned by UTC month and clustered by time, then reports the
+declared tests. ``run_all`` / ``main`` run both; ``station_year_max``,
+``years_since`` and ``hottest_days`` are the exploratory queries.
 """
 
 from __future__ import annotations
@@ -33,23 +37,26 @@ from ..operators import (
     Check,
     check_relationships,
     check_unique,
+    distinct_values,
     effective_dated_join,
+    group_max,
     keep_first,
     quality_report,
     raise_on_error,
     row_checks,
+    top_k,
     total_order,
     union_categories,
 )
 from ..schemas import (
     CATEGORIES,
-    LISTING_KEEP,
-    MEASUREMENT_FILE_TOKEN,
     FACT_COLUMNS,
     GEO_COLUMNS,
     GEO_FILE_GLOB,
     GEO_RENAMES,
+    LISTING_KEEP,
     MEASUREMENT_COLUMNS,
+    MEASUREMENT_FILE_TOKEN,
     OPERATOR_COLUMNS,
     OPERATOR_FILE_GLOB,
     OPERATOR_MARKER,
@@ -57,10 +64,17 @@ from ..schemas import (
     QUALITY_LEVELS,
     STAGING_COLUMNS,
 )
-from ..operators import distinct_values, group_max, top_k
 from ..session import materialize_counted
 from ..sinks import create_view, write_csv, write_partitioned
-from ..sources import extract_links, member_lines, new_files, read_archives, read_delimited, read_sectioned, read_table
+from ..sources import (
+    extract_links,
+    member_lines,
+    new_files,
+    read_archives,
+    read_delimited,
+    read_sectioned,
+    read_table,
+)
 from ..sources.delimited import bind_by_header
 from ..sources.sections import sectioned_rows
 from ..sources.tables import read_csv_table, read_parquet
