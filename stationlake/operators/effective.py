@@ -120,6 +120,25 @@ def effective_dated_join(
     return f.join(d, cond, how).drop("__dk", "__bucket", "__fbucket")
 
 
+# Units tried from coarse to fine, with their length in seconds.
+_UNITS = [("year", 365 * 86400), ("month", 30 * 86400), ("day", 86400), ("hour", 3600), ("minute", 60), ("second", 1)]
+
+
+def choose_bucket(df: DataFrame, ts: str, min_buckets: int = 10_000) -> str:
+    """The coarsest time unit that cuts the span of ``ts`` into at least
+    ``min_buckets`` buckets (one small aggregate): a key holding a third of
+    the rows is then spread over that many cells at least, while the
+    across-bucket level keeps few rows per key."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:
+        return "day"
+    span = max((hi - lo).total_seconds(), 1.0)
+    for unit, seconds in _UNITS:
+        if span / seconds >= min_buckets:
+            return unit
+    return "second"
+
+
 def intervals_from_starts(
     df: DataFrame,
     key: str | Sequence[str],
@@ -141,8 +160,11 @@ def intervals_from_starts(
     one row per (key, bucket) (its first start), joined back on (key,
     bucket). A hot key is split over its buckets; ``bucket`` should be fine
     enough for the data's time span that one (key, bucket) cell stays small.
+    ``bucket="auto"`` picks it from the span (``choose_bucket``).
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if bucket == "auto":
+        bucket = choose_bucket(df, ts)
     b = df.select(*keys, ts, *extra).withColumn("__b", F.date_trunc(bucket, F.col(ts)))
     inner = Window.partitionBy(*keys, "__b").orderBy(ts, *tiebreak)
     b = b.withColumn("__next", F.lead(ts).over(inner))

@@ -85,9 +85,9 @@ def measurement_lines(events: DataFrame) -> DataFrame:
 
 def _history(events: DataFrame, kind: str) -> DataFrame:
     starts = events.filter(F.col("event_type") == kind).select("user_id", "ts", "event_id", "value")
-    # minute buckets: a hot user is split into small cells (see queries)
+    # buckets chosen from the time span: a hot user is split into small cells
     iv = intervals_from_starts(
-        starts, "user_id", "ts", bucket="minute", extra=["event_id", "value"], tiebreak=["event_id"]
+        starts, "user_id", "ts", bucket="auto", extra=["event_id", "value"], tiebreak=["event_id"]
     )
     return iv.withColumns(
         {

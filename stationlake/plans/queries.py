@@ -132,16 +132,15 @@ def event_histories(spark, sf_dir, touching: bool):
     starts = ev.filter(F.col("event_type").isin("signup", "error")).select(
         "user_id", F.col("event_type").alias("kind"), "ts", "event_id", "value"
     )
-    # Events span about a month at every scale: minute buckets split a user
-    # holding a third of the rows into ~43,000 cells, and the across-bucket
-    # level holds at most 43,200 rows per user.
+    # Buckets fine enough for the data's time span (events span about a
+    # month: minutes, so a user holding a third of the rows is ~43,000 cells).
     both, counts = materialize_counted(
         intervals_from_starts(
             starts,
             ["user_id", "kind"],
             "ts",
             touching=touching,
-            bucket="minute",
+            bucket="auto",
             extra=["event_id", "value"],
             tiebreak=["event_id"],
         ),

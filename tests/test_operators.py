@@ -153,3 +153,14 @@ def test_raise_on_error_only_for_error_severity(spark):
     failing = quality_report([Check("accepted_values", "v", check_accepted_values(df, "v", ["a"]))])
     with pytest.raises(AssertionError, match="accepted_values"):
         raise_on_error(failing)
+
+
+def test_choose_bucket_from_span(spark):
+    from stationlake.operators.effective import choose_bucket
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")  # about a month
+    assert choose_bucket(ev, "ts") == "minute"
+    days = spark.sql("select explode(sequence(date'1781-01-01', date'2030-12-31')) as d").selectExpr(
+        "cast(d as timestamp_ntz) as ts"
+    )
+    assert choose_bucket(days, "ts") == "day"
