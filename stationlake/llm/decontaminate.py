@@ -13,6 +13,8 @@ columns live beside a struct of the row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +66,10 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, step, lambda s: s["n"])
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``doc`` (struct of its columns), ``n_words``,
+def scan(
+    docs: DataFrame, benchmark: DataFrame, n: int = 13, keep: Sequence[str] | None = None, text: str = "text"
+) -> DataFrame:
+    """Per row of ``docs``: ``doc`` (struct of its columns, or of ``keep``), ``n_words``,
     ``spans`` (array of pos, len over words, from 1), ``n_hit``, ``items``.
 
     The document goes along once, on the extra position 0 that every row has;
@@ -80,7 +84,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text")
     small = seen["rows"] <= MAX_BROADCAST_WINDOWS and seen["bytes"] <= MAX_BROADCAST_BYTES
 
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
         F.monotonically_increasing_id().alias("rid"),
         words_of(F.col(text)).alias("w"),
     )

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprint, line_dedup, sharding
+from stationlake.llm import decontaminate, fingerprint, line_dedup, ngram_join, sharding
 from stationlake.llm._common import table
 
 
@@ -62,7 +62,7 @@ def op7_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """13-word windows of ``benchmark`` found in all ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), 13)
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), 13, keep=["doc_id"])
     return found.select(
         F.col("doc.doc_id").alias("doc_id"),
         "n_words",
@@ -102,11 +102,17 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all ``documents`` whose 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
     "op7_scaled_sketch": op7_scaled_sketch,
     "op8_decontamination": op8_decontamination,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op8_decontamination": OP8_SQL}
