@@ -14,11 +14,12 @@ is cut into fragments.
    threshold in integers.
 
 Equal sets are one node from the start. The members of a bucket of candidates
-are compared with one hub, not with each other. Two members that both link
+are compared with one hub, that which shares most with others (the original of
+a group of edited copies), not with each other. Two members that both link
 with the hub are in one component anyway. For a member ``u`` that does not,
 let ``D(u)`` be its symmetric difference with the hub: as
 ``|u ^ v| = |D(u) ^ D(v)|``, a link between ``u`` and another member ``v``
-needs a number of common elements of ``D(u)`` and ``D(v)`` that only sizes
+needs a number of common elements of ``D(u)`` and ``D(v)`` that their sizes
 decide. These are found by a prefix filter over the differences, rarest first
 (nearly all of them are edits that no other copy has), and compared as above.
 So no link is lost, and a group of copies is never expanded into its pairs.
@@ -49,8 +50,8 @@ CLASS_RATIO = 1.5
 COUNT_FRAGMENTS = 8
 #: Words whose hashes a task remembers at a time.
 WORD_CACHE = 400_000
-#: Up to so many ids of candidates are broadcast to pick their texts; more are joined by a shuffle.
-MAX_BROADCAST_IDS = 2_000_000
+#: Up to so many ids or keys are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_IDS = 1_000_000
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -190,34 +191,51 @@ def _links(both: Column, total: Column, percent: int) -> Column:
     return both * 100 >= (total - both) * percent
 
 
+def _small(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written; marked for a broadcast if it has few rows (of ids and keys only)."""
+    out, seen = materialize_counted(df, name)
+    return F.broadcast(out) if seen["rows"] <= MAX_BROADCAST_IDS else out
+
+
+def _hub_pairs(filed: DataFrame) -> DataFrame:
+    """a (member), b (hub), crowd (some common bucket has a third member)."""
+    shared = filed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
+    shared = _small(shared.where("low < high").select("key", "size"), "shared-fragments")
+    buckets = materialize(filed.join(shared, "key"), "fragment-buckets")
+    score = buckets.groupBy("node").agg(F.sum("size").alias("score"))
+    best = F.max(F.struct("score", (-F.col("node")).alias("neg")))
+    hubs = buckets.join(score, "node").groupBy("key").agg(best.alias("best"))
+    hubs = hubs.select("key", (-F.col("best.neg")).alias("hub"))
+    pairs = buckets.join(hubs, "key").where(F.col("node") != F.col("hub"))
+    return pairs.groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.max(F.col("size") > 2).alias("crowd"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``. Two documents
     link at ``100 * intersection >= percent * union``; ``component_id`` is the
     smallest doc_id that links reach."""
-    sets = materialize(fragments(docs, n, percent), "ngram-sets")
+    sets = fragments(docs, n, percent).withColumn("node", F.monotonically_increasing_id())
+    sets = materialize(sets, "ngram-sets")
     known = sets.where(F.col("k1").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "keys")).alias("r"))
-    nodes = nodes.select("k1", "k2", F.col("r.doc_id").alias("first"), F.col("r.keys").alias("keys"))
-    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
+    firsts = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "node")).alias("r"))
+    nodes = materialize(firsts.select("k1", "k2", F.col("r.doc_id").alias("first"), F.col("r.node").alias("node")), "ngram-nodes")
 
-    filed = nodes.select("node", F.explode("keys").alias("key"))
-    shared = filed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    shared = shared.where(F.col("hub") < F.col("last")).drop("last")
-    pairs = filed.join(shared, "key").where(F.col("node") != F.col("hub"))
-    pairs, seen = materialize_counted(pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
+    copies = known.select("node").join(nodes.select("node"), "node", "left_anti")
+    filed = known.select("node", "keys").join(_small(copies, "copies"), "node", "left_anti")
+    filed = filed.select("node", F.explode("keys").alias("key"))
+    pairs, seen = materialize_counted(_hub_pairs(filed), "hub-pairs")
 
     named = nodes.select("k1", "k2", F.col("first").alias("component_id"))
     if seen["rows"]:
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted, found = materialize_counted(nodes.drop("keys").join(wanted, "node", "left_semi"), "candidates")
-        pick = F.broadcast(wanted) if found["rows"] <= MAX_BROADCAST_IDS else wanted
-        texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(pick, "first")
+        wanted = _small(nodes.join(wanted, "node", "left_semi"), "candidates")
+        texts = docs.select(F.col("doc_id").cast("long").alias("first"), "text").join(wanted, "first")
         segs = segments(texts, n, COUNT_FRAGMENTS)
         if not known.groupBy("doc_id").count().where("count > 1").isEmpty():
             segs = segs.dropDuplicates(["node", "frag"])
         segs = materialize(segs, "candidate-segments")
         comp = components(_all_links(pairs, segs, percent))
-        comp = wanted.join(comp, "node").select("node", "component", "first")
+        comp = nodes.join(comp, "node").select("node", "component", "first")
         least = comp.groupBy("component").agg(F.min("first").alias("least"))
         comp = comp.join(least, "component").select("node", "least")
         named = nodes.join(comp, "node", "left").select("k1", "k2", F.coalesce("least", "first").alias("component_id"))
@@ -231,12 +249,14 @@ def _all_links(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     ``pairs`` has each member (a) with the hub (b)."""
     c, s = 100 - percent, 100 + percent
     total = F.col("na") + F.col("nb")
-    star = _overlaps(pairs, segs).withColumn("linked", _links(F.col("both"), total, percent))
+    star = _overlaps(pairs.select("a", "b"), segs).withColumn("linked", _links(F.col("both"), total, percent))
     star = materialize(star.withColumn("d", total - F.col("both") * 2), "hub-overlaps")
 
-    # Members of hubs that some member does not link with, and their differences from the hub.
-    loose = star.where(~F.col("linked")).select("b").distinct()
-    members = star.join(loose, "b", "left_semi")
+    # Differences from the hub: of members that share a bucket with a third
+    # one, where the hub has some that do not link with it.
+    members = star.join(pairs.where("crowd").select("a", "b"), ["a", "b"], "left_semi")
+    loose = members.where(~F.col("linked")).select("b").distinct()
+    members = materialize(members.join(loose, "b", "left_semi"), "loose-members")
     differ = F.array_union(F.array_except("ga", "gb"), F.array_except("gb", "ga"))
     diffs = _fragment_pairs(members.select("a", "b"), segs).select("a", "b", F.explode(differ).alias("gram"))
     diffs = materialize(diffs, "hub-differences")
