@@ -3,12 +3,13 @@ where SQL can express them."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import decontaminate, fingerprint, line_dedup, ngram_join, sharding
+from stationlake.llm import bpe, decontaminate, fingerprint, html_diff, line_dedup, ngram_join, sharding, warc
 from stationlake.llm._common import table
 
 
@@ -107,12 +108,61 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), 3, 90)
 
 
+def word_vocabulary() -> str:
+    """Path of the public word-level BPE vocabulary; ``STATIONLAKE_WORD_BPE`` names another."""
+    named = os.environ.get("STATIONLAKE_WORD_BPE")
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` encoded with a public BPE vocabulary and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.encode(docs, word_vocabulary(), ids=False)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` written as web archives, read back and assembled to captures."""
+    captures = warc.archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    digest = F.coalesce("response.payload_digest", "response.digest")
+    return captures.select(
+        F.col("metadata.page_id").alias("page_id"),
+        F.coalesce("response.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
+        digest.alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.col("original.page_id").alias("refers_to"),
+    )
+
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+def op5_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all ``pages`` by structure and nearest-URL differencing."""
+    return html_diff.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
     "op7_scaled_sketch": op7_scaled_sketch,
     "op8_decontamination": op8_decontamination,
     "op9_ngram_join": op9_ngram_join,
+    "op10_bpe": op10_bpe,
+    "op6_warc": op6_warc,
+    "op5_page_diff": op5_page_diff,
 }
 
-ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op8_decontamination": OP8_SQL}
+ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op8_decontamination": OP8_SQL, "op6_warc": OP6_SQL}
