@@ -102,6 +102,8 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
         elif tag in RAW and not m[3].endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
+        elif tag == "body":  # what came before is over, closed or not
+            stack, noise, main = [(tag, 0, 0)], int(_is_noise(tag, m[3], False)), 0
         elif tag not in VOID and not m[3].endswith("/"):
             if tag == "p":  # a paragraph ends where the next one starts
                 while stack and stack[-1][0] == "p":

@@ -5,10 +5,13 @@ is cut into fragments.
 
 1. A document's set is cut at size-class dependent fragments. Two sets of at
    most ``u`` n-grams with Jaccard ``t`` differ in at most
-   ``h = 2u(1-t)/(1+t)`` n-grams, so of ``h + 1 + SPARE`` fragments more than
-   ``SPARE`` are equal in both. Documents that share a non-empty fragment are
-   candidates. (A set with more than ``SPARE`` empty fragments also offers
-   those, so that nothing rests on chance.)
+   ``h = 2u(1-t)/(1+t)`` n-grams, so of ``h + 1 + spare`` fragments more than
+   ``spare`` are equal in both. ``spare`` is more than nearly every set has of
+   empty fragments; a set with more offers those too, so that nothing rests on
+   chance. From the sizes follows how many fragments a set must share at
+   least, and hence how many of its commonest fragments need not be filed (a
+   prefix filter over fragments, rarest first). Documents that share a filed
+   fragment are candidates.
 2. For a candidate pair each fragment of the order counts its part of the
    overlap on its own; the counts are summed per pair and compared with the
    threshold in integers.
@@ -45,7 +48,6 @@ from stationlake.llm._common import small_batches
 from stationlake.llm._components import components
 from stationlake.session import materialize, materialize_counted
 
-SPARE = 3
 CLASS_RATIO = 1.5
 COUNT_FRAGMENTS = 8
 #: Words whose hashes a task remembers at a time.
@@ -84,9 +86,10 @@ def ngram_set(text: str | None, n: int, cache: _WordHash) -> np.ndarray:
     return np.unique(out)
 
 
-def size_classes(n: int, percent: int) -> list[tuple[int, int]]:
-    """(class, fragments) under which a set of ``n`` n-grams is filed: its own
-    class, and the next if a partner may be in it."""
+def size_classes(n: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """(class, fragments, spare, least) under which a set of ``n`` n-grams is
+    filed: its own class, and the next if a partner may be in it. ``least`` is
+    the number of equal fragments that it has with any partner."""
 
     def low(k: int) -> int:
         return int(np.ceil(CLASS_RATIO**k))
@@ -97,27 +100,40 @@ def size_classes(n: int, percent: int) -> list[tuple[int, int]]:
     out = []
     for c in (k, k + 1):
         if c == k or 100 * n >= percent * low(c):
-            differ = 2 * (low(c + 1) - 1) * (100 - percent) // (100 + percent)
-            out.append((c, differ + 1 + SPARE))
+            top = low(c + 1) - 1
+            differ = 2 * top * (100 - percent) // (100 + percent)
+            spare = 3
+            for _ in range(12):  # empty fragments to expect in a small set of the class, and five deviations
+                parts = differ + 1 + spare
+                empty = parts * np.exp(-low(c) / parts)
+                spare = max(3, int(np.ceil(empty + 5 * np.sqrt(empty))))
+            parts = differ + 1 + spare
+            partner = min(top, 100 * n // percent)
+            out.append((c, parts, spare, parts - (100 - percent) * (n + partner) // (100 + percent)))
     return out
 
 
-def fragment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the non-empty fragments of a sorted set, under each size class."""
-    keys = []
+def fragment_keys(grams: np.ndarray, percent: int) -> tuple[np.ndarray, list[int], list[int]]:
+    """Hashes of the fragments of a sorted set under each size class (two at
+    most), the number of them, and how many of them a partner has at least."""
+    keys, number, least = [], [], []
     with np.errstate(over="ignore"):
-        for c, parts in size_classes(len(grams), percent):
+        for c, parts, spare, equal in size_classes(len(grams), percent):
             # Fragment = position of the hash's high 32 bits in the order's range.
             frag = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.r_[True, frag[1:] != frag[:-1]])
             total = np.add.reduceat(_mix(grams * _M1 + np.uint64(c)), first)
-            number = np.diff(np.r_[first, len(grams)]).astype(np.uint64)
+            sizes = np.diff(np.r_[first, len(grams)]).astype(np.uint64)
             tag = np.uint64(c * 1_000_003) + frag[first]
-            keys.append(_mix(_mix(total + _M2 * tag) + number))
-            if parts - len(first) > SPARE:
-                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), frag[first])
-                keys.append(_mix(_mix(_M3 * (np.uint64(c * 1_000_003) + empty))))
-    return np.concatenate(keys)
+            own = [_mix(_mix(total + _M2 * tag) + sizes)]
+            empty = parts - len(first)
+            if empty > spare:
+                blank = np.setdiff1d(np.arange(parts, dtype=np.uint64), frag[first])
+                own.append(_mix(_mix(_M3 * (np.uint64(c * 1_000_003) + blank))))
+            keys += own
+            number.append(sum(map(len, own)))
+            least.append(max(1, equal - min(empty, spare)))
+    return np.concatenate(keys), number, least
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -125,7 +141,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def fragments(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per document: doc_id, n_grams, set key (k1, k2; NULL without words) and ``keys``."""
+    """Per document: doc_id, n_grams, set key (k1, k2; NULL without words), the
+    ``keys`` of its fragments, their ``number`` and ``least`` by size class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _WordHash()
@@ -134,15 +151,17 @@ def fragments(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for i, text in zip(b["doc_id"], b["text"]):
                 g = ngram_set(text, n, cache)
                 if len(g):
-                    rows.append((i, len(g), *_key(g), _signed(fragment_keys(g, percent))))
+                    keys, number, least = fragment_keys(g, percent)
+                    rows.append((i, len(g), *_key(g), _signed(keys), number, least))
                 else:
-                    rows.append((i, 0, None, None, None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_grams", "k1", "k2", "keys"])
+                    rows.append((i, 0, None, None, None, None, None))
+            out = pd.DataFrame(rows, columns=["doc_id", "n_grams", "k1", "k2", "keys", "number", "least"])
             yield out.astype({"doc_id": "Int64", "n_grams": "int64", "k1": "Int64", "k2": "Int64"})
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInPandas(run, "doc_id long, n_grams long, k1 long, k2 long, keys array<long>")
+    schema = "doc_id long, n_grams long, k1 long, k2 long, keys array<long>, number array<int>, least array<int>"
+    return rows.mapInPandas(run, schema)
 
 
 def _key(grams: np.ndarray) -> tuple[int, int]:
@@ -201,7 +220,14 @@ def _hub_pairs(filed: DataFrame) -> DataFrame:
     """a (member), b (hub), crowd (some common bucket has a third member)."""
     shared = filed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
     shared = _small(shared.where("low < high").select("key", "size"), "shared-fragments")
-    buckets = materialize(filed.join(shared, "key"), "fragment-buckets")
+    # Rarest first, after those that nobody else has: the last `least - 1` need no filing.
+    own = Window.partitionBy("node", "next")
+    at = filed.join(shared, "key").withColumn("nth", F.row_number().over(own.orderBy("size", "key")))
+    at = at.withColumn("alone", F.col("number") - F.count(F.lit(1)).over(own))
+    at = at.where(F.col("alone") + F.col("nth") <= F.col("number") - F.col("least") + 1).select("key", "node")
+    at = materialize(at, "filed-fragments")
+    shared = at.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = materialize(at.join(shared, "key"), "fragment-buckets")
     score = buckets.groupBy("node").agg(F.sum("size").alias("score"))
     best = F.max(F.struct("score", (-F.col("node")).alias("neg")))
     hubs = buckets.join(score, "node").groupBy("key").agg(best.alias("best"))
@@ -221,8 +247,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     nodes = materialize(firsts.select("k1", "k2", F.col("r.doc_id").alias("first"), F.col("r.node").alias("node")), "ngram-nodes")
 
     copies = known.select("node").join(nodes.select("node"), "node", "left_anti")
-    filed = known.select("node", "keys").join(_small(copies, "copies"), "node", "left_anti")
-    filed = filed.select("node", F.explode("keys").alias("key"))
+    filed = known.select("node", "keys", "number", "least").join(_small(copies, "copies"), "node", "left_anti")
+    filed = filed.select("node", "number", "least", F.posexplode("keys").alias("pos", "key"))
+    filed = filed.withColumn("next", (F.col("pos") >= F.get("number", F.lit(0))).cast("int"))
+    filed = filed.select("node", "key", "next", F.get("number", F.col("next")).alias("number"), F.get("least", F.col("next")).alias("least"))
     pairs, seen = materialize_counted(_hub_pairs(filed), "hub-pairs")
 
     named = nodes.select("k1", "k2", F.col("first").alias("component_id"))

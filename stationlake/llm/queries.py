@@ -6,10 +6,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import bpe, decontaminate, fingerprint, html_diff, line_dedup, ngram_join, sharding, warc
+from stationlake.llm import bpe, decontaminate, fingerprint, html_diff, line_dedup, ngram_join, pii, quality, sharding, warc
 from stationlake.llm._common import table
 
 
@@ -154,6 +154,29 @@ def op5_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_diff.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all ``documents``, learned from ``labels.quality`` outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and credentials in all ``documents``."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.PATTERNS],
+        F.sha2(pii.as_string(base).cast("binary"), 256).alias("base_sha256"),
+        pii.as_string(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
@@ -163,6 +186,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
     "op6_warc": op6_warc,
     "op5_page_diff": op5_page_diff,
+    "op4_quality": op4_quality,
+    "op2_pii": op2_pii,
 }
 
 ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op8_decontamination": OP8_SQL, "op6_warc": OP6_SQL}
