@@ -154,11 +154,11 @@ def line_table(pages: DataFrame) -> DataFrame:
             out["places"] = [[p for p, _ in c] for c in cut]
             out["lines"] = [[t for _, t in c] for c in cut]
             out["hashes"] = [np.array([xxhash.xxh64_intdigest(t) for _, t in c], np.uint64).view(np.int64) for c in cut]
-            yield out.astype({"page_id": "Int64"})
+            yield out
 
     small_batches(pages.sparkSession, 128)
-    schema = "page_id long, url string, places array<int>, lines array<string>, hashes array<long>"
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(run, schema)
+    schema = "page_id string, url string, places array<int>, lines array<string>, hashes array<long>"
+    rows = pages.select(F.col("page_id").cast("string"), "url", "html").mapInPandas(run, schema)  # NULLs keep ids exact
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(url, r"^[^/?#]*", 0))
     path = F.regexp_extract(url, r"^[^/?#]*([^?#]*)", 1)
@@ -169,7 +169,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per page: ``page_id, url, text, n_chars``."""
     table = materialize(line_table(pages), "page-lines")
     # The order needs hosts and paths alone; a hot host is many partitions of one range sort.
-    ranked, _ = global_rank(table.select("row", "host", "path", "page_id"), ["host", "path", "page_id", "row"], "page-order")
+    ranked, _ = global_rank(table.select("row", "host", "path"), ["host", "path", "row"], "page-order")
     place = ranked.select("row", "rank", "host")
     hashes = table.select("row", "hashes").join(place, "row")
     beside = hashes.select((F.col("rank") + 1).alias("rank"), "host", F.col("hashes").alias("other")).union(
@@ -193,6 +193,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts.append("\n".join(t for t, k in zip(lines, keep) if k))
             out = b[["page_id", "url"]].copy()
             out["text"], out["n_chars"] = texts, [len(t) for t in texts]
-            yield out.astype({"page_id": "Int64"})
+            yield out
 
-    return joined.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    out = joined.mapInPandas(run, "page_id string, url string, text string, n_chars long")
+    return out.withColumn("page_id", F.col("page_id").cast("long"))

@@ -155,13 +155,14 @@ def fragments(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     rows.append((i, len(g), *_key(g), _signed(keys), number, least))
                 else:
                     rows.append((i, 0, None, None, None, None, None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_grams", "k1", "k2", "keys", "number", "least"])
-            yield out.astype({"doc_id": "Int64", "n_grams": "int64", "k1": "Int64", "k2": "Int64"})
+            # As objects: columns with NULLs would pass through floats and lose digits.
+            out = pd.DataFrame(rows, columns=["doc_id", "n_grams", "k1", "k2", "keys", "number", "least"], dtype=object)
+            yield out.astype({"n_grams": "int64", "k1": "Int64", "k2": "Int64"})
 
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    schema = "doc_id long, n_grams long, k1 long, k2 long, keys array<long>, number array<int>, least array<int>"
-    return rows.mapInPandas(run, schema)
+    rows = docs.select(F.col("doc_id").cast("string"), "text")
+    schema = "doc_id string, n_grams long, k1 long, k2 long, keys array<long>, number array<int>, least array<int>"
+    return rows.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _key(grams: np.ndarray) -> tuple[int, int]:

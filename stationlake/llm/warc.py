@@ -154,7 +154,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                         hashlib.sha256(body).hexdigest() if body is not None else None, body if payloads else None,
                     ))
                 names = [c.split()[0] for c in RECORD.split(", ")]
-                yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "payload_bytes": "Int64"})
+                yield pd.DataFrame(rows, columns=names, dtype=object).astype({"page_id": "Int64", "payload_bytes": "Int64"})
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a file is a row
     files = spark.read.format("binaryFile").load(path).select("content")
