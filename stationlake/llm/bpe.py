@@ -88,6 +88,9 @@ class Vocabulary:
         return [self.ids[p] for p in parts if p is not None and p in self.ids]
 
 
+SEPARATORS = regex.compile(r"[\x1c-\x1f]")
+
+
 class Words:
     """Cuts a text into the words that are merged each by itself."""
 
@@ -101,12 +104,18 @@ class Words:
         return self.find(text)
 
     def __call__(self, text: str) -> Iterator[tuple[list[str], str | None]]:
-        """(words, special token after them) through the text."""
+        """(runs without white space, special token after them) through the text.
+        No word goes over white space, so runs can be cut into words each by itself."""
         at = 0
         for m in self.special.finditer(text):
-            yield self.plain(text[at : m.start()]), m.group()
+            yield self.runs(text[at : m.start()]), m.group()
             at = m.end()
-        yield self.plain(text[at:]), None
+        yield self.runs(text[at:]), None
+
+    @staticmethod
+    def runs(text: str) -> list[str]:
+        # Here split() also cuts at U+001C to U+001F, which are no white space for the file's engine.
+        return [text] if SEPARATORS.search(text) else text.split()
 
 
 class Lexicon:
@@ -207,21 +216,23 @@ class Lexicon:
 
 
 class Encoder(dict):
-    """Words to id bytes: remembered, else from the lexicon, else merged."""
+    """Runs without white space to id bytes: remembered, else word by word from
+    the lexicon, else merged."""
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
         self.vocab, self.lexicon, self.words = vocab, lexicon, Words(vocab)
         self.special = {t: struct.pack("<I", i) for t, i in vocab.special.items()}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, run: str) -> bytes:
         if len(self) >= WORD_CACHE:
             self.clear()
-        ids = self.lexicon.get(word)
-        if ids is None:
-            ids = np.asarray(self.vocab.merge(word), "<u4").tobytes()
-        self[word] = ids
+        ids = self[run] = b"".join(map(self.word, self.words.plain(run)))
         return ids
 
+    def word(self, word: str) -> bytes:
+        ids = self.lexicon.get(word)
+        return np.asarray(self.vocab.merge(word), "<u4").tobytes() if ids is None else ids
+
     def encode(self, text: str) -> bytes:
         out = []
         for words, special in self.words(text):
@@ -245,14 +256,19 @@ def word_counts(docs: DataFrame, spec: dict) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, counts = Words(Vocabulary(shared.value)), Counter()
+
+        def portion() -> pd.DataFrame:
+            rows = [(w, n) for run, n in counts.items() for w in words.plain(run)]
+            counts.clear()
+            return pd.DataFrame(rows, columns=["word", "n"]).astype({"word": str, "n": "int64"})
+
         for b in batches:
             for text in b["text"]:
-                for found, _ in words(text or ""):
-                    counts.update(found)
+                for runs, _ in words(text or ""):
+                    counts.update(runs)
                 if len(counts) > COUNT_CACHE:
-                    yield pd.DataFrame(counts.items(), columns=["word", "n"])
-                    counts.clear()
-        yield pd.DataFrame(list(counts.items()), columns=["word", "n"]).astype({"word": str, "n": "int64"})
+                    yield portion()
+        yield portion()
 
     small_batches(docs.sparkSession)
     parts = docs.select("text").mapInPandas(run, "word string, n long")
