@@ -36,6 +36,16 @@ def row_width(df: DataFrame) -> int:
     return 16 + sum(8 if isinstance(f.dataType, fixed) else 48 for f in df.schema.fields)
 
 
+def row_bytes(df: DataFrame):
+    """Bytes of a row as its values have them: 8 per fixed-width value, the
+    length of each string, plus a 16-byte row header."""
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for name in strings:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    return size
+
+
 def broadcastable(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Row count (proved, never counted past the bound) and estimated size
     are both below the bounds."""
@@ -60,7 +70,7 @@ def effective_dated_join(
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
-    Small history (row count and estimated bytes checked): broadcast hash
+    Small history (row count and bytes checked): broadcast hash
     join on ``key`` with the range as residual condition; the fact is not
     shuffled. Large history: both sides get a time bucket, the history
     exploded over the buckets its interval covers (clipped to the fact's
@@ -79,9 +89,9 @@ def effective_dated_join(
     dim_key = dim_key or key
     d = dim.withColumnRenamed(dim_key, "__dk")
     if materialize_dim:
-        d, metrics = materialize_counted(d, "history")
-        dim_rows = metrics["rows"]
-    if dim_rows is not None:
+        d, metrics = materialize_counted(d, "history", bytes=F.coalesce(F.sum(row_bytes(d)), F.lit(0)))
+        small = metrics["rows"] <= max_broadcast_rows and metrics["bytes"] <= max_broadcast_bytes
+    elif dim_rows is not None:
         small = dim_rows <= min(max_broadcast_rows, max_broadcast_bytes // row_width(d))
     else:
         small = broadcastable(d, max_broadcast_rows, max_broadcast_bytes)
@@ -104,7 +114,8 @@ def effective_dated_join(
     last_bucket = F.date_trunc(bucket, F.least(F.coalesce(F.col(end), hi), hi))
     d = (
         d.filter(F.col(start).isNotNull() & (F.col(start) <= hi))
-        .filter(F.col(end).isNull() | (F.col(end) >= lo))
+        # An interval that ends before it starts matches nothing.
+        .filter(F.col(end).isNull() | ((F.col(end) >= lo) & (F.col(end) >= F.col(start))))
         .withColumn(
             "__bucket",
             F.explode(F.sequence(first_bucket, last_bucket, F.expr(f"INTERVAL 1 {bucket.upper()}"))),

@@ -603,11 +603,13 @@ def new_files_q(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-def _write_orders_by_month(spark, sf_dir, times: int = 1) -> str:
+def _write_orders_by_month(spark, sf_dir, stale_month: bool = False) -> str:
     orders = table(spark, sf_dir, "orders").withColumn("month", year_month(F.col("o_orderdate")))
     path = shared_dir(spark, "orders_by_month", uuid.uuid4().hex)
-    for _ in range(times):
-        write_partitioned(orders, path, ["month"], cluster_by=["o_orderdate", "o_orderkey"])
+    if stale_month:
+        old = orders.limit(100).withColumn("month", F.lit("1900-01"))
+        write_partitioned(orders.union(old), path, ["month"], cluster_by=["o_orderdate", "o_orderkey"])
+    write_partitioned(orders, path, ["month"], cluster_by=["o_orderdate", "o_orderkey"], full_refresh=True)
     return path
 
 
@@ -616,8 +618,8 @@ def _write_orders_by_month(spark, sf_dir, times: int = 1) -> str:
     "SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders",
 )
 def partition_roundtrip(spark, sf_dir):
-    # Written twice: the second full refresh must replace, not append.
-    return read_parquet(spark, _write_orders_by_month(spark, sf_dir, times=2), {"month": "string"})
+    # Written twice: the first load has a month that the second, a full refresh, must remove.
+    return read_parquet(spark, _write_orders_by_month(spark, sf_dir, stale_month=True), {"month": "string"})
 
 
 @query(

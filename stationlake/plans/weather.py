@@ -247,11 +247,14 @@ def run_raw(
     globs = {**DEFAULT_GLOBS, **(globs or {})}
     if from_archives:
         main_raw, geo_raw = measurements_from_archives(spark, root), geo_from_archives(spark, root)
-        op_rows, _ = operator_from_archives(spark, root)
+        op_rows, rejects = operator_from_archives(spark, root)
     else:
         main_raw = fetch_measurements(spark, root, glob=globs["main"])
         geo_raw = fetch_geo(spark, root, glob=globs["metadata_geo"])
-        op_rows, _ = fetch_operator(spark, root, glob=globs["metadata_operator"])
+        op_rows, rejects = fetch_operator(spark, root, glob=globs["metadata_operator"])
+    bad = [r["file"] for r in rejects.select("file").limit(20).collect()]
+    if bad:
+        raise ValueError(f"operator history without its marker line: {', '.join(bad)}")
     main = transform_measurements(main_raw)
     geo = transform_history(geo_raw, "stations_id", ["von_datum", "bis_datum"])
     op = transform_history(op_rows, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])
@@ -266,10 +269,10 @@ def run_raw(
             cluster_by=["mess_datum", "stations_id"],
             compression="gzip",
             observation=obs["main"],
+            full_refresh=True,
         ),
-        # The histories are a few thousand rows: one file each.
-        "metadata_geo": lambda: write_csv(geo.coalesce(1), f"{out}/metadata_geo"),
-        "metadata_operator": lambda: write_csv(op.coalesce(1), f"{out}/metadata_operator"),
+        "metadata_geo": lambda: write_csv(geo, f"{out}/metadata_geo"),
+        "metadata_operator": lambda: write_csv(op, f"{out}/metadata_operator"),
     }
     # The three writes are independent Spark jobs: submitted from separate
     # driver threads, the small history writes use slots the large write
@@ -389,7 +392,9 @@ def read_raw(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, Dat
     return main, geo, op
 
 
-def build_fact(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def build_fact(
+    spark: SparkSession, paths: dict[str, str], **join_options
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(fact with its month column, dim_geo, dim_operator) from the raw files.
 
     One shuffle for the whole fact build: a range partition on (day,
@@ -409,20 +414,23 @@ def build_fact(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, D
         geo_job = pool.submit(materialize_counted, dim_geo(geo_raw), "dim_geo")
         op_job = pool.submit(materialize_counted, dim_operator(op_raw), "dim_operator")
         (geo, geo_n), (op, op_n) = geo_job.result(), op_job.result()
-    fact = fact_measurements(stg, geo, op, geo_n["rows"], op_n["rows"], materialize_dim=False)
+    fact = fact_measurements(stg, geo, op, geo_n["rows"], op_n["rows"], materialize_dim=False, **join_options)
     return fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op
 
 
-def run_marts(spark: SparkSession, paths: dict[str, str], out: str) -> tuple[str, DataFrame]:
-    """Raw files -> published fact (by UTC month, clustered by time) and the
-    quality report of the published table."""
-    fact, geo, op = build_fact(spark, paths)
+def run_marts(spark: SparkSession, paths: dict[str, str], out: str, **join_options) -> tuple[str, DataFrame]:
+    """Raw files -> published dims (``dim_geo``, ``dim_operator``) and fact (by
+    UTC month, clustered by time), and the quality report of the published fact."""
+    fact, geo, op = build_fact(spark, paths, **join_options)
+    for name, dim in (("dim_geo", geo), ("dim_operator", op)):
+        dim.write.mode("overwrite").parquet(f"{out}/{name}")
     path = write_partitioned(
         fact,
         f"{out}/fact_measurements",
         ["month"],
         cluster_by=["dt_measurement_utc", "station_id"],
-        range_partitioned=True,
+        range_partitioned=not join_options,  # a shuffled history join ends the range order
+        full_refresh=True,
     )
     published = spark.read.parquet(path)
     checks, rows = fact_checks(published, geo, op)

@@ -28,11 +28,12 @@ SQL_CONF = {
 def build_session(
     master: str | None = "local[*]",
     app: str = "stationlake",
-    shuffle_partitions: int = 8,
-    driver_memory: str = "8g",
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session for jobs and tests. On a cluster pass ``master=None``."""
+    """Session for jobs and tests. On a cluster pass ``master=None``: shuffle
+    partitions and memory are then what the cluster's configuration says."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -40,11 +41,15 @@ def build_session(
     conf.update(
         {
             "spark.ui.enabled": "false",
-            "spark.sql.shuffle.partitions": str(shuffle_partitions),
-            "spark.driver.memory": driver_memory,
             "spark.sql.execution.arrow.pyspark.enabled": "true",
         }
     )
+    if master:
+        shuffle_partitions, driver_memory = shuffle_partitions or 8, driver_memory or "8g"
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

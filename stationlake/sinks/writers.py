@@ -46,9 +46,11 @@ def write_partitioned(
     max_records_per_file: int | None = None,
     observation: Observation | None = None,
     range_partitioned: bool = False,
+    full_refresh: bool = False,
 ) -> str:
     """Hive-style partitioned Parquet. With the session's dynamic overwrite
-    mode only the partitions present in ``df`` are replaced.
+    mode only the partitions present in ``df`` are replaced; a
+    ``full_refresh`` replaces the whole table, old partitions included.
 
     ``observation`` receives the written row count (``rows``). It is taken
     after the range shuffle, so the partitioner's sampling pass over the
@@ -67,6 +69,8 @@ def write_partitioned(
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode(mode)
     w = w.option("compression", compression)
+    if full_refresh:
+        w = w.option("partitionOverwriteMode", "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.partitionBy(*partition_by).parquet(path)

@@ -88,7 +88,8 @@ def bind_by_header(
     broadcast_headers: bool = True,
 ) -> DataFrame:
     """(file, line) rows -> typed columns, each file bound by its own header
-    line (the line with a cell naming ``id_column``)."""
+    line (the line with a cell naming ``id_column``). A file with data lines
+    and no header line fails the run."""
     wanted = {clean_name(h): t for h, t in columns.items()}
     cells = F.split(F.col("line"), sep, -1)
     names = F.transform(cells, lambda z: F.lower(F.replace(z, F.lit(" "), F.lit(""))))
@@ -101,12 +102,15 @@ def bind_by_header(
     positions = header.select(
         F.col("file").alias("__file"),
         *[F.array_position(F.col("h"), F.lit(name)).cast("int").alias(_pos(name)) for name in wanted],
-    )
+    ).dropDuplicates(["__file"])  # a header line that a file repeats binds it once
     if broadcast_headers:
         positions = F.broadcast(positions)
 
     data = lines.filter(~is_header & (F.trim(F.col("line")) != ""))
-    data = data.withColumn("__cells", cells).join(positions, F.col("file") == F.col("__file"))
+    data = data.withColumn("__cells", cells).join(positions, F.col("file") == F.col("__file"), "left")
+    # Lines of a file without a header line fail the run; they are not left out.
+    lost = F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))).cast("boolean")
+    data = data.filter(F.when(F.col("__file").isNull(), lost).otherwise(F.lit(True)))
 
     def pick(name: str, dtype: str):
         pos = F.col(_pos(name))

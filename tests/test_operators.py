@@ -164,3 +164,18 @@ def test_choose_bucket_from_span(spark):
         "cast(d as timestamp_ntz) as ts"
     )
     assert choose_bucket(days, "ts") == "day"
+
+
+def test_large_history_path_skips_reversed_intervals(spark):
+    """An interval that ends before it starts matches nothing, on either path."""
+    fact = spark.sql("SELECT 'a' k, timestamp_ntz'2024-03-05 00:00:00' ts UNION ALL SELECT 'b', timestamp_ntz'2024-01-01 00:00:00'")
+    dim = spark.sql(
+        "SELECT 'a' k, timestamp_ntz'2024-03-10 00:00:00' s, timestamp_ntz'2024-01-02 00:00:00' e, 1 v "
+        "UNION ALL SELECT 'a', timestamp_ntz'2024-02-01 00:00:00', NULL, 2"
+    )
+    from stationlake.operators.effective import effective_dated_join
+
+    got = [
+        sorted(map(str, effective_dated_join(fact, dim, "k", "ts", "s", "e", max_broadcast_rows=n).collect())) for n in (100, 0)
+    ]
+    assert got[0] == got[1] and "v=2" in got[0][0]
