@@ -178,7 +178,9 @@ def assemble(records: DataFrame) -> DataFrame:
     )
     originals = captures.where(F.col("response.type") == "response")
     originals = originals.select(F.col("capture").alias("original_id"), F.col("metadata").alias("original"))
-    out = captures.join(originals, F.col("response.refers_to") == F.col("original_id"), "left")
+    # Responses name nothing; a key of their own spreads them over the tasks.
+    named = F.coalesce("response.refers_to", F.concat(F.lit("-"), F.col("capture")))
+    out = captures.join(originals, named == F.col("original_id"), "left")
     out = out.select("*", F.explode(F.array_repeat(F.lit(1), F.greatest("times", F.lit(1)))))
     return out.select(F.col("response.uri").alias("uri"), "request", "response", "metadata", "original")
 
