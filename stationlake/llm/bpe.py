@@ -35,9 +35,12 @@ from stationlake.llm._common import small_batches
 
 #: Words in the lexicon: the most frequent of the whole corpus.
 LEXICON_WORDS = 50_000
-#: Words a task counts before it passes the counts on, and remembers while it encodes.
+#: Runs a task counts before it passes the counts on.
 COUNT_CACHE = 300_000
+#: Runs in each of the two generations that a task remembers while it encodes.
 WORD_CACHE = 200_000
+#: Up to so many bytes a word is merged by scanning its pairs; longer ones by a heap.
+SCAN_BYTES = 48
 
 
 def byte_chars() -> dict[int, str]:
@@ -63,12 +66,14 @@ class Vocabulary:
         # The file's engine has Unicode's white space; here \s also has U+001C to U+001F.
         space = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
         self.pattern = split["pattern"]["Regex"].replace(r"[^\s", f"[^{space}")
-        self.char = byte_chars()
+        self.char = [c for _, c in sorted(byte_chars().items())]
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the adjacent pair of lowest rank is merged, leftmost first."""
         parts: list[str | None] = [self.char[b] for b in word.encode("utf-8")]
         parts[-1] += self.end
+        if len(parts) <= SCAN_BYTES:
+            return self._scan(parts)
         n = len(parts)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None]
@@ -87,6 +92,20 @@ class Vocabulary:
                     heapq.heappush(heap, (r, x, parts[x], parts[y]))
         return [self.ids[p] for p in parts if p is not None and p in self.ids]
 
+    def _scan(self, parts: list[str]) -> list[int]:
+        """The same merges, with the ranks of all pairs in a list: the quicker way for short words."""
+        get, none = self.ranks.get, len(self.ranks)
+        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < none:
+            i = ranks.index(low)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
+        return [self.ids[p] for p in parts if p in self.ids]
+
 
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 
@@ -101,7 +120,7 @@ class Words:
     def plain(self, text: str) -> list[str]:
         # Lower case is by character: a final capital sigma is no special case.
         text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-        return self.find(text)
+        return [text] if text.isalpha() else self.find(text)  # letters alone are one word
 
     def __call__(self, text: str) -> Iterator[tuple[list[str], str | None]]:
         """(runs without white space, special token after them) through the text.
@@ -122,23 +141,25 @@ class Lexicon:
     """Minimal acyclic automaton from words (UTF-8) to their ids, as one block of bytes.
 
     Block: 4 counts; per state the start of its branches and whether a word
-    ends there; per branch byte, target, and the words that come before it
-    under this state; per word the start of its ids; the ids.
+    ends there; per branch target, and the words that come before it under
+    this state; per word the start of its ids; the ids; per branch its byte.
     """
 
+    ONE = [bytes([b]) for b in range(256)]
+
     def __init__(self, block: mmap.mmap | bytes):
         states, branches, words, ids = struct.unpack_from("<4I", block, 0)
-        at = 16
+        at, whole = 16, memoryview(block)
 
-        def view(n: int) -> np.ndarray:
+        def view(n: int) -> memoryview:
             nonlocal at
-            out = np.frombuffer(block, "<u4", n, at)
             at += 4 * n
-            return out
+            return whole[at - 4 * n : at].cast("I")
 
         self.start, self.final = view(states + 1), view(states)
-        self.byte, self.target, self.before = view(branches), view(branches), view(branches)
+        self.target, self.before = view(branches), view(branches)
         self.first, self.ids = view(words + 1), view(ids)
+        self.find, self.bytes = block.find, at
         self.root = states - 1
 
     @staticmethod
@@ -190,7 +211,7 @@ class Lexicon:
         first = np.cumsum([0, *(len(v) for _, v in items)])
         ids = [i for _, v in items for i in v]
         head = struct.pack("<4I", len(table), len(byte), len(items), len(ids))
-        return head + b"".join(np.asarray(x, "<u4").tobytes() for x in (start, final, byte, target, before, first, ids))
+        return head + b"".join(np.asarray(x, "<u4").tobytes() for x in (start, final, target, before, first, ids)) + bytes(byte)
 
     @classmethod
     def mapped(cls, block: bytes) -> Lexicon:
@@ -203,35 +224,46 @@ class Lexicon:
     def get(self, word: str) -> bytes | None:
         """The word's ids as little-endian 32-bit integers; None if it is not here."""
         state, index = self.root, 0
+        find, start, at = self.find, self.start, self.bytes
         for b in word.encode("utf-8"):
-            lo, hi = int(self.start[state]), int(self.start[state + 1])
-            k = lo + int(np.searchsorted(self.byte[lo:hi], b))
-            if k == hi or self.byte[k] != b:
+            k = find(self.ONE[b], at + start[state], at + start[state + 1]) - at
+            if k < 0:
                 return None
-            index += int(self.before[k])
-            state = int(self.target[k])
+            index += self.before[k]
+            state = self.target[k]
         if not self.final[state]:
             return None
         return self.ids[self.first[index] : self.first[index + 1]].tobytes()
 
 
 class Encoder(dict):
-    """Runs without white space to id bytes: remembered, else word by word from
-    the lexicon, else merged."""
+    """Runs without white space to id bytes: remembered (the older half goes
+    when the cache is full), else word by word from the lexicon, else merged."""
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
         self.vocab, self.lexicon, self.words = vocab, lexicon, Words(vocab)
         self.special = {t: struct.pack("<I", i) for t, i in vocab.special.items()}
+        self.old: dict[str, bytes] = {}
+        self.merged: dict[str, bytes] = {}  # words that are not in the lexicon
 
     def __missing__(self, run: str) -> bytes:
+        ids = self.old.get(run)
+        if ids is None:
+            ids = b"".join(map(self.word, self.words.plain(run)))
         if len(self) >= WORD_CACHE:
+            self.old = dict(self)
             self.clear()
-        ids = self[run] = b"".join(map(self.word, self.words.plain(run)))
+        self[run] = ids
         return ids
 
     def word(self, word: str) -> bytes:
-        ids = self.lexicon.get(word)
-        return np.asarray(self.vocab.merge(word), "<u4").tobytes() if ids is None else ids
+        ids = self.merged.get(word) or self.lexicon.get(word)
+        if ids is None:
+            if len(self.merged) >= WORD_CACHE:
+                self.merged.clear()
+            found = self.vocab.merge(word)
+            ids = self.merged[word] = struct.pack(f"<{len(found)}I", *found)
+        return ids
 
     def encode(self, text: str) -> bytes:
         out = []
