@@ -38,7 +38,7 @@ LEXICON_WORDS = 50_000
 #: Runs a task counts before it passes the counts on.
 COUNT_CACHE = 300_000
 #: Runs in each of the two generations that a task remembers while it encodes.
-WORD_CACHE = 200_000
+WORD_CACHE = 300_000
 #: Up to so many bytes a word is merged by scanning its pairs; longer ones by a heap.
 SCAN_BYTES = 48
 
@@ -290,9 +290,12 @@ def word_counts(docs: DataFrame, spec: dict) -> DataFrame:
         words, counts = Words(Vocabulary(shared.value)), Counter()
 
         def portion() -> pd.DataFrame:
-            rows = [(w, n) for run, n in counts.items() for w in words.plain(run)]
+            found: dict[str, int] = {}  # runs that differ in case or marks only share words
+            for run, n in counts.items():
+                for w in words.plain(run):
+                    found[w] = found.get(w, 0) + n
             counts.clear()
-            return pd.DataFrame(rows, columns=["word", "n"]).astype({"word": str, "n": "int64"})
+            return pd.DataFrame({"word": list(found), "n": list(found.values())}).astype({"word": object, "n": "int64"})
 
         for b in batches:
             for text in b["text"]:
