@@ -67,6 +67,8 @@ def effective_dated_join(
     materialize_dim: bool = True,
     bucket: str = "month",
     dim_rows: int | None = None,
+    dim_bytes: int | None = None,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
@@ -83,8 +85,11 @@ def effective_dated_join(
 
     A derived history is first written once to the shared folder
     (``materialize_dim``), its rows counted during that write: the join does
-    not recompute it and the size check needs no job. ``dim_rows`` passes a
-    count already known for ``dim``.
+    not recompute it and the size check needs no job. ``dim_rows`` and
+    ``dim_bytes`` pass a count and size (``row_bytes``) already known for ``dim``.
+
+    ``bounds``: a frame with a column ``ts`` whose range covers the fact's, such
+    as the raw time column; without it the large path runs the fact for it.
     """
     dim_key = dim_key or key
     d = dim.withColumnRenamed(dim_key, "__dk")
@@ -92,7 +97,8 @@ def effective_dated_join(
         d, metrics = materialize_counted(d, "history", bytes=F.coalesce(F.sum(row_bytes(d)), F.lit(0)))
         small = metrics["rows"] <= max_broadcast_rows and metrics["bytes"] <= max_broadcast_bytes
     elif dim_rows is not None:
-        small = dim_rows <= min(max_broadcast_rows, max_broadcast_bytes // row_width(d))
+        size = dim_rows * row_width(d) if dim_bytes is None else dim_bytes
+        small = dim_rows <= max_broadcast_rows and size <= max_broadcast_bytes
     else:
         small = broadcastable(d, max_broadcast_rows, max_broadcast_bytes)
     if small:
@@ -103,7 +109,7 @@ def effective_dated_join(
         )
         return fact.join(F.broadcast(d), cond, how).drop("__dk")
 
-    lo_value, hi_value = fact.agg(F.min(ts), F.max(ts)).first()
+    lo_value, hi_value = (fact if bounds is None else bounds).agg(F.min(ts), F.max(ts)).first()
     if lo_value is None:
         # No timestamp can match: history columns are NULL (no join needed).
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema.fields if f.name != "__dk"]

@@ -16,6 +16,9 @@ def spread(df: DataFrame, keys: Sequence[str] = (), min_partitions: int | None =
     of many files already has enough splits and is returned unchanged, so
     no shuffle is added where the scan parallelises by itself.
 
+    Only for a table scan with at most projections and filters over it: asking
+    a plan with shuffles for its number of partitions would run them.
+
     ``keys`` must be unique or nearly so (row ids): rows are then hashed on
     them, which is deterministic on retry without the local sort that
     round-robin needs. Without keys the split is round-robin, which no hot

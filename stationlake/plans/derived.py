@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import intervals_from_starts, spread
+from ..operators import intervals_from_starts
 from ..schemas import MEASUREMENT_COLUMNS, OPERATOR_MARKER
 
 RECENT_FROM = "2024-01-15"
@@ -132,7 +132,5 @@ def write_raw_from_events(events: DataFrame, root: str) -> dict[str, str]:
             "%11d;Operator %d;%s;%s", F.col("user_id"), F.col("event_id"), F.col("von"), F.coalesce(F.col("bis"), F.lit(""))
         ).alias("value")
     )
-    spread(op, ["value"]).mapInPandas(_sectioned, "value string").write.mode("overwrite").text(
-        f"{root}/recent/metadata"
-    )
+    op.mapInPandas(_sectioned, "value string").write.mode("overwrite").text(f"{root}/recent/metadata")
     return dict(GLOBS)

@@ -20,7 +20,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -56,7 +56,7 @@ from ..operators import (
 )
 from ..schemas import PRECIPITATION_FORMS, QUALITY_LEVELS
 from ..session import materialize_counted, shared_dir
-from ..sinks import write_partitioned
+from ..sinks import publish_table, write_partitioned
 from ..sources import (
     explode_archives,
     extract_links,
@@ -66,7 +66,7 @@ from ..sources import (
     route_members,
     section_lines,
 )
-from ..sources.tables import read_parquet
+from ..sources.tables import read_parquet, read_table
 from . import weather
 from .derived import write_raw_from_events
 
@@ -550,10 +550,6 @@ def section_lines_q(spark, sf_dir):
     return section_lines(docs, "text", marker=None, keep=["doc_id"])
 
 
-# Driver pages link to slugs only; keep plain alphabetic ones.
-PAGE_LINK_KEEP = r"^/[A-Za-z]+$"
-
-
 @query(
     "html_links",
     r"""
@@ -563,11 +559,11 @@ SELECT page_id, href FROM (
                    '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)), '^["'']|["'']$', '', 'g'),
                  '&amp;', '&') AS href
   FROM pages
-) WHERE regexp_matches(href, '^/[A-Za-z]+$')
+)
 """,
 )
 def html_links(spark, sf_dir):
-    return extract_links(table(spark, sf_dir, "pages"), "html", keep=PAGE_LINK_KEEP, carry=["page_id"])
+    return extract_links(table(spark, sf_dir, "pages"), "html", carry=["page_id"])
 
 
 _CATEGORY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([a-z]{2})/"
@@ -634,6 +630,35 @@ def partition_slice(spark, sf_dir):
     return time_slice(df, "o_orderdate", "1996-01-01", "1996-07-01", partition_col="month")
 
 
+@query(
+    "published_table",
+    "SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders",
+)
+def published_table(spark, sf_dir):
+    """The orders dropped and loaded as a catalog table by month, and read by name."""
+    orders = table(spark, sf_dir, "orders").withColumn("month", year_month(F.col("o_orderdate")))
+    name = publish_table(orders, f"orders_{uuid.uuid4().hex}", ["month"], cluster_by=["o_orderdate", "o_orderkey"])
+    return read_table(spark, name)
+
+
+@query("unpartitioned_roundtrip", "SELECT * FROM orders")
+def unpartitioned_roundtrip(spark, sf_dir):
+    path = shared_dir(spark, "orders_whole", uuid.uuid4().hex)
+    write_partitioned(table(spark, sf_dir, "orders"), path, [], cluster_by=["o_orderdate", "o_orderkey"])
+    return read_parquet(spark, path)
+
+
+@query("written_rows", "SELECT 'orders' AS dataset, count(*) AS n_rows FROM orders")
+def written_rows(spark, sf_dir):
+    """The row count that is observed while a table is written."""
+    seen = Observation("orders")
+    path = shared_dir(spark, "orders_counted", uuid.uuid4().hex)
+    write_partitioned(
+        table(spark, sf_dir, "orders"), path, [], cluster_by=["o_orderdate", "o_orderkey"], observation=seen
+    )
+    return spark.createDataFrame([("orders", seen.get["rows"])], "dataset string, n_rows long")
+
+
 # ---------------------------------------------------------------------------
 # Delimited text bound by header
 # ---------------------------------------------------------------------------
@@ -916,11 +941,11 @@ WEATHER_CHECKS_SQL = (
 )
 
 
-def _run_weather(spark, sf_dir):
+def _run_weather(spark, sf_dir, **join_options):
     root = shared_dir(spark, "weather", uuid.uuid4().hex)
     globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
     paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
-    return weather.run_marts(spark, paths, f"{root}/marts")
+    return weather.run_marts(spark, paths, f"{root}/marts", **join_options)
 
 
 @query("weather_fact", WEATHER_FACT_SQL)
@@ -933,6 +958,13 @@ def weather_fact(spark, sf_dir):
     return read_parquet(spark, fact_path, {"month": "string"})
 
 
+@query("weather_fact_bucketed", WEATHER_FACT_SQL)
+def weather_fact_bucketed(spark, sf_dir):
+    """``weather_fact`` with both histories joined as if too large to broadcast."""
+    fact_path, _ = _run_weather(spark, sf_dir, max_broadcast_rows=-1)
+    return read_parquet(spark, fact_path, {"month": "string"})
+
+
 @query("weather_checks", WEATHER_CHECKS_SQL)
 def weather_checks(spark, sf_dir):
     """The declared tests of the published fact (unique and not-null keys,

@@ -48,6 +48,7 @@ from ..operators import (
     total_order,
     union_categories,
 )
+from ..operators.effective import row_bytes
 from ..schemas import (
     CATEGORIES,
     FACT_COLUMNS,
@@ -121,8 +122,7 @@ def links_to_fetch(links: DataFrame, stored: DataFrame) -> DataFrame:
 def _archive_members(spark: SparkSession, root: str, category: str, token: str) -> DataFrame:
     """Members of ``<root>/<category>/download/*.zip`` whose name holds
     ``token``."""
-    members = read_archives(spark, f"{root}/{category}/download")
-    return members.filter(F.col("member").contains(token))
+    return read_archives(spark, f"{root}/{category}/download", token=token)
 
 
 def measurements_from_archives(
@@ -346,20 +346,24 @@ def fact_measurements(
     stg: DataFrame,
     geo: DataFrame,
     op: DataFrame,
-    geo_rows: int | None = None,
-    op_rows: int | None = None,
+    geo_size: dict | None = None,
+    op_size: dict | None = None,
     **join_options,
 ) -> DataFrame:
     """Measurements with the location and operator valid on their day.
     Overlapping history rows multiply measurements (reported by the unique
     check); measurements without a valid history row keep NULLs.
-    ``geo_rows`` / ``op_rows``: known row counts of already materialised
-    histories (then pass ``materialize_dim=False``)."""
+    ``geo_size`` / ``op_size``: known ``rows`` and ``bytes`` of already
+    materialised histories (then pass ``materialize_dim=False``)."""
+
+    def known(size: dict | None) -> dict:
+        return {"dim_rows": size["rows"], "dim_bytes": size["bytes"]} if size else {}
+
     f = effective_dated_join(
-        stg, geo, "station_id", "dt_measurement_utc", "dt_geo_start", "dt_geo_end", dim_rows=geo_rows, **join_options
+        stg, geo, "station_id", "dt_measurement_utc", "dt_geo_start", "dt_geo_end", **known(geo_size), **join_options
     )
     f = effective_dated_join(
-        f, op, "station_id", "dt_measurement_utc", "dt_op_start", "dt_op_end", dim_rows=op_rows, **join_options
+        f, op, "station_id", "dt_measurement_utc", "dt_op_start", "dt_op_end", **known(op_size), **join_options
     )
     f = f.withColumn("lat_long", concat_nullable(F.col("latitude"), F.col("longitude")))
     return f.select(*FACT_COLUMNS)
@@ -404,17 +408,21 @@ def build_fact(
     broadcast and keep this partitioning.
     """
     main, geo_raw, op_raw = read_raw(spark, paths)
+    times = main.select(F.col("mess_datum").cast("timestamp_ntz").alias("dt_measurement_utc"))
     main = main.repartitionByRange("mess_datum", "stations_id")
     # The staging model is a view: evaluated inside the fact build.
     create_view(stg_measurements(main), "stg_measurements")
     stg = read_table(spark, "stg_measurements")
     # Both histories are written once to the shared folder (lineage cut,
-    # rows counted during the write), in parallel: they are independent jobs.
+    # rows and bytes counted during the write), in parallel: they are independent jobs.
+    def written(dim: DataFrame, name: str) -> tuple[DataFrame, dict]:
+        return materialize_counted(dim, name, bytes=F.coalesce(F.sum(row_bytes(dim)), F.lit(0)))
+
     with ThreadPoolExecutor(2) as pool:
-        geo_job = pool.submit(materialize_counted, dim_geo(geo_raw), "dim_geo")
-        op_job = pool.submit(materialize_counted, dim_operator(op_raw), "dim_operator")
-        (geo, geo_n), (op, op_n) = geo_job.result(), op_job.result()
-    fact = fact_measurements(stg, geo, op, geo_n["rows"], op_n["rows"], materialize_dim=False, **join_options)
+        geo_job = pool.submit(written, dim_geo(geo_raw), "dim_geo")
+        op_job = pool.submit(written, dim_operator(op_raw), "dim_operator")
+        (geo, geo_size), (op, op_size) = geo_job.result(), op_job.result()
+    fact = fact_measurements(stg, geo, op, geo_size, op_size, materialize_dim=False, bounds=times, **join_options)
     return fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op
 
 

@@ -20,13 +20,13 @@ from ..schemas import MEASUREMENT_FILE_TOKEN, METADATA_FILE_TOKEN
 MEMBER_SCHEMA = "archive string, member string, body binary"
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _members(batches: Iterator[pd.DataFrame], token: str = "") -> Iterator[pd.DataFrame]:
     for batch in batches:
         for archive, content in zip(batch["archive"], batch["content"]):
             rows = {"archive": [], "member": [], "body": []}
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for info in zf.infolist():
-                    if info.is_dir():
+                    if info.is_dir() or token not in info.filename:
                         continue
                     rows["archive"].append(archive)
                     rows["member"].append(info.filename)
@@ -35,17 +35,20 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(rows)
 
 
-def explode_archives(archives: DataFrame, name: str = "archive", content: str = "content") -> DataFrame:
-    """(archive name, zip bytes) rows -> (archive, member, body) rows."""
+def explode_archives(
+    archives: DataFrame, name: str = "archive", content: str = "content", token: str = ""
+) -> DataFrame:
+    """(archive name, zip bytes) rows -> (archive, member, body) rows. Only
+    members whose name holds ``token`` are unpacked."""
     src = archives.select(F.col(name).alias("archive"), F.col(content).alias("content"))
-    return src.mapInPandas(_members, MEMBER_SCHEMA)
+    return src.mapInPandas(lambda batches: _members(batches, token), MEMBER_SCHEMA)
 
 
-def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+def read_archives(spark: SparkSession, path: str, glob: str = "*.zip", token: str = "") -> DataFrame:
     """Zip files under ``path`` -> (archive, member, body). Keep single
     archives well below ``spark.sql.sources.binaryFile.maxLength``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return explode_archives(files.select(F.col("path").alias("archive"), "content"))
+    return explode_archives(files.select(F.col("path").alias("archive"), "content"), token=token)
 
 
 def route(member: Column, data_token: str = MEASUREMENT_FILE_TOKEN, meta_token: str = METADATA_FILE_TOKEN) -> Column:
