@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -145,19 +146,20 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def line_table(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path, places, lines, hashes: of every page, in one pass."""
+    """page_id, url, host, path, places, body, hashes: of every page, in one pass.
+    ``body`` is the lines, deflated for the disk; those that go anyway are empty in it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             cut = [page_lines(x) for x in b["html"]]
             out = b[["page_id", "url"]].copy()
             out["places"] = [[p for p, _ in c] for c in cut]
-            out["lines"] = [[t for _, t in c] for c in cut]
+            out["body"] = [zlib.compress("\n".join(t if p != DROP_LINE else "" for p, t in c).encode("utf-8")) for c in cut]
             out["hashes"] = [np.array([xxhash.xxh64_intdigest(t) for _, t in c], np.uint64).view(np.int64) for c in cut]
             yield out
 
     small_batches(pages.sparkSession, 128)
-    schema = "page_id string, url string, places array<int>, lines array<string>, hashes array<long>"
+    schema = "page_id string, url string, places array<int>, body binary, hashes array<long>"
     rows = pages.select(F.col("page_id").cast("string"), "url", "html").mapInPandas(run, schema)  # NULLs keep ids exact
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(url, r"^[^/?#]*", 0))
@@ -177,12 +179,12 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     # At most two neighbours a page.
     near = place.join(beside, ["rank", "host"]).groupBy("row").agg(F.collect_list("other").alias("others"))
-    joined = table.join(near, "row", "left").select("page_id", "url", "places", "lines", "hashes", "others")
+    joined = table.join(near, "row", "left").select("page_id", "url", "places", "body", "hashes", "others")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = []
-            for places, lines, own, others in zip(b["places"], b["lines"], b["hashes"], b["others"]):
+            for places, body, own, others in zip(b["places"], b["body"], b["hashes"], b["others"]):
                 place, own = np.asarray(places, int), np.asarray(own, np.int64)
                 shared = np.zeros(len(own), bool)
                 for other in others if others is not None else ():
@@ -190,6 +192,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     free = np.flatnonzero(place != MAIN_LINE)
                     shared[free] |= common_lines(own[free], np.asarray(other, np.int64))
                 keep = (place == MAIN_LINE) | ((place == OPEN_LINE) & ~shared)
+                lines = zlib.decompress(body).decode("utf-8").split("\n")
                 texts.append("\n".join(t for t, k in zip(lines, keep) if k))
             out = b[["page_id", "url"]].copy()
             out["text"], out["n_chars"] = texts, [len(t) for t in texts]
