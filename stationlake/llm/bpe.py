@@ -98,12 +98,12 @@ class Vocabulary:
         ranks = [get(p, none) for p in zip(parts, parts[1:])]
         while ranks and (low := min(ranks)) < none:
             i = ranks.index(low)
-            parts[i] += parts.pop(i + 1)
             del ranks[i]
+            parts[i] = part = parts[i] + parts.pop(i + 1)
             if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = get((parts[i - 1], part), none)
             if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), none)
+                ranks[i] = get((part, parts[i + 1]), none)
         return [self.ids[p] for p in parts if p in self.ids]
 
 
@@ -119,7 +119,7 @@ class Words:
 
     def plain(self, text: str) -> list[str]:
         # Lower case is by character: a final capital sigma is no special case.
-        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+        text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
         return [text] if text.isalpha() else self.find(text)  # letters alone are one word
 
     def __call__(self, text: str) -> Iterator[tuple[list[str], str | None]]:
@@ -224,13 +224,13 @@ class Lexicon:
     def get(self, word: str) -> bytes | None:
         """The word's ids as little-endian 32-bit integers; None if it is not here."""
         state, index = self.root, 0
-        find, start, at = self.find, self.start, self.bytes
+        find, one, start, target, before, at = self.find, self.ONE, self.start, self.target, self.before, self.bytes
         for b in word.encode("utf-8"):
-            k = find(self.ONE[b], at + start[state], at + start[state + 1]) - at
+            k = find(one[b], at + start[state], at + start[state + 1]) - at
             if k < 0:
                 return None
-            index += self.before[k]
-            state = self.target[k]
+            index += before[k]
+            state = target[k]
         if not self.final[state]:
             return None
         return self.ids[self.first[index] : self.first[index + 1]].tobytes()
@@ -267,8 +267,8 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         out = []
-        for words, special in self.words(text):
-            out += map(self.__getitem__, words)
+        for runs, special in self.words(text):
+            out.append(b"".join([self[r] for r in runs]))
             if special:
                 out.append(self.special[special])
         return b"".join(out)
