@@ -14,21 +14,20 @@ text may be published twice). All other lines are the diff's to decide.
 
 Blocks are joined by one ``\\n``, white space inside a block is one space and
 character references are decoded. NULL and empty pages have no text. A NULL
-or odd URL has its own order place and no neighbour but equal hosts. Repeated
-rows are told apart by a row number of the written lines.
+or odd URL has its own order place and no neighbour but equal hosts. Rows with
+equal url and html are one page, so copies do not delete each other's lines.
 """
 
 from __future__ import annotations
 
 import html
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.llm._common import global_rank, small_batches
@@ -145,58 +144,84 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return shared
 
 
-def line_table(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path, places, body, hashes: of every page, in one pass.
-    ``body`` is the lines, deflated for the disk; those that go anyway are empty in it."""
+def page_key() -> Column:
+    """Names a page by its url and html; rows that agree in both are one page of the order."""
+    return F.unhex(F.md5(F.concat_ws("\n", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))))
+
+
+def line_hashes(pages: DataFrame) -> DataFrame:
+    """key, host, path, places, hashes: the lines of every page as a byte and eight bytes each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            cut = [page_lines(x) for x in b["html"]]
-            out = b[["page_id", "url"]].copy()
-            out["places"] = [[p for p, _ in c] for c in cut]
-            out["body"] = [zlib.compress("\n".join(t if p != DROP_LINE else "" for p, t in c).encode("utf-8")) for c in cut]
-            out["hashes"] = [np.array([xxhash.xxh64_intdigest(t) for _, t in c], np.uint64).view(np.int64) for c in cut]
-            yield out
+            cut = [page_lines(x) for x in b.pop("html")]
+            b["places"] = [bytes(p for p, _ in c) for c in cut]
+            b["hashes"] = [np.array([xxhash.xxh64_intdigest(t) for _, t in c], np.uint64).tobytes() for c in cut]
+            yield b
 
     small_batches(pages.sparkSession, 128)
-    schema = "page_id string, url string, places array<int>, body binary, hashes array<long>"
-    rows = pages.select(F.col("page_id").cast("string"), "url", "html").mapInPandas(run, schema)  # NULLs keep ids exact
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(url, r"^[^/?#]*", 0))
     path = F.regexp_extract(url, r"^[^/?#]*([^?#]*)", 1)
-    return rows.select("*", host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
+    rows = pages.select(page_key().alias("key"), host.alias("host"), path.alias("path"), "html")
+    return rows.mapInPandas(run, "key binary, host string, path string, places binary, hashes binary")
+
+
+def shared_lines(pages: DataFrame) -> DataFrame:
+    """key, gone: the open lines (their places from 0) that a page shares with a nearest one.
+
+    Every page is aligned with the next one of its host, once for both. A hot
+    host is many partitions of one range sort.
+    """
+    distinct = line_hashes(pages).dropDuplicates(["key"])
+    ranked, _ = global_rank(distinct, ["host", "path", "key"], "page-order")
+    lines = ("key", "places", "hashes")
+    first = ranked.select("host", "rank", *[F.col(c).alias(f"{c}_1") for c in lines])
+    second = ranked.select("host", (F.col("rank") - 1).alias("rank"), *[F.col(c).alias(f"{c}_2") for c in lines])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keys, gone = [], []
+            for one, two in zip(b[[f"{c}_1" for c in lines]].values, b[[f"{c}_2" for c in lines]].values):
+                for (key, places, own), (_, _, other) in ((one, two), (two, one)):
+                    place = np.frombuffer(places, np.uint8)
+                    # What the article holds stays and need not be aligned.
+                    free = np.flatnonzero(place != MAIN_LINE)
+                    same = free[common_lines(np.frombuffer(own, np.uint64)[free], np.frombuffer(other, np.uint64))]
+                    same = same[place[same] == OPEN_LINE]
+                    if len(same):
+                        keys.append(key)
+                        gone.append(same.tolist())
+            yield pd.DataFrame({"key": keys, "gone": gone}, dtype=object)
+
+    pairs = first.join(second, ["host", "rank"]).drop("host", "rank")
+    found = pairs.mapInPandas(run, "key binary, gone array<int>")
+    return found.groupBy("key").agg(F.flatten(F.collect_list("gone")).alias("gone"))  # two neighbours at most
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Per page: ``page_id, url, text, n_chars``."""
-    table = materialize(line_table(pages), "page-lines")
-    # The order needs hosts and paths alone; a hot host is many partitions of one range sort.
-    ranked, _ = global_rank(table.select("row", "host", "path"), ["host", "path", "row"], "page-order")
-    place = ranked.select("row", "rank", "host")
-    hashes = table.select("row", "hashes").join(place, "row")
-    beside = hashes.select((F.col("rank") + 1).alias("rank"), "host", F.col("hashes").alias("other")).union(
-        hashes.select((F.col("rank") - 1).alias("rank"), "host", F.col("hashes").alias("other"))
-    )
-    # At most two neighbours a page.
-    near = place.join(beside, ["rank", "host"]).groupBy("row").agg(F.collect_list("other").alias("others"))
-    joined = table.join(near, "row", "left").select("page_id", "url", "places", "body", "hashes", "others")
+    """Per page: ``page_id, url, text, n_chars``.
+
+    The pages are cut twice: once for the hashes of their lines, and once,
+    beside the lines to delete, for the text. So no text is shuffled for the
+    order. The lines to delete are written first; Spark broadcasts them if the
+    files are below its own threshold and shuffles both sides otherwise.
+    """
+    gone = materialize(shared_lines(pages), "shared-lines")
+    rows = pages.select(F.col("page_id").cast("string"), "url", "html", page_key().alias("key"))  # NULLs keep ids exact
+    joined = rows.join(gone, "key", "left").select("page_id", "url", "html", "gone")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = []
-            for places, body, own, others in zip(b["places"], b["body"], b["hashes"], b["others"]):
-                place, own = np.asarray(places, int), np.asarray(own, np.int64)
-                shared = np.zeros(len(own), bool)
-                for other in others if others is not None else ():
-                    # What the place decides anyway need not be aligned.
-                    free = np.flatnonzero(place != MAIN_LINE)
-                    shared[free] |= common_lines(own[free], np.asarray(other, np.int64))
-                keep = (place == MAIN_LINE) | ((place == OPEN_LINE) & ~shared)
-                lines = zlib.decompress(body).decode("utf-8").split("\n")
-                texts.append("\n".join(t for t, k in zip(lines, keep) if k))
+            for page, gone in zip(b["html"], b["gone"]):
+                shared = frozenset(gone if gone is not None else ())
+                kept = (t for k, (p, t) in enumerate(page_lines(page)) if p == MAIN_LINE or (p == OPEN_LINE and k not in shared))
+                texts.append("\n".join(kept))
             out = b[["page_id", "url"]].copy()
             out["text"], out["n_chars"] = texts, [len(t) for t in texts]
             yield out
 
+    small_batches(pages.sparkSession, 128)
     out = joined.mapInPandas(run, "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast("long"))

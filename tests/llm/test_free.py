@@ -139,6 +139,31 @@ def test_page_differencing(spark):
     assert html_diff.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_page_differencing_by_neighbours(spark):
+    """Against the neighbours of a sorted list, with few different lines, copies and NULL ids."""
+    r = np.random.default_rng(2)
+    rows = []
+    for i in range(120):
+        body = "".join(f"<div>line {x}</div>" for x in r.integers(0, 12, r.integers(0, 9)))
+        rows.append((i, f"http://host{i % 3}.example/p{r.integers(0, 40):02d}?n={i}", f"<body>{body}<article>own {i}</article></body>"))
+    pages = [(host, path, html) for _, url, html in rows for host, path in [(url[7:20], url[20:].split("?")[0])]]
+    keys = [hashlib.md5(f"{url}\n{html}".encode()).digest() for _, url, html in rows]
+    order = sorted(range(len(rows)), key=lambda i: (*pages[i][:2], keys[i]))
+    lines = [html_diff.page_lines(html) for _, _, html in rows]
+    want = {}
+    for at, i in enumerate(order):
+        own, gone = np.array([hash(t) for _, t in lines[i]]), set()
+        free = np.array([k for k, (p, _) in enumerate(lines[i]) if p != html_diff.MAIN_LINE], int)
+        for j in order[max(at - 1, 0) : at] + order[at + 1 : at + 2]:
+            if pages[i][0] == pages[j][0]:
+                gone |= set(free[html_diff.common_lines(own[free], np.array([hash(t) for _, t in lines[j]]))].tolist())
+        want[i] = "\n".join(t for k, (_, t) in enumerate(lines[i]) if k not in gone)
+    copies = rows + rows[:30] + [(None, *rows[7][1:])]
+    got = html_diff.extract(spark.createDataFrame(copies, PAGES).repartition(5).withColumn("key", F.lit("x"))).collect()
+    assert len(got) == len(copies)
+    assert all(x.text == want[7 if x.page_id is None else x.page_id] for x in got)
+
+
 def test_common_lines_is_longest():
     r = np.random.default_rng(1)
     for _ in range(60):
