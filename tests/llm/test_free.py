@@ -139,8 +139,12 @@ def test_page_differencing(spark):
     assert html_diff.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
-def test_page_differencing_by_neighbours(spark):
-    """Against the neighbours of a sorted list, with few different lines, copies and NULL ids."""
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_page_differencing_by_neighbours(spark, threshold, request):
+    """Against the neighbours of a sorted list, with few different lines, copies and NULL ids; broadcast and shuffled."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     r = np.random.default_rng(2)
     rows = []
     for i in range(120):
