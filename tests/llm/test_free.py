@@ -242,6 +242,17 @@ def test_pii_added_spans(spark):
     assert "password=[secret] xy" in text.select(pii.redact(F.col("text"), F.col("spans")).alias("t")).first().t
 
 
+def test_pii_rare_credentials(spark, monkeypatch):
+    """Credentials that are rare among the clear spans, and tables with clear spans of one sort."""
+    monkeypatch.setattr(pii, "MAX_LABELLED", 400)
+    numbers = [(i, " ".join(f"{j}77{i:07d}" for j in range(100))) for i in range(100)]
+    keys = [(1000 + i, f"ab cd password=b7db{i:04x}aa5fcc783{i % 7} xy") for i in range(8)]
+    for docs in (numbers + keys, keys, keys[:1] + numbers[:1]):
+        found = pii.find(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+        got = {r.doc_id: r.s for r in found.select("doc_id", pii.as_string(F.col("spans")).alias("s")).collect()}
+        assert {i: s for i, s in got.items() if "secret" in s} == {i: f"secret:15:{t.index(' xy')}" for i, t in docs if i >= 1000}
+
+
 def test_pipeline_stages(spark, sf):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
