@@ -253,6 +253,20 @@ def test_pii_rare_credentials(spark, monkeypatch):
         assert {i: s for i, s in got.items() if "secret" in s} == {i: f"secret:15:{t.index(' xy')}" for i, t in docs if i >= 1000}
 
 
+def test_pii_credentials_around_base_spans(spark):
+    """A credential that contains an email or a card number is found and redacted whole."""
+    docs = [(i, f"ab cd password=b7db{i:04x}aa5fcc783{i % 7} xy user{i}abc1@mail{i}.org 77{i:07d}") for i in range(300)]
+    values = ["x@host.org#Zx81kQ99", "b7d4111111111111111aaf5e", "b7db00aa4111111111111111aa5fcc783b00c1fe"]
+    docs += [(1000 + i, f"ab cd password={v} xy") for i, v in enumerate(values)]
+    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "spans")
+    got = {r.doc_id: r for r in found.select("doc_id", pii.as_string(F.col("spans")).alias("s"), F.size("spans").alias("n")).collect()}
+    assert all(f"secret:15:{15 + len(v)}" in got[1000 + i].s.split(",") and got[1000 + i].n == 2 for i, v in enumerate(values))
+    assert all(got[i].s.count("secret") == 1 and got[i].n == 2 for i in range(300))
+    text = spark.createDataFrame(docs[300:], "doc_id long, text string").join(found, "doc_id")
+    left = [r.t for r in text.select(pii.redact(F.col("text"), F.col("spans")).alias("t")).collect()]
+    assert not any(p in t for t in left for p in ("host.org", "Zx81", "b7d", "aaf5e", "c1fe"))
+
+
 def test_pipeline_stages(spark, sf):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
