@@ -10,7 +10,8 @@ Differencing alone is wrong in two cases, so a line's place in the page rules
 first. Lines in an element that is a menu, header, footer, sidebar, notice,
 advert, form, script, style or comment section go, shared or not (a menu may
 be the page's own). Lines of an ``article`` or ``main`` stay, shared or not (a
-text may be published twice). All other lines are the diff's to decide.
+text may be published twice), and whatever the element lies in; only noise
+opened inside it goes. All other lines are the diff's to decide.
 
 Blocks are joined by one ``\\n``, white space inside a block is one space and
 character references are decoded. NULL and empty pages have no text. A NULL
@@ -109,6 +110,8 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
                 while stack and stack[-1][0] == "p":
                     _, noise, main = stack.pop()
             stack.append((tag, noise, main))
+            if tag in MAIN and not main:  # what lies around the main part is not noise in it
+                noise = 0
             noise += _is_noise(tag, m[3], main > 0)
             main += tag in MAIN
     tail = page[at:]

@@ -139,6 +139,15 @@ def test_page_differencing(spark):
     assert html_diff.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+@pytest.mark.parametrize("wrap", ["form runat=server", "div class='has-sidebar'", "div class=no-sidebar", "div id=page class='site header-fixed'", "div class=nav-open"])
+@pytest.mark.parametrize("part", ["article", "main"])
+def test_main_part_inside_noise(wrap, part):
+    page = f"<body><{wrap}><p>Menu</p><{part}><header>Title</header><p>Own text<nav>pages</nav><form>q</form><p>more</{part}><p>Below</p></{wrap.split()[0]}><p>Open</p></body>"
+    main, out, free = html_diff.MAIN_LINE, html_diff.DROP_LINE, html_diff.OPEN_LINE
+    want = [(out, "Menu"), (main, "Title"), (main, "Own text"), (out, "pages"), (out, "q"), (main, "more"), (out, "Below"), (free, "Open")]
+    assert html_diff.page_lines(page) == want
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_page_differencing_by_neighbours(spark, threshold, request):
     """Against the neighbours of a sorted list, with few different lines, copies and NULL ids; broadcast and shuffled."""
