@@ -28,6 +28,14 @@ def test_line_dedup_brute_force(make):
     assert out[4].text == "l1\nl2" and out[9].text is None and out[9].n_lines == 0 and out[10].text == ""
 
 
+def test_line_dedup_short_texts(make):
+    """A text of one or two lines is one window, if asked for."""
+    docs = make([(1, "a b"), (2, "a b"), (3, "c\nd"), (4, "c\nd"), (4, "c\nd"), (5, "c\nd\ne"), (6, "a b\nx"), (7, " "), (8, " "), (9, None), (10, ""), (11, "")])
+    out = {(r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(docs, short=True).collect()}
+    assert out == {(1, "a b", 0), (2, "", 1), (3, "c\nd", 0), (4, "", 2), (5, "c\nd\ne", 0), (6, "a b\nx", 0), (7, " ", 0), (8, " ", 0), (9, None, 0), (10, "", 0), (11, "", 0)}
+    assert all(r.n_removed == 0 for r in line_dedup.dedup_lines(docs).collect())
+
+
 def test_line_dedup_odd_rows_and_clashing_columns(make):
     docs = make(ODD)
     for c in CLASH:
