@@ -276,6 +276,31 @@ def test_pii_credentials_around_base_spans(spark):
     assert not any(p in t for t in left for p in ("host.org", "Zx81", "b7d", "aaf5e", "c1fe"))
 
 
+def test_pii_wide_kinds(spark):
+    """Forms that the fixed patterns do not accept, and near misses of them."""
+    docs = [(i, f"ab cd password=b7db{i:04x}aa5fcc783{i % 7} xy 4111 1111 1111 1111, 4111111111111{i + 200:03d}1x +1 (988) 555-{1000 + i}") for i in range(60)]
+    want = {
+        1000: ("ring (988) 555-2485 now", "phone:5:19"),
+        1001: ("tel: 0171 234 5678.", "phone:5:18"),
+        1002: ("call 988.555.2485", "phone:5:17"),
+        1003: ("visa card 4222222222222 ok", "card:10:23"),
+        1004: ("from 2001:db8:85a3::8a2e:370:7334 on", "ip:5:33"),
+        1005: ("from 2001:0db8:85a3:0000:0000:8a2e:0370:7334", "ip:5:44"),
+        1006: ("host fe80::1 up", "ip:5:12"),
+        1007: ("to john.doe [at] example [dot] com today", "email:3:34"),
+        1008: ("to john (at) example.org today", "email:3:24"),
+        1009: ("to john at example dot com today", "email:3:26"),
+        1011: ("Des +1 (826) 555-4081 190.137.223.204 du", "phone:4:21,ip:22:37"),
+        1010: ("on 2024-01-15 at 12:34:56, look at it. The MAC 00:1b:44:11:3a:b7 and 1.2.3 std::vector 300.1.1.1", ""),
+    }
+    rows = docs + [(i, t) for i, (t, _) in want.items()] + [(2000, "password: Winter2024 xy")]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = {r.doc_id: r.s for r in found.select("doc_id", pii.as_string(F.col("spans")).alias("s")).collect()}
+    assert {i: got[i] for i in want} == {i: s for i, (_, s) in want.items()}
+    harmless = spark.createDataFrame([(1, "password: Winter2024 xy", "Winter2024", "keyed", "ab password: ", "", False, False, "secret")], "doc_id long, text string, value string, gen string, before string, after string, inside boolean, accepted boolean, kind string")
+    assert pii._weak_label(harmless).first().label is None
+
+
 def test_pipeline_stages(spark, sf):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
