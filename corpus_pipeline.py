@@ -58,6 +58,7 @@ STAGES = [
 
 #: The classifier and the tokenizer have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
+BRUTE_FORCE = "test_free.py::test_pipeline_stages"
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

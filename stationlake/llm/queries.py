@@ -9,7 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import bpe, decontaminate, fingerprint, html_diff, line_dedup, ngram_join, pii, quality, sharding, warc
+from stationlake.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    filter_audit,
+    fingerprint,
+    html_diff,
+    line_dedup,
+    line_rules,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    warc,
+)
 from stationlake.llm._common import table
 
 
@@ -110,12 +124,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_vocabulary() -> str:
     """Path of the public word-level BPE vocabulary; ``STATIONLAKE_WORD_BPE`` names another."""
-    named = os.environ.get("STATIONLAKE_WORD_BPE")
-    if named:
-        return named
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_vocabulary("word_bpe_49k.json", "STATIONLAKE_WORD_BPE")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +186,128 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all ``documents``, audited in all 120 orders per language."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d
+), f AS (
+  SELECT doc_id, part, concat(
+    CASE WHEN len(words) < 100 THEN 'A' ELSE '' END,
+    CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN doc_id > first THEN 'E' ELSE '' END) AS fails
+  FROM w
+), m AS (
+  SELECT part, fails, count(*) AS n,
+         count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)) AS good,
+         count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) AS toxic
+  FROM f GROUP BY ALL
+), k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (
+  SELECT a.k || b.k || c.k || d.k || e.k AS filter_order FROM k a, k b, k c, k d, k e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+), g AS (
+  SELECT part, fails, n, good, toxic, filter_order,
+         CASE WHEN fails = '' THEN 6
+              ELSE list_min(list_transform(string_split(fails, ''), lambda x: strpos(filter_order, x))) END AS gone
+  FROM m, o
+), s AS (SELECT DISTINCT part, filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM m, o),
+r AS (
+  SELECT s.part, s.filter_order, s.step, substr(s.filter_order, s.step, 1) AS filter,
+         sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+         sum(n) FILTER (gone < step AND contains(fails, substr(s.filter_order, s.step, 1))) AS redundant,
+         sum(n) FILTER (fails = substr(s.filter_order, s.step, 1)) AS unique_fails,
+         sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+  FROM s JOIN g USING (part, filter_order) GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, filter), 0) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+def public_vocabulary(name: str, variable: str) -> str:
+    """Path of a public tokenizer's file; the environment variable names another."""
+    named = os.environ.get(variable)
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of a byte-level BPE and of a sentencepiece model aligned over all ``documents``."""
+    a = public_vocabulary("byte_bpe_50k.json", "STATIONLAKE_BYTE_BPE")
+    b = public_vocabulary("piece_bpe_32k.model", "STATIONLAKE_PIECE_BPE")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = alignment.align_documents(docs, a, b, groups=False)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` judged by their own words and by lines that are frequent on their source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    seen = line_rules.judge(docs, ["doc_id"])
+    cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    lost = [F.size("removed").cast("long").alias("n_removed_lines"), F.col("n_lost").alias("n_lost_words")]
+    return seen.select(F.col("doc.doc_id").alias("doc_id"), *cols, *lost)
+
+
+_LOWER = "translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP13_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), p AS (
+  SELECT rid, unnest(range(1, len(w) - 6)) AS p, w FROM d WHERE len(w) >= 8
+), g AS (SELECT rid, p, array_to_string(w[p:p + 7], ' ') AS g FROM p),
+again AS (SELECT rid, p FROM g QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+rep AS (
+  SELECT rid, count(DISTINCT q) AS n_repeat_words FROM (SELECT rid, unnest(range(p, p + 8)) AS q FROM again) GROUP BY rid
+), l AS (
+  SELECT rid, host, t, unnest(string_split(t, chr(10))) AS line FROM d
+), n AS (
+  SELECT rid, host, t, line, regexp_extract_all({_LOWER.format(c="line")}, '[^\\x20\\x09-\\x0D]+') AS lw FROM l
+), c AS (
+  SELECT rid, host, t, line, array_to_string(lw, ' ') AS norm, len(lw) AS words FROM n WHERE len(lw) > 0
+), freq AS (
+  SELECT host, norm FROM c GROUP BY host, norm HAVING count(DISTINCT t) > {line_rules.MIN_DOCS}
+), hosts AS (SELECT host, count(DISTINCT t) AS n_docs FROM d GROUP BY host),
+cut AS (
+  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT t) AS n FROM c JOIN freq USING (host, norm) GROUP BY host, norm)
+  JOIN hosts USING (host) WHERE n * 100 > n_docs * {line_rules.SHARE_PERCENT}
+), by_line AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines,
+         count(*) FILTER (cut.norm IS NOT NULL) AS n_removed_lines,
+         coalesce(sum(words) FILTER (cut.norm IS NOT NULL), 0) AS n_lost_words
+  FROM c LEFT JOIN cut USING (host, norm) GROUP BY rid
+), r AS (
+  SELECT doc_id, len(w) AS n_words,
+         length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_removed_lines, 0) AS n_removed_lines, CAST(coalesce(n_lost_words, 0) AS BIGINT) AS n_lost_words
+  FROM d LEFT JOIN by_line USING (rid) LEFT JOIN rep USING (rid)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+       AND n_lost_words * 100 <= n_words * {line_rules.MAX_LOST_PERCENT} AS kept
+FROM r
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
@@ -188,6 +319,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_page_diff": op5_page_diff,
     "op4_quality": op4_quality,
     "op2_pii": op2_pii,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_alignment": op12_alignment,
+    "op13_line_rules": op13_line_rules,
 }
 
-ORACLE: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op8_decontamination": OP8_SQL, "op6_warc": OP6_SQL}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op8_decontamination": OP8_SQL,
+    "op6_warc": OP6_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op13_line_rules": OP13_SQL,
+}
+
+#: Queries that SQL cannot express: the tests (in tests/llm) that compare them with brute force.
+BRUTE_FORCE: dict[str, str] = {
+    "op2_pii": "test_free.py::test_pii_base_spans",
+    "op3_sharding": "test_native.py::test_sharding_law",
+    "op4_quality": "test_free.py::test_quality_held_out",
+    "op5_page_diff": "test_free.py::test_page_text_of_articles",
+    "op7_scaled_sketch": "test_native.py::test_fingerprints_brute_force",
+    "op9_ngram_join": "test_free.py::test_join_brute_force",
+    "op10_bpe": "test_free.py::test_bpe_is_the_library",
+    "op12_alignment": "test_rules.py::test_alignment_brute_force",
+}
