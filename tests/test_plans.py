@@ -1,6 +1,6 @@
 """Physical plans: the shapes the operators are built for."""
 
-from conftest import SF001
+from sfdirs import SF001
 from planutil import plan_text
 from stationlake.plans.queries import QUERIES
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from sfdirs import SF0001
 from stationlake.functions import year_month
 from stationlake.sinks import write_csv, write_partitioned
 from stationlake.sources import read_parquet

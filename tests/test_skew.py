@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sfdirs import SF001
 from stationlake.operators import effective_dated_join, intervals_from_starts, keep_first, total_order
 
 
