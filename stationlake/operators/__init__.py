@@ -2,7 +2,7 @@
 
 from .analysis import distinct_values, global_max, group_max, time_slice, top_k
 from .dedup import keep_first, total_order
-from .effective import effective_dated_join, intervals_from_starts
+from .effective import effective_dated_join, fits_broadcast, intervals_from_starts
 from .quality import (
     Check,
     check_accepted_values,
@@ -25,6 +25,7 @@ __all__ = [
     "keep_first",
     "total_order",
     "effective_dated_join",
+    "fits_broadcast",
     "intervals_from_starts",
     "Check",
     "check_accepted_values",

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize_counted
+from .sweep import sweep_join
 
 # A broadcast history is copied to every executor. Up to this many rows and
-# this estimated size (a station history has a few thousand rows) the copy
-# is cheap; beyond it the join is bucketed by time and shuffled on
-# (key, time bucket).
+# this size (a station history has a few thousand rows) the copy is cheap;
+# beyond it facts and history are merged and swept in time order.
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 << 20
 
@@ -53,6 +53,13 @@ def broadcastable(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes:
     return has_at_most(df, rows)
 
 
+def fits_broadcast(
+    rows: int, size: int, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Whether a history of so many rows and bytes is broadcast (else swept)."""
+    return rows <= max_rows and size <= max_bytes
+
+
 def effective_dated_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -65,76 +72,39 @@ def effective_dated_join(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     materialize_dim: bool = True,
-    bucket: str = "month",
     dim_rows: int | None = None,
     dim_bytes: int | None = None,
-    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Join each fact row to the history rows valid at ``fact[ts]``.
 
-    Small history (row count and bytes checked): broadcast hash
-    join on ``key`` with the range as residual condition; the fact is not
-    shuffled. Large history: both sides get a time bucket, the history
-    exploded over the buckets its interval covers (clipped to the fact's
-    time range), and the join is an equi-join on (key, bucket), so a hot key
-    is spread over its buckets (and AQE splits a still-skewed bucket).
-
-    ``bucket`` ("month" or "year") trades the history's growth (one row per
-    bucket its interval covers; open intervals reach the fact's last
-    timestamp) against the size of the largest (key, bucket) cell.
+    Small history (row count and bytes checked, ``fits_broadcast``): broadcast
+    hash join on ``key`` with the range as residual condition; the fact is not
+    shuffled and keeps its order. Large history: ``sweep_join``, after which
+    rows are in no order. Both give the same rows.
 
     A derived history is first written once to the shared folder
     (``materialize_dim``), its rows counted during that write: the join does
     not recompute it and the size check needs no job. ``dim_rows`` and
     ``dim_bytes`` pass a count and size (``row_bytes``) already known for ``dim``.
-
-    ``bounds``: a frame with a column ``ts`` whose range covers the fact's, such
-    as the raw time column; without it the large path runs the fact for it.
     """
     dim_key = dim_key or key
-    d = dim.withColumnRenamed(dim_key, "__dk")
     if materialize_dim:
-        d, metrics = materialize_counted(d, "history", bytes=F.coalesce(F.sum(row_bytes(d)), F.lit(0)))
-        small = metrics["rows"] <= max_broadcast_rows and metrics["bytes"] <= max_broadcast_bytes
+        dim, metrics = materialize_counted(dim, "history", bytes=F.coalesce(F.sum(row_bytes(dim)), F.lit(0)))
+        small = fits_broadcast(metrics["rows"], metrics["bytes"], max_broadcast_rows, max_broadcast_bytes)
     elif dim_rows is not None:
-        size = dim_rows * row_width(d) if dim_bytes is None else dim_bytes
-        small = dim_rows <= max_broadcast_rows and size <= max_broadcast_bytes
+        size = dim_rows * row_width(dim) if dim_bytes is None else dim_bytes
+        small = fits_broadcast(dim_rows, size, max_broadcast_rows, max_broadcast_bytes)
     else:
-        small = broadcastable(d, max_broadcast_rows, max_broadcast_bytes)
-    if small:
-        cond = (
-            (F.col(key) == F.col("__dk"))
-            & (F.col(ts) >= F.col(start))
-            & (F.col(end).isNull() | (F.col(ts) <= F.col(end)))
-        )
-        return fact.join(F.broadcast(d), cond, how).drop("__dk")
-
-    lo_value, hi_value = (fact if bounds is None else bounds).agg(F.min(ts), F.max(ts)).first()
-    if lo_value is None:
-        # No timestamp can match: history columns are NULL (no join needed).
-        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema.fields if f.name != "__dk"]
-        return fact.select("*", *nulls) if how == "left" else fact.limit(0).select("*", *nulls)
-    ts_type = fact.schema[ts].dataType
-    lo, hi = F.lit(lo_value).cast(ts_type), F.lit(hi_value).cast(ts_type)
-    first_bucket = F.date_trunc(bucket, F.greatest(F.col(start), lo))
-    last_bucket = F.date_trunc(bucket, F.least(F.coalesce(F.col(end), hi), hi))
-    d = (
-        d.filter(F.col(start).isNotNull() & (F.col(start) <= hi))
-        # An interval that ends before it starts matches nothing.
-        .filter(F.col(end).isNull() | ((F.col(end) >= lo) & (F.col(end) >= F.col(start))))
-        .withColumn(
-            "__bucket",
-            F.explode(F.sequence(first_bucket, last_bucket, F.expr(f"INTERVAL 1 {bucket.upper()}"))),
-        )
-    )
-    f = fact.withColumn("__fbucket", F.date_trunc(bucket, F.col(ts)))
+        small = broadcastable(dim, max_broadcast_rows, max_broadcast_bytes)
+    if not small:
+        return sweep_join(fact, dim, key, ts, start, end, how, dim_key)
+    d = dim.withColumnRenamed(dim_key, "__dk")
     cond = (
         (F.col(key) == F.col("__dk"))
-        & (F.col("__fbucket") == F.col("__bucket"))
         & (F.col(ts) >= F.col(start))
         & (F.col(end).isNull() | (F.col(ts) <= F.col(end)))
     )
-    return f.join(d, cond, how).drop("__dk", "__bucket", "__fbucket")
+    return fact.join(F.broadcast(d), cond, how).drop("__dk")
 
 
 # Units tried from coarse to fine, with their length in seconds.

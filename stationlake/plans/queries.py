@@ -20,7 +20,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -56,6 +56,7 @@ from ..operators import (
 )
 from ..schemas import PRECIPITATION_FORMS, QUALITY_LEVELS
 from ..session import materialize_counted, shared_dir
+from ..operators.sweep import sweep_join
 from ..sinks import publish_table, write_partitioned
 from ..sources import (
     explode_archives,
@@ -216,6 +217,37 @@ def effective_dated_overlap(spark, sf_dir):
     return effective_fact(spark, sf_dir, touching=True)
 
 
+@query(
+    "hot_key_intervals",
+    """
+WITH open AS (
+  SELECT event_id AS geo_event_id, value AS geo_value, ts AS geo_start, ts + INTERVAL 1 HOUR AS geo_end
+  FROM events WHERE event_type = 'signup'
+)
+SELECT e.event_id, count(o.geo_event_id) AS n_open, min(o.geo_event_id) AS first_open,
+       CAST(sum(o.geo_event_id) AS BIGINT) AS sum_open
+FROM events e LEFT JOIN open o ON e.ts >= o.geo_start AND e.ts <= o.geo_end
+GROUP BY e.event_id
+""",
+)
+def hot_key_intervals(spark, sf_dir):
+    """All events and all intervals under one key, the intervals overlapping:
+    what is open at each event, by the sweep."""
+    ev = table(spark, sf_dir, "events").withColumn("station", F.lit(1))
+    spans = ev.filter(F.col("event_type") == "signup").select(
+        "station",
+        F.col("event_id").alias("geo_event_id"),
+        F.col("ts").alias("geo_start"),
+        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("geo_end"),
+    )
+    found = sweep_join(ev.select("station", "event_id", "ts"), spans, "station", "ts", "geo_start", "geo_end")
+    return found.groupBy("event_id").agg(
+        F.count("geo_event_id").alias("n_open"),
+        F.min("geo_event_id").alias("first_open"),
+        F.sum("geo_event_id").alias("sum_open"),
+    )
+
+
 # ---------------------------------------------------------------------------
 # Scalar functions
 # ---------------------------------------------------------------------------
@@ -965,6 +997,43 @@ def weather_fact_bucketed(spark, sf_dir):
     return read_parquet(spark, fact_path, {"month": "string"})
 
 
+@query("published_marts", WEATHER_FACT_SQL)
+def published_marts(spark, sf_dir):
+    """The fact read by name after the raw table by month, both dims and the
+    fact were loaded as versions behind their names."""
+    prefix = f"marts_{uuid.uuid4().hex}_"
+    root = shared_dir(spark, "weather", uuid.uuid4().hex)
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
+    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
+    names = weather.publish_marts(spark, paths, prefix)
+    return read_table(spark, names["fact_measurements"])
+
+
+FACT_LAYOUT_SQL = (
+    _WEATHER_CTES
+    + ", fact AS ("
+    + _WEATHER_FACT_SELECT
+    + ")\nSELECT month, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_overlaps FROM fact GROUP BY month"
+)
+
+
+@query("fact_layout", FACT_LAYOUT_SQL)
+def fact_layout(spark, sf_dir):
+    """Per month the rows of the fact and its files whose time range reaches
+    into the next file's, where one history outgrows the broadcast by its size
+    alone: the sweep ends the order, and the write restores it."""
+    fact_path, _ = _run_weather(spark, sf_dir, max_broadcast_bytes=4096)
+    rows = read_parquet(spark, fact_path, {"month": "string"})
+    at = F.struct("dt_measurement_utc", "station_id")
+    files = rows.groupBy("month", F.col("_metadata.file_path").alias("file")).agg(
+        F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(F.lit(1)).alias("n")
+    )
+    # One row per file: a month has as many as its tasks.
+    after = F.lead("lo").over(Window.partitionBy("month").orderBy("lo", "hi"))
+    files = files.withColumn("overlaps", F.coalesce((F.col("hi") > after).cast("long"), F.lit(0)))
+    return files.groupBy("month").agg(F.sum("n").alias("n_rows"), F.sum("overlaps").alias("n_overlaps"))
+
+
 @query("weather_checks", WEATHER_CHECKS_SQL)
 def weather_checks(spark, sf_dir):
     """The declared tests of the published fact (unique and not-null keys,

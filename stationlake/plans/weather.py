@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from ..operators import (
     check_unique,
     distinct_values,
     effective_dated_join,
+    fits_broadcast,
     group_max,
     keep_first,
     quality_report,
@@ -66,7 +68,7 @@ from ..schemas import (
     STAGING_COLUMNS,
 )
 from ..session import materialize_counted
-from ..sinks import create_view, write_csv, write_partitioned
+from ..sinks import create_view, publish_version, write_csv, write_partitioned
 from ..sources import (
     extract_links,
     member_lines,
@@ -396,40 +398,53 @@ def read_raw(spark: SparkSession, paths: dict[str, str]) -> tuple[DataFrame, Dat
     return main, geo, op
 
 
-def build_fact(
-    spark: SparkSession, paths: dict[str, str], **join_options
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+class FactBuild(NamedTuple):
+    """A fact that is ready to be written, and what it was joined to."""
+
+    fact: DataFrame  # with its month column
+    geo: DataFrame
+    op: DataFrame
+    ordered: bool  # still range-partitioned on (day, station): both histories were broadcast
+
+
+def _join_histories(stg: DataFrame, geo: DataFrame, op: DataFrame, **join_options) -> FactBuild:
+    # Both histories are written once to the shared folder (lineage cut,
+    # rows and bytes counted during the write), in parallel: they are independent jobs.
+    def written(dim: DataFrame, name: str) -> tuple[DataFrame, dict]:
+        return materialize_counted(dim, name, bytes=F.coalesce(F.sum(row_bytes(dim)), F.lit(0)))
+
+    with ThreadPoolExecutor(2) as pool:
+        geo_job = pool.submit(written, geo, "dim_geo")
+        op_job = pool.submit(written, op, "dim_operator")
+        (geo, geo_size), (op, op_size) = geo_job.result(), op_job.result()
+    limits = {k.replace("max_broadcast", "max"): v for k, v in join_options.items() if k.startswith("max_broadcast")}
+    ordered = all(fits_broadcast(size["rows"], size["bytes"], **limits) for size in (geo_size, op_size))
+    fact = fact_measurements(stg, geo, op, geo_size, op_size, materialize_dim=False, **join_options)
+    return FactBuild(fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op, ordered)
+
+
+def build_fact(spark: SparkSession, paths: dict[str, str], **join_options) -> FactBuild:
     """(fact with its month column, dim_geo, dim_operator) from the raw files.
 
     One shuffle for the whole fact build: a range partition on (day,
     station) puts every station-day in one task (what the dedup window
     needs) and gives each task a contiguous time range (what the
-    month-partitioned, time-clustered write needs). The history joins are
-    broadcast and keep this partitioning.
+    month-partitioned, time-clustered write needs). Broadcast history joins
+    keep this partitioning; a history too large for that is swept, which ends
+    the order, and ``ordered`` says so.
     """
     main, geo_raw, op_raw = read_raw(spark, paths)
-    times = main.select(F.col("mess_datum").cast("timestamp_ntz").alias("dt_measurement_utc"))
     main = main.repartitionByRange("mess_datum", "stations_id")
     # The staging model is a view: evaluated inside the fact build.
     create_view(stg_measurements(main), "stg_measurements")
     stg = read_table(spark, "stg_measurements")
-    # Both histories are written once to the shared folder (lineage cut,
-    # rows and bytes counted during the write), in parallel: they are independent jobs.
-    def written(dim: DataFrame, name: str) -> tuple[DataFrame, dict]:
-        return materialize_counted(dim, name, bytes=F.coalesce(F.sum(row_bytes(dim)), F.lit(0)))
-
-    with ThreadPoolExecutor(2) as pool:
-        geo_job = pool.submit(written, dim_geo(geo_raw), "dim_geo")
-        op_job = pool.submit(written, dim_operator(op_raw), "dim_operator")
-        (geo, geo_size), (op, op_size) = geo_job.result(), op_job.result()
-    fact = fact_measurements(stg, geo, op, geo_size, op_size, materialize_dim=False, bounds=times, **join_options)
-    return fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op
+    return _join_histories(stg, dim_geo(geo_raw), dim_operator(op_raw), **join_options)
 
 
 def run_marts(spark: SparkSession, paths: dict[str, str], out: str, **join_options) -> tuple[str, DataFrame]:
     """Raw files -> published dims (``dim_geo``, ``dim_operator``) and fact (by
     UTC month, clustered by time), and the quality report of the published fact."""
-    fact, geo, op = build_fact(spark, paths, **join_options)
+    fact, geo, op, ordered = build_fact(spark, paths, **join_options)
     for name, dim in (("dim_geo", geo), ("dim_operator", op)):
         dim.write.mode("overwrite").parquet(f"{out}/{name}")
     path = write_partitioned(
@@ -437,7 +452,7 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str, **join_optio
         f"{out}/fact_measurements",
         ["month"],
         cluster_by=["dt_measurement_utc", "station_id"],
-        range_partitioned=not join_options,  # a shuffled history join ends the range order
+        range_partitioned=ordered,
         full_refresh=True,
     )
     published = spark.read.parquet(path)
@@ -445,6 +460,44 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str, **join_optio
     return path, quality_report(checks, [rows])
 
 
+def publish_marts(spark: SparkSession, paths: dict[str, str], prefix: str = "", **join_options) -> dict[str, str]:
+    """Raw files -> catalog tables that readers find by name: the raw
+    measurements by month, both dims and the fact by month.
+
+    Each is a new version behind its name (``sinks.publish_version``): a load
+    that fails leaves the version before readable. The staging model and the
+    fact read what was published. The fact's declared tests run on the new
+    version before its name is moved, so error-level failures are never visible.
+    """
+    names = {t: f"{prefix}{t}" for t in ("raw_measurements", "dim_geo", "dim_operator", "fact_measurements")}
+    main, geo_raw, op_raw = read_raw(spark, paths)
+    month = year_month(F.col("mess_datum").cast("timestamp_ntz"))
+    publish_version(
+        main.withColumn("month", month), names["raw_measurements"], ["month"], cluster_by=["mess_datum", "stations_id"]
+    )
+    publish_version(dim_geo(geo_raw), names["dim_geo"])
+    publish_version(dim_operator(op_raw), names["dim_operator"])
+
+    raw = read_table(spark, names["raw_measurements"]).drop("month")
+    geo, op = read_table(spark, names["dim_geo"]), read_table(spark, names["dim_operator"])
+    stg = stg_measurements(raw.repartitionByRange("mess_datum", "stations_id"))
+    built = _join_histories(stg, geo, op, **join_options)
+
+    def audit(version: DataFrame) -> None:
+        checks, rows = fact_checks(version, built.geo, built.op)
+        raise_on_error(quality_report(checks, [rows]))
+
+    publish_version(
+        built.fact,
+        names["fact_measurements"],
+        ["month"],
+        cluster_by=["dt_measurement_utc", "station_id"],
+        range_partitioned=built.ordered,
+        audit=audit,
+    )
+    return names
+
+
 # ---------------------------------------------------------------------------
 # Analytics on the fact (the exploratory queries)
 # ---------------------------------------------------------------------------

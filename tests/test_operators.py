@@ -76,11 +76,10 @@ def test_effective_join_broadcast(spark):
     assert "BroadcastHashJoin" in plan_text(j)
 
 
-def test_effective_join_bucketed_matches(spark):
+def test_effective_join_swept_matches(spark):
     fact, dim = _fact_dim(spark)
-    for bucket in ("month", "year"):
-        j = effective_dated_join(fact, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0, bucket=bucket)
-        assert sorted([(r.station_id, r.ts, r.name) for r in j.collect()], key=str) == EXPECTED
+    j = effective_dated_join(fact, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0)
+    assert sorted([(r.station_id, r.ts, r.name) for r in j.collect()], key=str) == EXPECTED
 
 
 def test_intervals_from_starts_matches_window_lead(spark):
@@ -132,7 +131,7 @@ def test_row_checks_match_single_checks(spark):
     ]
 
 
-def test_bucketed_join_without_timestamps(spark):
+def test_swept_join_without_timestamps(spark):
     fact, dim = _fact_dim(spark)
     empty = fact.filter("ts is null")
     j = effective_dated_join(empty, dim, "station_id", "ts", "start", "end", max_broadcast_rows=0)
