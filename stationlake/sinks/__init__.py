@@ -3,8 +3,9 @@
 from .writers import (
     create_view,
     publish_table,
+    publish_version,
     write_csv,
     write_partitioned,
 )
 
-__all__ = ["create_view", "publish_table", "write_csv", "write_partitioned"]
+__all__ = ["create_view", "publish_table", "publish_version", "write_csv", "write_partitioned"]

@@ -10,11 +10,15 @@ landing in one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# A published name is a view; its property tells the version it reads.
+_VERSION = "__v"
+_POINTS_TO = "stationlake.version"
+
 
 def _clustered(
     df: DataFrame,
@@ -99,6 +103,76 @@ def publish_table(
     return name
 
 
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """The versions of a published name, oldest first."""
+    database, _, table = name.rpartition(".")
+    inside = f" IN {database}" if database else ""
+    head = f"{table}{_VERSION}"
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES{inside}").select("tableName").collect()]
+    numbers = sorted(int(t[len(head) :]) for t in found if t.startswith(head) and t[len(head) :].isdigit())
+    return [f"{name}{_VERSION}{n}" for n in numbers]
+
+
+def _current(spark: SparkSession, name: str) -> str | None:
+    """The version that ``name`` points to; None if there is no such name."""
+    if not spark.catalog.tableExists(name):
+        return None
+    told = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == _POINTS_TO).collect()
+    if not told:
+        raise ValueError(f"{name} exists and is not a published name")
+    return told[0]["value"]
+
+
+def publish_version(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: str | Sequence[str] | None = None,
+    partitions: int | None = None,
+    range_partitioned: bool = False,
+    audit: Callable[[DataFrame], None] | None = None,
+    keep: int = 1,
+) -> str:
+    """Publish ``df`` as a new version of ``name`` and return the version's table.
+
+    Readers use ``name``, a catalog view over one version. The version is a
+    table with files of its own: it is loaded in full, then ``audit`` (if any)
+    gets it and may raise, and only then the view is replaced, which is one
+    catalog operation. At every moment ``name`` gives a whole version; a load or
+    an audit that fails drops its own version and changes nothing else.
+
+    ``keep`` versions before the new one stay for readers that have already
+    begun; older ones, and those that a lost driver left behind, are dropped.
+    A name has one loader at a time.
+    """
+    spark = df.sparkSession
+    now = _current(spark, name)
+    before = _versions(spark, name)
+    number = int(before[-1].rpartition(_VERSION)[2]) + 1 if before else 1
+    version = f"{name}{_VERSION}{number}"
+    w = _clustered(df, partition_by, cluster_by, partitions, range_partitioned).write.mode("errorifexists").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    try:
+        w.saveAsTable(version)
+        # By name and in the order of df, so that a read gives its columns back.
+        table = spark.table(version).select(*[F.col(f"`{c}`") for c in df.columns])
+        if audit is not None:
+            audit(table)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_POINTS_TO}' = '{version}') AS SELECT {columns} FROM {version}"
+    )
+    stay = before[: before.index(now) + 1][-keep:] if now in before and keep else []
+    for old in before:
+        if old not in stay:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return version
+
+
 def create_view(df: DataFrame, name: str) -> str:
     """Lazy model: a temporary view, evaluated inside every query using it."""
     df.createOrReplaceTempView(name)
