@@ -14,6 +14,7 @@ from .quality import (
     row_checks,
 )
 from .partitioning import spread
+from .quarantine import Quarantine, quarantine
 from .union import union_categories
 
 __all__ = [
@@ -37,4 +38,6 @@ __all__ = [
     "row_checks",
     "union_categories",
     "spread",
+    "Quarantine",
+    "quarantine",
 ]

@@ -63,6 +63,7 @@ from ..sources import (
     extract_links,
     new_files,
     read_delimited,
+    read_delimited_checked,
     read_sectioned,
     route_members,
     section_lines,
@@ -753,6 +754,53 @@ def delimited_roundtrip(spark, sf_dir):
     return union_categories(parts)
 
 
+# Lines with planted faults, by the event's value: text for a number, a cell too
+# few, a blank id, a cell too many; then a missing value, which is none.
+_FAULTY_LINE_SQL = """
+       CASE WHEN value < 1 THEN event_id || ';' || user_id || ';' || event_type || ';n/a'
+            WHEN value < 2 THEN event_id || ';' || user_id || ';' || event_type
+            WHEN value < 3 THEN event_id || ';   ;' || event_type || ';' || CAST(value AS VARCHAR)
+            WHEN value < 4 THEN event_id || ';' || user_id || ';' || event_type || ';' || CAST(value AS VARCHAR) || ';eor'
+            WHEN value < 5 THEN event_id || ';' || user_id || ';' || event_type || ';-999'
+            ELSE event_id || ';' || user_id || ';' || event_type || ';' || CAST(value AS VARCHAR) END"""
+_FAULTY_COLUMNS = {"EVENT_ID": "long", "USER_ID": "long", "  EVENT_TYPE": "string", " VALUE": "double"}
+
+
+@query(
+    "rejected_lines",
+    f"""
+WITH l AS (
+  SELECT *, {_FAULTY_LINE_SQL} AS line,
+         CASE WHEN value < 1 THEN 'bad value in value' WHEN value < 2 THEN 'wrong number of cells'
+              WHEN value < 3 THEN 'no value in user_id' WHEN value < 4 THEN 'wrong number of cells' END AS reason
+  FROM events
+)
+SELECT CASE WHEN reason IS NULL THEN event_id END AS event_id, CASE WHEN reason IS NULL THEN user_id END AS user_id,
+       CASE WHEN reason IS NULL THEN event_type END AS event_type,
+       CASE WHEN reason IS NULL AND value >= 5 THEN value END AS value,
+       CASE WHEN reason IS NOT NULL THEN line END AS line, reason,
+       count(*) FILTER (reason IS NULL) OVER () AS n_rows, count(*) FILTER (reason IS NOT NULL) OVER () AS n_rejects
+FROM l
+""",
+)
+def rejected_lines(spark, sf_dir):
+    """The events as delimited text with planted faults, read with a quarantine:
+    good rows, rejects with line and reason, and the counts seen while writing."""
+    line = F.expr(_FAULTY_LINE_SQL.replace("VARCHAR", "STRING"))
+    path = shared_dir(spark, "faulty_text", uuid.uuid4().hex)
+    header = ";".join(_FAULTY_COLUMNS)
+    table(spark, sf_dir, "events").select(line.alias(header)).write.option("header", "true").option(
+        "sep", "\u0001"
+    ).option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    found = read_delimited_checked(
+        spark, path, _FAULTY_COLUMNS, "EVENT_ID", glob="*.csv", required=["user_id"]
+    )
+    good = found.rows.drop("file").withColumns({"line": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")})
+    bad = found.rejects.drop("file")
+    counts = {"n_rows": F.lit(found.counts["rows"]).cast("long"), "n_rejects": F.lit(found.counts["rejects"]).cast("long")}
+    return good.unionByName(bad, allowMissingColumns=True).withColumns(counts)
+
+
 # ---------------------------------------------------------------------------
 # Sectioned files
 # ---------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -84,21 +85,29 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
-    the plan) and makes the row count a metadata read.
+    the plan) and makes the row count a metadata read. ``partition_by``: rows
+    that are read apart lie in folders of their own.
     """
     path = shared_dir(df.sparkSession, "materialized", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+    writer = df.write.mode("overwrite")
+    if not partition_by:
+        writer.parquet(path)
+        return df.sparkSession.read.parquet(path)
+    writer.partitionBy(*partition_by).parquet(path)
+    # The schema is known: folders may be missing, and their names are not guessed at.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def materialize_counted(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), **counts: Column
+) -> tuple[DataFrame, dict]:
     """``materialize`` plus row counts observed during the write (``rows``
     and any named aggregate in ``counts``), so no second job counts them."""
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]]
-    out = materialize(df.observe(obs, *metrics), name)
+    out = materialize(df.observe(obs, *metrics), name, partition_by)
     return out, obs.get

@@ -3,12 +3,15 @@
 Spark's CSV reader takes the header of one file and binds every other file
 by position, silently: two files with swapped columns come back with their
 values swapped. Here each line is split once and every file is bound by its
-own header line, in a single scan:
+own header line. The text is read once, however often the rows are used:
 
-1. all lines of all files, with their file path (``_metadata.file_path``);
-2. header lines (a cell names the id column) give, per file, the
-   position of each wanted column;
-3. data lines are joined to their file's positions and the cells picked.
+1. one scan writes the cells of all lines to the shared folder, header lines
+   (a cell names the id column) apart from data lines;
+2. the few header rows give, per file, the position of each wanted column;
+3. data rows are joined to their file's positions and the cells picked.
+
+Later passes (the sampling of a range-partitioned write, a second count) read
+columns of Parquet and no text.
 
 Columns beyond the wanted ones are ignored; a wanted column missing from a
 file is NULL for that file.
@@ -18,16 +21,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import null_sentinel
+from ..operators.quarantine import Quarantine, quarantine
 from ..schemas import MISSING, clean_name
+from ..session import materialize_counted
 
 # Files are few compared to lines: the per-file position table is broadcast
-# up to this many files, shuffled beyond it.
+# up to this many header lines, shuffled beyond it.
 MAX_BROADCAST_FILES = 200_000
 
+# Why a line is rejected.
+NO_HEADER, WRONG_CELLS, NO_VALUE, BAD_VALUE = "no header line", "wrong number of cells", "no value in ", "bad value in "
+
 
 def _pos(name: str) -> str:
     return "__p_" + name.replace(".", "_")
@@ -74,50 +82,132 @@ def read_delimited(
     output names (e.g. dotted names). The result also carries ``file``.
     """
     lines = read_lines(spark, paths, encoding, glob)
-    few_files = len(lines.inputFiles()) <= max_broadcast_files
-    return bind_by_header(lines, columns, id_column, sep, sentinel, renames, broadcast_headers=few_files)
+    return bind_by_header(lines, columns, id_column, sep, sentinel, renames, max_broadcast_files)
 
 
-def bind_by_header(
-    lines: DataFrame,
+def read_delimited_checked(
+    spark: SparkSession,
+    paths: str | Sequence[str],
     columns: Mapping[str, str],
     id_column: str,
     sep: str = ";",
+    encoding: str = "UTF-8",
+    glob: str | None = None,
     sentinel: str | None = MISSING,
     renames: Mapping[str, str] | None = None,
-    broadcast_headers: bool = True,
-) -> DataFrame:
-    """(file, line) rows -> typed columns, each file bound by its own header
-    line (the line with a cell naming ``id_column``). A file with data lines
-    and no header line fails the run."""
-    wanted = {clean_name(h): t for h, t in columns.items()}
+    max_broadcast_files: int = MAX_BROADCAST_FILES,
+    required: Sequence[str] = (),
+    valid: Mapping[str, Column] | None = None,
+) -> Quarantine:
+    """``read_delimited`` with the lines that are not as declared set apart
+    (see ``bind_checked``): one pass writes good rows and rejects, counted."""
+    lines = read_lines(spark, paths, encoding, glob)
+    rows = bind_checked(lines, columns, id_column, sep, sentinel, renames, max_broadcast_files, required, valid)
+    return quarantine(rows, "delimited", ["file", "line", "reason"], keep=["file"])
+
+
+def _staged(lines: DataFrame, id_column: str, sep: str) -> tuple[DataFrame, int]:
+    """(file, cells, kind) of all lines that are not blank, written once with
+    header lines in a folder of their own, and the number of header lines."""
     cells = F.split(F.col("line"), sep, -1)
     names = F.transform(cells, lambda z: F.lower(F.replace(z, F.lit(" "), F.lit(""))))
     id_name = clean_name(id_column)
     # A header line has a cell naming the id column, wherever it stands. The
     # substring test is cheap and rules out data lines before any split.
     is_header = F.lower(F.col("line")).contains(id_name) & F.array_contains(names, id_name)
+    rows = lines.filter(F.trim(F.col("line")) != "").select(
+        "file", cells.alias("cells"), F.when(is_header, "header").otherwise("data").alias("kind")
+    )
+    rows, seen = materialize_counted(rows, "lines", ["kind"], headers=F.count_if(F.col("kind") == "header"))
+    return rows, seen["headers"]
+
 
-    header = lines.filter(is_header).select("file", names.alias("h"))
-    positions = header.select(
+def _bound(
+    lines: DataFrame, wanted: Mapping[str, str], id_column: str, sep: str, max_broadcast_files: int
+) -> DataFrame:
+    """Data lines (file, cells) with their file's positions and header width; NULLs without a header line."""
+    staged, headers = _staged(lines, id_column, sep)
+    names = F.transform(F.col("cells"), lambda z: F.lower(F.replace(z, F.lit(" "), F.lit(""))))
+    positions = staged.filter(F.col("kind") == "header").select(
         F.col("file").alias("__file"),
-        *[F.array_position(F.col("h"), F.lit(name)).cast("int").alias(_pos(name)) for name in wanted],
-    ).dropDuplicates(["__file"])  # a header line that a file repeats binds it once
-    if broadcast_headers:
+        F.size("cells").alias("__width"),
+        *[F.array_position(names, F.lit(name)).cast("int").alias(_pos(name)) for name in wanted],
+    )
+    positions = positions.dropDuplicates(["__file"])  # a header line that a file repeats binds it once
+    if headers <= max_broadcast_files:
         positions = F.broadcast(positions)
+    data = staged.filter(F.col("kind") == "data").drop("kind")
+    return data.join(positions, F.col("file") == F.col("__file"), "left")
+
+
+def _cell(name: str, sentinel: str | None) -> Column:
+    pos = F.col(_pos(name))
+    raw = F.when(pos > 0, F.try_element_at(F.col("cells"), pos))
+    return null_sentinel(raw, sentinel) if sentinel is not None else F.trim(raw)
+
+
+def _typed(text: Column, dtype: str) -> Column:
+    return text if dtype == "string" else text.try_cast(dtype)
 
-    data = lines.filter(~is_header & (F.trim(F.col("line")) != ""))
-    data = data.withColumn("__cells", cells).join(positions, F.col("file") == F.col("__file"), "left")
+
+def bind_by_header(
+    lines: DataFrame,
+    columns: Mapping[str, str],
+    id_column: str,
+    sep: str = ";",
+    sentinel: str | None = MISSING,
+    renames: Mapping[str, str] | None = None,
+    max_broadcast_files: int = MAX_BROADCAST_FILES,
+) -> DataFrame:
+    """(file, line) rows -> typed columns, each file bound by its own header
+    line (the line with a cell naming ``id_column``). A file with data lines
+    and no header line fails the run."""
+    wanted = {clean_name(h): t for h, t in columns.items()}
+    data = _bound(lines, wanted, id_column, sep, max_broadcast_files)
     # Lines of a file without a header line fail the run; they are not left out.
-    lost = F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))).cast("boolean")
+    lost = F.raise_error(F.concat(F.lit(f"{NO_HEADER} in "), F.col("file"))).cast("boolean")
     data = data.filter(F.when(F.col("__file").isNull(), lost).otherwise(F.lit(True)))
+    renames = renames or {}
+    return data.select("file", *[_typed(_cell(n, sentinel), t).alias(renames.get(n, n)) for n, t in wanted.items()])
+
 
-    def pick(name: str, dtype: str):
-        pos = F.col(_pos(name))
-        raw = F.when(pos > 0, F.try_element_at(F.col("__cells"), pos))
-        value = null_sentinel(raw, sentinel) if sentinel is not None else F.trim(raw)
-        if dtype != "string":
-            value = value.try_cast(dtype)
-        return value.alias((renames or {}).get(name, name))
+def bind_checked(
+    lines: DataFrame,
+    columns: Mapping[str, str],
+    id_column: str,
+    sep: str = ";",
+    sentinel: str | None = MISSING,
+    renames: Mapping[str, str] | None = None,
+    max_broadcast_files: int = MAX_BROADCAST_FILES,
+    required: Sequence[str] = (),
+    valid: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """``bind_by_header`` that judges instead of failing: the typed columns,
+    ``file`` and ``reason``, NULL for good lines, and for the others ``line`` as read.
 
-    return data.select("file", *[pick(n, t) for n, t in wanted.items()])
+    The first that applies is the reason: the file has no header line; the line
+    has not as many cells as its header; the id column or one of ``required``
+    (output names) is missing; a value that is there is not of its type or fails
+    its condition in ``valid`` (by output name; NULL fails).
+    """
+    wanted = {clean_name(h): t for h, t in columns.items()}
+    named = {n: (renames or {}).get(n, n) for n in wanted}
+    data = _bound(lines, wanted, id_column, sep, max_broadcast_files)
+    # Texts and values become columns before they are judged: each is made once.
+    data = data.withColumns({f"__t_{k}": _cell(n, sentinel) for k, n in enumerate(wanted)})
+    data = data.withColumns({named[n]: _typed(F.col(f"__t_{k}"), t) for k, (n, t) in enumerate(wanted.items())})
+    text = {named[n]: F.col(f"__t_{k}") for k, n in enumerate(wanted)}
+    needed = dict.fromkeys([named[clean_name(id_column)], *required])
+    # An empty cell is a missing value.
+    there = {n: t.isNotNull() & (t != "") for n, t in text.items()}
+    reason = F.when(F.col("__file").isNull(), NO_HEADER).when(F.size("cells") != F.col("__width"), WRONG_CELLS)
+    for name in needed:
+        reason = reason.when(~F.coalesce(there[name], F.lit(False)), NO_VALUE + name)
+    for name in text:
+        ok = F.col(f"`{name}`").isNotNull()
+        if valid and name in valid:
+            ok = ok & F.coalesce(valid[name], F.lit(False))
+        reason = reason.when(there[name] & ~ok, BAD_VALUE + name)
+    data = data.withColumn("reason", reason)
+    line = F.when(F.col("reason").isNotNull(), F.array_join("cells", sep, ""))
+    return data.select("file", *[F.col(f"`{n}`") for n in text], line.alias("line"), "reason")
