@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.llm._common import ascii_lower
-from stationlake.session import materialize_counted
+from stationlake.session import materialize, materialize_counted
 
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
@@ -95,13 +95,14 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (n_repeat_words * 100 > n_words * MAX_REPEAT_PERCENT)
 
 
-def _lines(df: DataFrame, text: Column, *keep: str) -> DataFrame:
-    """One row per line, from 1: ``keep``, ``pos``, its hash ``k1, k2`` and ``words`` (0: without words).
-    A NULL text is one line without words."""
-    split = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    at = df.select(*keep, F.posexplode(split).alias("_pos", "_line"))
-    norm = F.trim(F.regexp_replace(ascii_lower(F.col("_line")), SPACE, " "))
-    at = at.select(*keep, (F.col("_pos") + 1).alias("pos"), norm.alias("_norm"))
+def _lines(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """One row per line, from 1: ``keep``, ``pos``, the hash ``k1, k2`` of the normalised
+    line and its ``words`` (0: without words). A NULL text is one line without words."""
+    whole = ascii_lower(F.coalesce(F.col(text), F.lit("")))
+    # Only runs that are not a single space need replacing.
+    plain = F.regexp_replace(whole, r"(?:\x20(?=[\x20\t\x0B\f\r])|[\t\x0B\f\r])[\x20\t\x0B\f\r]*", " ")
+    at = df.select(*keep, F.posexplode(F.split(plain, "\n", -1)).alias("_pos", "_line"))
+    at = at.select(*keep, (F.col("_pos") + 1).alias("pos"), F.trim("_line").alias("_norm"))
     return at.select(
         *keep,
         "pos",
@@ -109,22 +110,20 @@ def _lines(df: DataFrame, text: Column, *keep: str) -> DataFrame:
         F.xxhash64(F.lit(1), "_norm").alias("k1"),
         F.xxhash64(F.lit(2), "_norm").alias("k2"),
         F.when(F.col("_norm") == "", 0)
-        .otherwise(F.char_length("_norm") - F.char_length(_without(F.col("_norm"), " ")) + 1)
+        .otherwise(F.octet_length("_norm") - F.octet_length(F.replace("_norm", F.lit(" "), F.lit(""))) + 1)
         .cast("long")
         .alias("words"),
     )
 
 
-def frequent_lines(
-    docs: DataFrame, text: str, host: str, min_docs: int = MIN_DOCS, share_percent: int = SHARE_PERCENT
-) -> DataFrame:
-    """``host, k1, k2`` of the lines above the limits. Each text is counted once
-    per host and line: made distinct first (no group larger than a text's copies
-    in a task), then counted, both combined map-side."""
-    rows = docs.select(F.coalesce(F.col(host), F.lit("")).alias("host"), F.xxhash64(text).alias("th"), F.col(text).alias("_text"))
-    lines = _lines(rows, F.col("_text"), "host", "th").where("words > 0").select("host", "k1", "k2", "th").distinct()
-    found = lines.groupBy("host", "k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
-    hosts = rows.select("host", "th").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
+def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, share_percent: int = SHARE_PERCENT) -> DataFrame:
+    """``host, k1, k2`` of the lines above the limits, from ``host, th`` (text
+    hash), ``k1, k2, words`` of all lines. Each text is counted once per host and
+    line: made distinct first (no group larger than a text's copies in a task),
+    then counted, both combined map-side."""
+    each = lines.where("words > 0").select("host", "k1", "k2", "th").distinct()
+    found = each.groupBy("host", "k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs)
+    hosts = lines.where("pos = 1").select("host", "th").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
     found = found.join(hosts, "host").where(F.col("n") * 100 > F.col("n_docs") * share_percent)
     return found.select("host", "k1", "k2")
 
@@ -140,25 +139,27 @@ def judge(
 ) -> DataFrame:
     """Per row of ``docs``: ``doc`` (struct of its columns, or of ``keep``), the
     ``measures``, ``base_failed``, ``removed`` (positions of removed lines, from
-    1), ``n_lost`` (their words) and ``kept``."""
-    src = docs.select(
+    1), ``n_lost`` (their words) and ``kept``.
+
+    The texts are read once: measures and line hashes are written to the shared
+    folder, and both the frequencies and the verdicts come from there.
+    """
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc"),
         F.col(f"`{text}`").alias("text"),
-        F.col(f"`{host}`").cast("string").alias("host"),
+        F.xxhash64(F.col(f"`{text}`")).alias("th"),
+        F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")).alias("host"),
+        F.monotonically_increasing_id().alias("rid"),
     )
-    found, seen = materialize_counted(frequent_lines(src, "text", "host", min_docs, share_percent), "frequent-lines")
+    lines = _lines(measures(rows, "text"), "text", "rid", "host", "th", "doc", *counts)
+    # A row goes along with its first line only.
+    first = [F.when(F.col("pos") == 1, F.col(c)).alias(c) for c in ("doc", *counts)]
+    lines = materialize(lines.select("rid", "host", "th", "pos", "k1", "k2", "words", *first), "judged-lines")
+
+    found, seen = materialize_counted(frequent_lines(lines, min_docs, share_percent), "frequent-lines")
     found = found.withColumn("gone", F.lit(True))
     found = F.broadcast(found) if seen["rows"] <= MAX_BROADCAST_LINES else found
-
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rows = measures(src.withColumn("rid", F.monotonically_increasing_id()), "text")
-    rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
-    # A row goes along with its first line only.
-    lines = _lines(rows, F.col("text"), "rid", "host", "doc", *counts)
-    first = F.col("pos") == 1
-    lines = lines.select(
-        "rid", "host", "k1", "k2", "pos", "words", *[F.when(first, F.col(c)).alias(c) for c in ("doc", *counts)]
-    )
     hits = lines.join(found, ["host", "k1", "k2"], "left")
     gone = F.coalesce(F.col("gone"), F.lit(False)) & (F.col("words") > 0)
     out = hits.groupBy("rid").agg(
