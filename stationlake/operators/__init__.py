@@ -3,8 +3,10 @@
 from .analysis import distinct_values, global_max, group_max, time_slice, top_k
 from .dedup import keep_first, total_order
 from .effective import effective_dated_join, fits_broadcast, intervals_from_starts
+from .ordering import with_position, write_ordered
 from .quality import (
     Check,
+    ObservedChecks,
     check_accepted_values,
     check_not_null,
     check_relationships,
@@ -28,7 +30,10 @@ __all__ = [
     "effective_dated_join",
     "fits_broadcast",
     "intervals_from_starts",
+    "with_position",
+    "write_ordered",
     "Check",
+    "ObservedChecks",
     "check_accepted_values",
     "check_not_null",
     "check_relationships",

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -140,6 +140,42 @@ def row_checks(
     return out
 
 
+class ObservedChecks:
+    """Not-null and accepted-value tests counted while their rows are written.
+
+    ``attach`` adds the counters to the rows; when an action has run over them,
+    ``report`` gives one row per test in the schema of ``quality_report``, without
+    reading anything again. The counters see every row that passes them, so they
+    belong behind the last step that may run twice (a range shuffle's sampling):
+    directly before a write. ``failures`` are rows, for both sorts of tests.
+    """
+
+    def __init__(
+        self,
+        not_null: Sequence[tuple[str, str]] = (),
+        accepted: Sequence[tuple[str, Sequence, str]] = (),
+        name: str = "checks",
+    ):
+        self.tests = [("not_null", c, sev) for c, sev in not_null] + [("accepted_values", c, sev) for c, _, sev in accepted]
+        conditions = [F.col(f"`{c}`").isNull() for c, _ in not_null]
+        # NULL passes: it is neither in the list nor outside it.
+        conditions += [F.coalesce(~F.col(f"`{c}`").isin(list(v)), F.lit(False)) for c, v, _ in accepted]
+        self.counters = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(conditions)]
+        self.seen = Observation(name)
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *self.counters)
+
+    @property
+    def rows(self) -> int:
+        return self.seen.get["rows"]
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        found = self.seen.get
+        rows = [(name, c, sev, int(found[f"c{i}"])) for i, (name, c, sev) in enumerate(self.tests)]
+        return spark.createDataFrame(rows, "check_name string, column_name string, severity string, failures long")
+
+
 def quality_report(checks: Sequence[Check], reports: Sequence[DataFrame] = ()) -> DataFrame:
     """One row per check with status pass / warn / fail. ``reports`` are
     already-counted rows (e.g. from ``row_checks``)."""

@@ -19,6 +19,7 @@ data. To run it end to end over whole tables, Spark writes such files from
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,24 @@ from pyspark.sql import functions as F
 from ..operators import intervals_from_starts
 from ..schemas import MEASUREMENT_COLUMNS, OPERATOR_MARKER
 
-RECENT_FROM = "2024-01-15"
-HISTORICAL_UNTIL = "2024-01-18"
+
+class Variant(NamedTuple):
+    """What the files hold beside the plain case."""
+
+    shift_days: int = 0  # added to every time
+    recent_from: str = "2024-01-15"
+    historical_until: str = "2024-01-18"
+    faults: bool = False
+
+
+PLAIN = Variant()
+#: Every measure filled, letters beyond ASCII, a change to summer time within the data, and
+#: rows that fail every kind of declared test: codes that are not accepted, stations without
+#: a location, operators that overlap for a day.
+RICH = Variant(80, "2024-04-04", "2024-04-07", True)
+#: A location starts with a signup of this value or more, under ``RICH``.
+RICH_GEO_VALUE = 60
+
 GLOBS = {"main": "*.csv", "metadata_geo": "*.csv", "metadata_operator": "*.txt"}
 
 # Quality level given to each event type.
@@ -52,7 +69,7 @@ def _text_writer(df: DataFrame, encoding: str = "UTF-8"):
     )
 
 
-def measurement_lines(events: DataFrame) -> DataFrame:
+def measurement_lines(events: DataFrame, variant: Variant = PLAIN) -> DataFrame:
     """One daily measurement line per event, columns named as published."""
     quality = F.lit(None).cast("int")
     for kind, level in QUALITY_BY_TYPE.items():
@@ -79,11 +96,26 @@ def measurement_lines(events: DataFrame) -> DataFrame:
         " TNK": missing,
         " TGK": missing,
     }
+    if variant.faults:
+        cells |= {
+            "QN_3": F.when(value < 1, 4).otherwise(10),
+            "  FM": value + 0.25,
+            "QN_4": F.when(F.col("event_type") == "click", 6).otherwise(quality),
+            "RSKF": F.when(value < 2, 5).otherwise(6),
+            "SHK_TAG": F.when(value < 50, 300).otherwise(7),
+            "  NM": F.when(F.col("event_type") == "view", F.lit("5.33")),
+            " VPM": value + 1,
+            "  PM": value + 1000,
+            " UPM": F.lit(80.5),
+            " TXK": value + 5,
+            " TNK": value - 5,
+            " TGK": value - 6.5,
+        }
     assert list(cells) == list(MEASUREMENT_COLUMNS)
     return events.select(*[c.alias(name) for name, c in cells.items()], F.lit("eor").alias("eor"), "ts")
 
 
-def _history(events: DataFrame, kind: str) -> DataFrame:
+def _history(events: DataFrame, kind: str, touching: bool = False) -> DataFrame:
     starts = events.filter(F.col("event_type") == kind).select("user_id", "ts", "event_id", "value")
     # buckets chosen from the time span: a hot user is split into small cells
     iv = intervals_from_starts(
@@ -92,7 +124,10 @@ def _history(events: DataFrame, kind: str) -> DataFrame:
     return iv.withColumns(
         {
             "von": F.date_format("start", "yyyyMMdd"),
-            "bis": F.date_format(F.date_sub(F.to_date(F.col("end") + F.expr("INTERVAL '0.000001' SECOND")), 1), "yyyyMMdd"),
+            # The day before the next start, or that day itself.
+            "bis": F.date_format(
+                F.date_sub(F.to_date(F.col("end") + F.expr("INTERVAL '0.000001' SECOND")), 0 if touching else 1), "yyyyMMdd"
+            ),
         }
     )
 
@@ -105,32 +140,38 @@ def _sectioned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"value": ["generiert: footer\r"]})
 
 
-def write_raw_from_events(events: DataFrame, root: str) -> dict[str, str]:
+def write_raw_from_events(events: DataFrame, root: str, variant: Variant = PLAIN) -> dict[str, str]:
     """Write the three raw inputs under ``root``; returns the file globs to
     read them with."""
-    lines = measurement_lines(events)
+    if variant.shift_days:
+        events = events.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {variant.shift_days} DAYS"))
+    lines = measurement_lines(events, variant)
     parts = {
-        "historical": lines.filter(F.col("ts") < F.lit(HISTORICAL_UNTIL).cast("timestamp_ntz")),
-        "recent": lines.filter(F.col("ts") >= F.lit(RECENT_FROM).cast("timestamp_ntz")),
+        "historical": lines.filter(F.col("ts") < F.lit(variant.historical_until).cast("timestamp_ntz")),
+        "recent": lines.filter(F.col("ts") >= F.lit(variant.recent_from).cast("timestamp_ntz")),
     }
     for category, df in parts.items():
         _text_writer(df.drop("ts")).option("nullValue", "-999").csv(f"{root}/{category}/tables")
 
-    geo = _history(events, "signup").select(
+    located = events.filter(F.col("value") >= RICH_GEO_VALUE) if variant.faults else events
+    station, operator = ("Größe Ävår ", "Wetterdienst ÄÖÜß ") if variant.faults else ("Station ", "Operator ")
+    geo = _history(located, "signup").select(
         _station("user_id").alias("Stations_id"),
         F.col("value").alias("Stationshoehe"),
         F.col("value").alias("Geogr.Breite"),
         (F.col("user_id") + F.lit(0.5)).alias("Geogr.Laenge"),
         F.col("von").alias("von_datum"),
         F.col("bis").alias("bis_datum"),
-        F.concat(F.lit("Station "), F.col("event_id").cast("string")).alias("Stationsname"),
+        F.concat(F.lit(station), F.col("event_id").cast("string")).alias("Stationsname"),
     )
     _text_writer(geo, "ISO-8859-1").csv(f"{root}/historical/metadata")
 
-    op = _history(events, "error").select(
+    op = _history(events, "error", touching=variant.faults).select(
         F.format_string(
-            "%11d;Operator %d;%s;%s", F.col("user_id"), F.col("event_id"), F.col("von"), F.coalesce(F.col("bis"), F.lit(""))
+            "%11d;%s%d;%s;%s", F.col("user_id"), F.lit(operator), F.col("event_id"), F.col("von"), F.coalesce(F.col("bis"), F.lit(""))
         ).alias("value")
     )
-    op.mapInPandas(_sectioned, "value string").write.mode("overwrite").text(f"{root}/recent/metadata")
+    # The text writer puts out a string's bytes as they are: latin-1 ones, as published.
+    raw = F.encode("value", "ISO-8859-1").cast("string").alias("value")
+    op.mapInPandas(_sectioned, "value string").select(raw).write.mode("overwrite").text(f"{root}/recent/metadata")
     return dict(GLOBS)

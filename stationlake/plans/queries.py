@@ -53,12 +53,14 @@ from ..operators import (
     top_k,
     total_order,
     union_categories,
+    write_ordered,
 )
 from ..schemas import PRECIPITATION_FORMS, QUALITY_LEVELS
 from ..session import materialize_counted, shared_dir
 from ..operators.sweep import sweep_join
 from ..sinks import publish_table, write_partitioned
 from ..sources import (
+    Ledger,
     explode_archives,
     extract_links,
     new_files,
@@ -70,7 +72,7 @@ from ..sources import (
 )
 from ..sources.tables import read_parquet, read_table
 from . import weather
-from .derived import write_raw_from_events
+from .derived import PLAIN, RICH, RICH_GEO_VALUE, Variant, write_raw_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -692,6 +694,70 @@ def written_rows(spark, sf_dir):
     return spark.createDataFrame([("orders", seen.get["rows"])], "dataset string, n_rows long")
 
 
+@query(
+    "ordered_rows",
+    """
+SELECT o_custkey, year, max_price, row_number() OVER (ORDER BY max_price DESC NULLS LAST, o_custkey, year) AS position
+FROM (SELECT o_custkey, year(o_orderdate) AS year, max(o_totalprice) AS max_price FROM orders GROUP BY 1, 2)
+""",
+)
+def ordered_rows(spark, sf_dir):
+    """The largest order per customer and year, largest first, written as files in that order."""
+    orders = table(spark, sf_dir, "orders")
+    best = group_max(orders, ["o_custkey", F.year("o_orderdate").alias("year")], "o_totalprice", "max_price")
+    path = shared_dir(spark, "ordered", uuid.uuid4().hex)
+    write_ordered(best, path, [("max_price", True), ("o_custkey", False), ("year", False)])
+    return read_parquet(spark, path)
+
+
+@query(
+    "station_slice",
+    """
+WITH s AS (SELECT user_id FROM events GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 1)
+SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day
+FROM events WHERE user_id = (SELECT user_id FROM s)
+""",
+)
+def station_slice(spark, sf_dir):
+    """All events of the busiest user from a table by day and clustered by time,
+    whose files tell by Bloom filters which users they hold."""
+    ev = table(spark, sf_dir, "events").drop("props").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    path = shared_dir(spark, "events_by_day", uuid.uuid4().hex)
+    write_partitioned(ev, path, ["day"], cluster_by=["ts", "event_id"], bloom={"user_id": 10_000})
+    busiest = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    user = top_k(busiest, 1, [F.col("n").desc(), F.col("user_id")]).first()  # one row
+    rows = read_parquet(spark, path, {"day": "string"})
+    return rows.filter(F.col("user_id") == F.lit(user.user_id if user else None))
+
+
+@query(
+    "file_ledger",
+    r"""
+WITH links AS (
+  SELECT regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([a-z]{2})/', 1) AS category,
+         replace(regexp_replace(unnest(regexp_extract_all(html,
+                   '(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1)), '^["'']|["'']$', '', 'g'),
+                 '&amp;', '&') AS href
+  FROM pages
+)
+SELECT href, CAST(min(CASE WHEN category = 'en' THEN 0 ELSE 1 END) AS BIGINT) AS batch,
+       CAST(0 AS BIGINT) AS n_pending
+FROM links GROUP BY href
+""",
+)
+def file_ledger(spark, sf_dir):
+    """Files stored in two batches, the first of which is recorded twice; nothing is then pending."""
+    pages = table(spark, sf_dir, "pages").withColumn("category", F.regexp_extract("url", _CATEGORY, 1))
+    links = extract_links(pages, "html", carry=["category"])
+    ledger = Ledger(spark, shared_dir(spark, "ledger", uuid.uuid4().hex))
+    english = links.filter(F.col("category") == "en").select("href")
+    ledger.record(english, 0)
+    ledger.record(english, 0)
+    ledger.record(ledger.pending(links.select("href")), 1)
+    pending = ledger.pending(links.select("href")).agg(F.count(F.lit(1)).alias("n_pending"))
+    return ledger.entries().join(F.broadcast(pending))
+
+
 # ---------------------------------------------------------------------------
 # Delimited text bound by header
 # ---------------------------------------------------------------------------
@@ -910,21 +976,39 @@ _STATION_SQL = (
 _UTC_SQL = "((date_trunc('day', {c}) AT TIME ZONE 'Europe/Brussels') AT TIME ZONE 'UTC')"
 _UTC_END_SQL = "((date_trunc('day', {c}) - INTERVAL 1 DAY) AT TIME ZONE 'Europe/Brussels') AT TIME ZONE 'UTC'"
 
-_WEATHER_CTES = f"""
-WITH raw AS (
-  SELECT *, 'historical' AS category FROM events WHERE ts < TIMESTAMP '2024-01-18 00:00:00'
+# Measures of the raw files, by header; NULL where a file has -999. The rich files fill them all.
+_PLAIN_CELLS = {
+    "qn_3": "10", "fx": "value", "fm": "CAST(NULL AS DOUBLE)",
+    "qn_4": "CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 3 WHEN 'purchase' THEN 5 WHEN 'error' THEN 7 WHEN 'signup' THEN 9 END",
+    "rsk": "value", "rskf": "0", "sdk": "value", "shk_tag": "0", "nm": "CAST(NULL AS VARCHAR)",
+    "vpm": "CAST(NULL AS DOUBLE)", "pm": "CAST(NULL AS DOUBLE)", "tmk": "value", "upm": "CAST(NULL AS DOUBLE)",
+    "txk": "CAST(NULL AS DOUBLE)", "tnk": "CAST(NULL AS DOUBLE)", "tgk": "CAST(NULL AS DOUBLE)",
+}
+_RICH_CELLS = _PLAIN_CELLS | {
+    "qn_3": "CASE WHEN value < 1 THEN 4 ELSE 10 END", "fm": "value + 0.25",
+    "qn_4": _PLAIN_CELLS["qn_4"].replace("'click' THEN 1", "'click' THEN 6"),
+    "rskf": "CASE WHEN value < 2 THEN 5 ELSE 6 END", "shk_tag": "CASE WHEN value < 50 THEN 300 ELSE 7 END",
+    "nm": "CASE WHEN event_type = 'view' THEN '5.33' END", "vpm": "value + 1", "pm": "value + 1000", "upm": "80.5",
+    "txk": "value + 5", "tnk": "value - 5", "tgk": "value - 6.5",
+}
+
+
+def _weather_ctes(variant: Variant) -> str:
+    cells = _RICH_CELLS if variant.faults else _PLAIN_CELLS
+    station, operator = ("Größe Ävår ", "Wetterdienst ÄÖÜß ") if variant.faults else ("Station ", "Operator ")
+    located = f"AND value >= {RICH_GEO_VALUE}" if variant.faults else ""
+    op_end = (_UTC_SQL if variant.faults else _UTC_END_SQL).format(c="next_ts")
+    return f"""
+WITH ev AS (
+  SELECT * REPLACE (ts + INTERVAL {variant.shift_days} DAY AS ts) FROM events
+), raw AS (
+  SELECT *, 'historical' AS category FROM ev WHERE ts < TIMESTAMP '{variant.historical_until} 00:00:00'
   UNION ALL
-  SELECT *, 'recent' AS category FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+  SELECT *, 'recent' AS category FROM ev WHERE ts >= TIMESTAMP '{variant.recent_from} 00:00:00'
 ), clean AS (
   SELECT {_STATION_SQL.format(c="user_id")} AS stations_id,
          {_UTC_SQL.format(c="ts")} AS mess_datum,
-         10 AS qn_3, value AS fx, CAST(NULL AS DOUBLE) AS fm,
-         CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 3 WHEN 'purchase' THEN 5
-                         WHEN 'error' THEN 7 WHEN 'signup' THEN 9 END AS qn_4,
-         value AS rsk, 0 AS rskf, value AS sdk, 0 AS shk_tag, CAST(NULL AS VARCHAR) AS nm,
-         CAST(NULL AS DOUBLE) AS vpm, CAST(NULL AS DOUBLE) AS pm, value AS tmk,
-         CAST(NULL AS DOUBLE) AS upm, CAST(NULL AS DOUBLE) AS txk, CAST(NULL AS DOUBLE) AS tnk,
-         CAST(NULL AS DOUBLE) AS tgk, category, strftime(ts, '%Y') AS year
+         {", ".join(f"{sql} AS {name}" for name, sql in cells.items())}, category, strftime(ts, '%Y') AS year
   FROM raw
 ), ranked AS (
   SELECT *, row_number() OVER (
@@ -949,24 +1033,27 @@ WITH raw AS (
   FROM ranked WHERE _rn = 1
 ), geo_src AS (
   SELECT user_id, event_id, value, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
-  FROM events WHERE event_type = 'signup'
+  FROM ev WHERE event_type = 'signup' {located}
 ), geo AS (
   SELECT {_STATION_SQL.format(c="user_id")} AS station_id, value AS station_height_m,
          CAST(value AS VARCHAR) AS latitude, CAST(user_id + 0.5 AS VARCHAR) AS longitude,
          {_UTC_SQL.format(c="ts")} AS dt_geo_start,
          CASE WHEN next_ts IS NULL THEN NULL ELSE {_UTC_END_SQL.format(c="next_ts")} END AS dt_geo_end,
-         'Station ' || CAST(event_id AS VARCHAR) AS station_name
+         '{station}' || CAST(event_id AS VARCHAR) AS station_name
   FROM geo_src
 ), op_src AS (
   SELECT user_id, event_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
-  FROM events WHERE event_type = 'error'
+  FROM ev WHERE event_type = 'error'
 ), op AS (
-  SELECT {_STATION_SQL.format(c="user_id")} AS station_id, 'Operator ' || CAST(event_id AS VARCHAR) AS operator_name,
+  SELECT {_STATION_SQL.format(c="user_id")} AS station_id, '{operator}' || CAST(event_id AS VARCHAR) AS operator_name,
          {_UTC_SQL.format(c="ts")} AS dt_op_start,
-         CASE WHEN next_ts IS NULL THEN NULL ELSE {_UTC_END_SQL.format(c="next_ts")} END AS dt_op_end
+         CASE WHEN next_ts IS NULL THEN NULL ELSE {op_end} END AS dt_op_end
   FROM op_src
 )"""
 
+
+_WEATHER_CTES = _weather_ctes(PLAIN)
+
 _WEATHER_FACT_SELECT = """
 SELECT s.measurement_id, s.station_id, s.dt_measurement_utc, g.station_name, o.operator_name,
        g.station_height_m, g.latitude || ',' || g.longitude AS lat_long,
@@ -991,39 +1078,43 @@ _ACCEPTED = {
     "precipitation_type_qn4": ", ".join(map(str, PRECIPITATION_FORMS)),
 }
 
-WEATHER_CHECKS_SQL = (
-    _WEATHER_CTES
-    + ", fact AS ("
-    + _WEATHER_FACT_SELECT
-    + "), r AS (\n"
-    + "  SELECT 'unique' AS check_name, 'measurement_id' AS column_name, 'warn' AS severity,\n"
-    + "         (SELECT count(*) FROM (SELECT measurement_id FROM fact WHERE measurement_id IS NOT NULL\n"
-    + "                                GROUP BY 1 HAVING count(*) > 1)) AS failures\n"
-    + "".join(
-        f"  UNION ALL SELECT 'relationships', 'station_id->{name}', 'warn',\n"
-        f"         (SELECT count(*) FROM fact f WHERE f.station_id IS NOT NULL AND NOT EXISTS (\n"
-        f"            SELECT 1 FROM {cte} d WHERE d.station_id = f.station_id))\n"
-        for name, cte in (("dim_geo", "geo"), ("dim_operator", "op"))
-    )
-    + "".join(
-        f"  UNION ALL SELECT 'not_null', '{c}', 'warn', (SELECT count(*) FROM fact WHERE {c} IS NULL)\n"
-        for c in ("measurement_id", "station_id", "dt_measurement_utc")
-    )
-    + "".join(
-        f"  UNION ALL SELECT 'accepted_values', '{c}', 'error',\n"
-        f"         (SELECT count(DISTINCT {c}) FROM fact WHERE {c} IS NOT NULL AND {c} NOT IN ({values}))\n"
-        for c, values in _ACCEPTED.items()
+def _weather_checks_sql(variant: Variant) -> str:
+    return (
+        _weather_ctes(variant)
+        + ", fact AS ("
+        + _WEATHER_FACT_SELECT
+        + "), r AS (\n"
+        + "  SELECT 'unique' AS check_name, 'measurement_id' AS column_name, 'warn' AS severity,\n"
+        + "         (SELECT count(*) FROM (SELECT measurement_id FROM fact WHERE measurement_id IS NOT NULL\n"
+        + "                                GROUP BY 1 HAVING count(*) > 1)) AS failures\n"
+        + "".join(
+            f"  UNION ALL SELECT 'relationships', 'station_id->{name}', 'warn',\n"
+            f"         (SELECT count(*) FROM fact f WHERE f.station_id IS NOT NULL AND NOT EXISTS (\n"
+            f"            SELECT 1 FROM {cte} d WHERE d.station_id = f.station_id))\n"
+            for name, cte in (("dim_geo", "geo"), ("dim_operator", "op"))
+        )
+        + "".join(
+            f"  UNION ALL SELECT 'not_null', '{c}', 'warn', (SELECT count(*) FROM fact WHERE {c} IS NULL)\n"
+            for c in ("measurement_id", "station_id", "dt_measurement_utc")
+        )
+        + "".join(
+            f"  UNION ALL SELECT 'accepted_values', '{c}', 'error',\n"
+            f"         (SELECT count(DISTINCT {c}) FROM fact WHERE {c} IS NOT NULL AND {c} NOT IN ({values}))\n"
+            for c, values in _ACCEPTED.items()
+        )
+        + ")\n"
+        + "SELECT check_name, column_name, severity, CAST(failures AS BIGINT) AS failures,\n"
+        + "       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status\n"
+        + "FROM r"
     )
-    + ")\n"
-    + "SELECT check_name, column_name, severity, CAST(failures AS BIGINT) AS failures,\n"
-    + "       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status\n"
-    + "FROM r"
-)
 
 
-def _run_weather(spark, sf_dir, **join_options):
+WEATHER_CHECKS_SQL = _weather_checks_sql(PLAIN)
+
+
+def _run_weather(spark, sf_dir, variant: Variant = PLAIN, **join_options):
     root = shared_dir(spark, "weather", uuid.uuid4().hex)
-    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw", variant)
     paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
     return weather.run_marts(spark, paths, f"{root}/marts", **join_options)
 
@@ -1045,16 +1136,45 @@ def weather_fact_bucketed(spark, sf_dir):
     return read_parquet(spark, fact_path, {"month": "string"})
 
 
+def _publish(spark, sf_dir, variant: Variant = PLAIN, **options) -> dict[str, str]:
+    root = shared_dir(spark, "weather", uuid.uuid4().hex)
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw", variant)
+    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
+    return weather.publish_marts(spark, paths, f"marts_{uuid.uuid4().hex}_", **options)
+
+
 @query("published_marts", WEATHER_FACT_SQL)
 def published_marts(spark, sf_dir):
     """The fact read by name after the raw table by month, both dims and the
     fact were loaded as versions behind their names."""
-    prefix = f"marts_{uuid.uuid4().hex}_"
-    root = shared_dir(spark, "weather", uuid.uuid4().hex)
-    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
-    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
-    names = weather.publish_marts(spark, paths, prefix)
-    return read_table(spark, names["fact_measurements"])
+    return read_table(spark, _publish(spark, sf_dir)["fact_measurements"])
+
+
+@query(
+    "published_dims",
+    _WEATHER_CTES
+    + """
+SELECT 'dim_geo' AS dim, station_id, station_name AS name, dt_geo_start AS valid_from, dt_geo_end AS valid_to,
+       station_height_m, latitude, longitude FROM geo
+UNION ALL
+SELECT 'dim_operator', station_id, operator_name, dt_op_start, dt_op_end, NULL, NULL, NULL FROM op
+""",
+)
+def published_dims(spark, sf_dir):
+    """Both dims read by name from their published versions."""
+    names = _publish(spark, sf_dir)
+    geo, op = read_table(spark, names["dim_geo"]), read_table(spark, names["dim_operator"])
+    both = {
+        "dim_geo": (geo, "station_name", "dt_geo_start", "dt_geo_end", ["station_height_m", "latitude", "longitude"]),
+        "dim_operator": (op, "operator_name", "dt_op_start", "dt_op_end", []),
+    }
+    parts = [
+        df.select(
+            F.lit(dim).alias("dim"), "station_id", F.col(name).alias("name"), F.col(lo).alias("valid_from"), F.col(hi).alias("valid_to"), *rest
+        )
+        for dim, (df, name, lo, hi, rest) in both.items()
+    ]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 FACT_LAYOUT_SQL = (
@@ -1082,6 +1202,69 @@ def fact_layout(spark, sf_dir):
     return files.groupBy("month").agg(F.sum("n").alias("n_rows"), F.sum("overlaps").alias("n_overlaps"))
 
 
+@query("weather_fact_rich", _weather_ctes(RICH) + _WEATHER_FACT_SELECT)
+def weather_fact_rich(spark, sf_dir):
+    """``weather_fact`` on files with every measure filled, names beyond ASCII, a
+    change to summer time, stations without a location and operators that overlap."""
+    fact_path, _ = _run_weather(spark, sf_dir, RICH)
+    return read_parquet(spark, fact_path, {"month": "string"})
+
+
+@query("weather_checks_failing", _weather_checks_sql(RICH))
+def weather_checks_failing(spark, sf_dir):
+    """``weather_checks`` on the same files: tests of every kind fail, as warnings and as errors."""
+    _, report = _run_weather(spark, sf_dir, RICH)
+    return report
+
+
+_STAGING_CHECKS_SQL = (
+    _weather_ctes(RICH)
+    + "".join(
+        f"{'SELECT' if k == 0 else 'UNION ALL SELECT'} '{name}' AS check_name, '{c}' AS column_name, '{sev}' AS severity,\n"
+        f"       (SELECT count(*) FROM stg WHERE {bad}) AS failures\n"
+        for k, (name, c, sev, bad) in enumerate(
+            [("not_null", c, "warn", f"{c} IS NULL") for c in ("measurement_id", "station_id", "dt_measurement_utc")]
+            + [("accepted_values", c, "error", f"{c} NOT IN ({v})") for c, v in _ACCEPTED.items()]
+        )
+    )
+)
+
+
+@query(
+    "published_report",
+    f"""
+SELECT *, 'fact_measurements' AS model FROM ({_weather_checks_sql(RICH)})
+UNION ALL
+SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status,
+       'stg_measurements' AS model FROM ({_STAGING_CHECKS_SQL})
+""",
+)
+def published_report(spark, sf_dir):
+    """The declared tests of staging, counted while its rows passed into the
+    fact, and of the fact's new version, read by name."""
+    names = _publish(spark, sf_dir, RICH, fail_on_error=False)
+    return read_table(spark, names["quality_report"])
+
+
+@query("incremental_fact", WEATHER_FACT_SQL)
+def incremental_fact(spark, sf_dir):
+    """The fact built from the historical files, then refreshed with the recent
+    ones as a late batch that is delivered twice: only the months they touch are
+    read, deduplicated and replaced."""
+    root = shared_dir(spark, "weather", uuid.uuid4().hex)
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
+    files = {c: weather.transform_measurements(weather.fetch_measurements(spark, f"{root}/raw", [c], globs["main"])) for c in ("historical", "recent")}
+    geo = weather.transform_history(
+        weather.fetch_geo(spark, f"{root}/raw", ["historical"], globs["metadata_geo"]), "stations_id", ["von_datum", "bis_datum"]
+    )
+    op_rows, _ = weather.fetch_operator(spark, f"{root}/raw", glob=globs["metadata_operator"])
+    op = weather.transform_history(op_rows, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])
+    dims = weather.dim_geo(geo), weather.dim_operator(op)
+    for batch, category in enumerate(("historical", "recent", "recent")):
+        weather.refresh_months(spark, files[category], f"{root}/monthly", *dims, batch=min(batch, 1))
+    return read_parquet(spark, f"{root}/monthly/fact_measurements", {"month": "string"})
+
+
 @query("weather_checks", WEATHER_CHECKS_SQL)
 def weather_checks(spark, sf_dir):
     """The declared tests of the published fact (unique and not-null keys,

@@ -36,6 +36,8 @@ from ..functions import (
 )
 from ..operators import (
     Check,
+    ObservedChecks,
+    Quarantine,
     check_relationships,
     check_unique,
     distinct_values,
@@ -67,7 +69,7 @@ from ..schemas import (
     QUALITY_LEVELS,
     STAGING_COLUMNS,
 )
-from ..session import materialize_counted
+from ..session import materialize, materialize_counted
 from ..sinks import create_view, publish_version, write_csv, write_partitioned
 from ..sources import (
     extract_links,
@@ -75,6 +77,7 @@ from ..sources import (
     new_files,
     read_archives,
     read_delimited,
+    read_delimited_checked,
     read_sectioned,
     read_table,
 )
@@ -91,6 +94,9 @@ OPERATOR_CSV_SCHEMA = (
     "betrieb_bis_datum timestamp_ntz"
 )
 
+#: Stations to expect in a row group, for its Bloom filter.
+STATIONS = 10_000
+
 # ---------------------------------------------------------------------------
 # Raw
 # ---------------------------------------------------------------------------
@@ -111,6 +117,22 @@ def fetch_measurements(
     return union_categories(parts).drop("file")
 
 
+def fetch_measurements_checked(
+    spark: SparkSession, root: str, categories: Sequence[str] = CATEGORIES, glob: str = DEFAULT_GLOBS["main"]
+) -> Quarantine:
+    """``fetch_measurements`` with the lines that are not as declared set apart:
+    wrong number of cells, no station or day, a value that is not of its type."""
+    found = {
+        c: read_delimited_checked(
+            spark, f"{root}/{c}/tables", MEASUREMENT_COLUMNS, "STATIONS_ID", glob=glob, required=["mess_datum"]
+        )
+        for c in categories
+    }
+    counts = {k: sum(q.counts[k] for q in found.values()) for k in ("rows", "rejects")}
+    rows = union_categories({c: q.rows for c, q in found.items()}).drop("file")
+    return Quarantine(rows, union_categories({c: q.rejects for c, q in found.items()}), counts)
+
+
 def listing_links(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("category",)) -> DataFrame:
     """Archive, text and pdf links of the listing pages (one row per link)."""
     return extract_links(pages, html, keep=LISTING_KEEP, carry=carry)
@@ -238,24 +260,33 @@ def run_raw(
     counts: dict[str, int] | None = None,
     globs: dict[str, str] | None = None,
     from_archives: bool = False,
+    quarantine: bool = False,
 ) -> dict[str, str]:
     """Raw -> clean files: measurements by local year (gzip Parquet, sorted
     by time), histories as CSV with header. Full refresh.
 
+    An operator history without its marker line fails the run, and values that are
+    not of their type become NULL. With ``quarantine`` the run goes on instead:
+    such files, and measurement lines that are not as declared, are written to
+    ``rejects`` (dataset, category, file, line, reason) and counted there.
+
     Row counts are observed while writing (no second job) and stored in
     ``counts`` when given. ``from_archives``: read the zips under
     ``<root>/<category>/download`` directly instead of unpacked folders.
     """
     globs = {**DEFAULT_GLOBS, **(globs or {})}
+    lines: Quarantine | None = None
     if from_archives:
         main_raw, geo_raw = measurements_from_archives(spark, root), geo_from_archives(spark, root)
         op_rows, rejects = operator_from_archives(spark, root)
     else:
-        main_raw = fetch_measurements(spark, root, glob=globs["main"])
+        if quarantine:
+            lines = fetch_measurements_checked(spark, root, glob=globs["main"])
+        main_raw = lines.rows if lines else fetch_measurements(spark, root, glob=globs["main"])
         geo_raw = fetch_geo(spark, root, glob=globs["metadata_geo"])
         op_rows, rejects = fetch_operator(spark, root, glob=globs["metadata_operator"])
     bad = [r["file"] for r in rejects.select("file").limit(20).collect()]
-    if bad:
+    if bad and not quarantine:
         raise ValueError(f"operator history without its marker line: {', '.join(bad)}")
     main = transform_measurements(main_raw)
     geo = transform_history(geo_raw, "stations_id", ["von_datum", "bis_datum"])
@@ -284,6 +315,21 @@ def run_raw(
         paths = {name: f.result() for name, f in futures.items()}
     if counts is not None:
         counts.update({name: o.get["rows"] for name, o in obs.items()})
+    if quarantine:
+        none = F.lit(None).cast("string")
+        left = rejects.select(
+            F.lit("metadata_operator").alias("dataset"),
+            none.alias("category"),
+            "file",
+            none.alias("line"),
+            F.lit("no marker line").alias("reason"),
+        )
+        if lines is not None:
+            left = left.unionByName(lines.rejects.select(F.lit("main").alias("dataset"), "category", "file", "line", "reason"))
+        seen = Observation("rejects")
+        paths["rejects"] = write_partitioned(left, f"{out}/rejects", [], observation=seen)
+        if counts is not None:
+            counts["rejects"] = seen.get["rows"]
     return paths
 
 
@@ -371,6 +417,19 @@ def fact_measurements(
     return f.select(*FACT_COLUMNS)
 
 
+def staging_checks() -> ObservedChecks:
+    """The row tests declared for the staging model, counted while its rows pass."""
+    return ObservedChecks(
+        not_null=[("measurement_id", "warn"), ("station_id", "warn"), ("dt_measurement_utc", "warn")],
+        accepted=[
+            ("quality_niveau_3", QUALITY_LEVELS, "error"),
+            ("quality_niveau_4", QUALITY_LEVELS, "error"),
+            ("precipitation_type_qn4", PRECIPITATION_FORMS, "error"),
+        ],
+        name="staging",
+    )
+
+
 def fact_checks(fact: DataFrame, geo: DataFrame, op: DataFrame) -> tuple[list[Check], DataFrame]:
     """The declared tests of the fact table: the key and referential checks
     as their own jobs, the row-level ones fused into two passes."""
@@ -419,6 +478,8 @@ def _join_histories(stg: DataFrame, geo: DataFrame, op: DataFrame, **join_option
         (geo, geo_size), (op, op_size) = geo_job.result(), op_job.result()
     limits = {k.replace("max_broadcast", "max"): v for k, v in join_options.items() if k.startswith("max_broadcast")}
     ordered = all(fits_broadcast(size["rows"], size["bytes"], **limits) for size in (geo_size, op_size))
+    if not ordered:  # the sweep samples its input before it shuffles: staging is not built twice
+        stg = materialize(stg, "staging")
     fact = fact_measurements(stg, geo, op, geo_size, op_size, materialize_dim=False, **join_options)
     return FactBuild(fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op, ordered)
 
@@ -454,22 +515,28 @@ def run_marts(spark: SparkSession, paths: dict[str, str], out: str, **join_optio
         cluster_by=["dt_measurement_utc", "station_id"],
         range_partitioned=ordered,
         full_refresh=True,
+        bloom={"station_id": STATIONS},
     )
     published = spark.read.parquet(path)
     checks, rows = fact_checks(published, geo, op)
     return path, quality_report(checks, [rows])
 
 
-def publish_marts(spark: SparkSession, paths: dict[str, str], prefix: str = "", **join_options) -> dict[str, str]:
+def publish_marts(
+    spark: SparkSession, paths: dict[str, str], prefix: str = "", fail_on_error: bool = True, **join_options
+) -> dict[str, str]:
     """Raw files -> catalog tables that readers find by name: the raw
     measurements by month, both dims and the fact by month.
 
     Each is a new version behind its name (``sinks.publish_version``): a load
     that fails leaves the version before readable. The staging model and the
-    fact read what was published. The fact's declared tests run on the new
-    version before its name is moved, so error-level failures are never visible.
+    fact read what was published. The declared tests of staging are counted while
+    its rows pass, those of the fact run on the new version; both are published
+    as ``quality_report`` before the fact's name is moved, so rows that fail at
+    error level are never visible by name (unless ``fail_on_error`` is off).
     """
-    names = {t: f"{prefix}{t}" for t in ("raw_measurements", "dim_geo", "dim_operator", "fact_measurements")}
+    tables = ("raw_measurements", "dim_geo", "dim_operator", "fact_measurements", "quality_report")
+    names = {t: f"{prefix}{t}" for t in tables}
     main, geo_raw, op_raw = read_raw(spark, paths)
     month = year_month(F.col("mess_datum").cast("timestamp_ntz"))
     publish_version(
@@ -480,12 +547,20 @@ def publish_marts(spark: SparkSession, paths: dict[str, str], prefix: str = "",
 
     raw = read_table(spark, names["raw_measurements"]).drop("month")
     geo, op = read_table(spark, names["dim_geo"]), read_table(spark, names["dim_operator"])
-    stg = stg_measurements(raw.repartitionByRange("mess_datum", "stations_id"))
+    declared = staging_checks()
+    # Behind the range shuffle and its sampling, in front of what writes the rows: counted once.
+    stg = declared.attach(stg_measurements(raw.repartitionByRange("mess_datum", "stations_id")))
     built = _join_histories(stg, geo, op, **join_options)
 
     def audit(version: DataFrame) -> None:
         checks, rows = fact_checks(version, built.geo, built.op)
-        raise_on_error(quality_report(checks, [rows]))
+        report = quality_report(checks, [rows])
+        staging = quality_report([], [declared.report(spark)])
+        both = report.withColumn("model", F.lit("fact_measurements")).union(staging.withColumn("model", F.lit("stg_measurements")))
+        both = materialize(both, "quality-report")
+        publish_version(both, names["quality_report"])
+        if fail_on_error:
+            raise_on_error(both)
 
     publish_version(
         built.fact,
@@ -498,6 +573,48 @@ def publish_marts(spark: SparkSession, paths: dict[str, str], prefix: str = "",
     return names
 
 
+def refresh_months(
+    spark: SparkSession,
+    rows: DataFrame,
+    out: str,
+    geo: DataFrame,
+    op: DataFrame,
+    batch: int,
+    **join_options,
+) -> list[str]:
+    """Take late ``rows`` (clean measurements, see ``transform_measurements``) into
+    ``out`` and return the months they touch.
+
+    ``out/raw_measurements`` (by month and batch) and ``out/fact_measurements`` (by
+    month) keep all other months as they are, file by file: only the touched ones
+    are read, deduplicated (a station-day has one month) and replaced. A batch that
+    is delivered again replaces its own rows. Rows without a valid day have no
+    month and are in no fact; they are left out.
+    """
+    raw, target = f"{out}/raw_measurements", f"{out}/fact_measurements"
+    month = year_month(F.col("mess_datum").cast("timestamp_ntz"))
+    late = rows.filter(F.col("mess_datum").isNotNull()).withColumn("month", month)
+    late = materialize(late.withColumn("batch", F.lit(batch).cast("long")), "late-rows")
+    months = sorted(r["month"] for r in late.select("month").distinct().collect())  # a row per month
+    if not months:
+        return []
+    # Raw rows first: what fails after this is made up for by the batch's next delivery.
+    write_partitioned(late, raw, ["month", "batch"], cluster_by=["mess_datum", "stations_id"])
+    schema = late.schema
+    stored = spark.read.schema(schema).parquet(raw).filter(F.col("month").isin(months))
+    stg = stg_measurements(stored.drop("month", "batch").repartitionByRange("mess_datum", "stations_id"))
+    built = _join_histories(stg, geo, op, **join_options)
+    write_partitioned(
+        built.fact,
+        target,
+        ["month"],
+        cluster_by=["dt_measurement_utc", "station_id"],
+        range_partitioned=built.ordered,
+        bloom={"station_id": STATIONS},
+    )
+    return months
+
+
 # ---------------------------------------------------------------------------
 # Analytics on the fact (the exploratory queries)
 # ---------------------------------------------------------------------------

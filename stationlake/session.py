@@ -111,3 +111,17 @@ def materialize_counted(
     metrics = [F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]]
     out = materialize(df.observe(obs, *metrics), name, partition_by)
     return out, obs.get
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a ``materialize`` result that nothing reads any more.
+
+    Only what lies in the shared folder's own place for such tables is deleted,
+    and only when its successors are written: a lost executor re-reads those.
+    """
+    spark = df.sparkSession
+    own = shared_dir(spark, "materialized") + "/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if own.split(":", 1)[-1].lstrip("/") in folder:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

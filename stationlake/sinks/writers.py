@@ -10,11 +10,13 @@ landing in one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quality import ObservedChecks
+
 # A published name is a view; its property tells the version it reads.
 _VERSION = "__v"
 _POINTS_TO = "stationlake.version"
@@ -51,6 +53,8 @@ def write_partitioned(
     observation: Observation | None = None,
     range_partitioned: bool = False,
     full_refresh: bool = False,
+    checks: ObservedChecks | None = None,
+    bloom: Mapping[str, int] | None = None,
 ) -> str:
     """Hive-style partitioned Parquet. With the session's dynamic overwrite
     mode only the partitions present in ``df`` are replaced; a
@@ -67,12 +71,25 @@ def write_partitioned(
     ``range_partitioned``: ``df`` is already range-partitioned on the
     clustering time (e.g. by an upstream step that needed that shuffle
     anyway); only the local sort is added.
+
+    ``checks``: row tests whose failures are counted by this write, at the same
+    place as ``observation``.
+
+    ``bloom``: columns by which rows are looked up beside the clustering (with
+    the distinct values to expect in a row group). Files sorted by time hold
+    every station in each row group, whose min and max then say nothing; a Bloom
+    filter per row group lets a station slice pass over those without it.
     """
     out = _clustered(df, partition_by, cluster_by, partitions, range_partitioned)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    if checks is not None:
+        out = checks.attach(out)
     w = out.write.mode(mode)
     w = w.option("compression", compression)
+    for column, values in (bloom or {}).items():
+        w = w.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        w = w.option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))
     if full_refresh:
         w = w.option("partitionOverwriteMode", "static")
     if max_records_per_file:
