@@ -11,7 +11,7 @@ from .clean import (
     try_cast_columns,
 )
 from .keys import concat_nullable, decode_codes, surrogate_key, PAYMENT_TYPE_LABELS
-from .timezones import localize, local_year, year_month
+from .timezones import localize, local_year, obs_date, utc_of_local_day, year_month
 
 __all__ = [
     "cast_int_rounded",
@@ -28,5 +28,7 @@ __all__ = [
     "PAYMENT_TYPE_LABELS",
     "localize",
     "local_year",
+    "obs_date",
+    "utc_of_local_day",
     "year_month",
 ]

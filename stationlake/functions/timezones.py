@@ -9,6 +9,9 @@ so results never depend on the session zone.
 
 from __future__ import annotations
 
+import datetime as dt
+import zoneinfo
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +81,21 @@ def local_year(local: Column) -> Column:
     return F.date_format(local, "yyyy")
 
 
+def obs_date(utc: Column, tz: str = LOCAL_ZONE) -> Column:
+    """The local calendar day of a UTC time: the day that was observed. The UTC
+    time of a local midnight belongs to the day before, and at a month's edge to
+    the month before."""
+    if _session_is_utc():
+        return F.to_date(F.from_utc_timestamp(utc.cast("timestamp"), tz).cast("timestamp_ntz"))
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), utc.cast("timestamp_ntz")))
+
+
+def utc_of_local_day(day: dt.date, tz: str = LOCAL_ZONE) -> dt.datetime:
+    """UTC wall-clock time at which a local day begins (at the end of a gap, if midnight is in one)."""
+    local = dt.datetime.combine(day, dt.time(), zoneinfo.ZoneInfo(tz))
+    return local.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
 def year_month(ts: Column) -> Column:
     """``yyyy-MM`` text, the monthly partition value."""
     return F.date_format(ts, "yyyy-MM")

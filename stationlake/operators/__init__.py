@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
-from .analysis import distinct_values, global_max, group_max, time_slice, top_k
+from .analysis import distinct_values, global_max, group_max, local_day_slice, time_slice, top_k
 from .dedup import keep_first, total_order
 from .effective import effective_dated_join, fits_broadcast, intervals_from_starts
 from .ordering import with_position, write_ordered
@@ -24,6 +24,7 @@ __all__ = [
     "global_max",
     "group_max",
     "time_slice",
+    "local_day_slice",
     "top_k",
     "keep_first",
     "total_order",

@@ -9,6 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timezones import utc_of_local_day
+from ..schemas import LOCAL_ZONE
+
 
 def group_max(df: DataFrame, keys: Sequence[Column | str], value: str, alias: str) -> DataFrame:
     """max(value) per group (partial aggregation before the shuffle)."""
@@ -57,5 +60,22 @@ def time_slice(
     return df.filter(cond)
 
 
+def local_day_slice(
+    df: DataFrame,
+    ts: str,
+    first: dt.date | str,
+    last: dt.date | str,
+    tz: str = LOCAL_ZONE,
+    partition_col: str | None = None,
+) -> DataFrame:
+    """Rows whose local day is from ``first`` to ``last``, both included, where
+    ``ts`` is UTC. The bounds are the UTC times at which the days begin, so the
+    months that are opened are those of UTC: a slice from the first of a month
+    opens the month before too."""
+    first, last = (dt.date.fromisoformat(d) if isinstance(d, str) else d for d in (first, last))
+    after = last + dt.timedelta(days=1)
+    return time_slice(df, ts, utc_of_local_day(first, tz), utc_of_local_day(after, tz), partition_col)
+
+
 def _as_datetime(v: dt.datetime | str) -> dt.datetime:
     return v if isinstance(v, dt.datetime) else dt.datetime.fromisoformat(v)

@@ -31,6 +31,7 @@ from ..functions import (
     localize,
     local_year,
     null_sentinel,
+    obs_date,
     parse_yyyymmdd,
     surrogate_key,
     year_month,
@@ -47,6 +48,7 @@ from ..operators import (
     group_max,
     intervals_from_starts,
     keep_first,
+    local_day_slice,
     quality_report,
     spread,
     time_slice,
@@ -1246,23 +1248,81 @@ def published_report(spark, sf_dir):
     return read_table(spark, names["quality_report"])
 
 
+def _refreshed(spark, sf_dir) -> str:
+    root = shared_dir(spark, "weather", uuid.uuid4().hex)
+    globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
+    files = {
+        c: weather.transform_measurements(weather.fetch_measurements(spark, f"{root}/raw", [c], globs["main"]))
+        for c in ("historical", "recent")
+    }
+    geo = weather.fetch_geo(spark, f"{root}/raw", ["historical"], globs["metadata_geo"])
+    op, _ = weather.fetch_operator(spark, f"{root}/raw", glob=globs["metadata_operator"])
+    dims = (
+        weather.dim_geo(weather.transform_history(geo, "stations_id", ["von_datum", "bis_datum"])),
+        weather.dim_operator(weather.transform_history(op, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])),
+    )
+    for batch, category in ((0, "historical"), (1, "recent"), (1, "recent")):
+        weather.refresh_months(spark, files[category], f"{root}/monthly", *dims, batch=batch)
+    return f"{root}/monthly"
+
+
 @query("incremental_fact", WEATHER_FACT_SQL)
 def incremental_fact(spark, sf_dir):
     """The fact built from the historical files, then refreshed with the recent
     ones as a late batch that is delivered twice: only the months they touch are
     read, deduplicated and replaced."""
+    return read_parquet(spark, f"{_refreshed(spark, sf_dir)}/fact_measurements", {"month": "string"})
+
+
+@query(
+    "summary_answers",
+    _WEATHER_CTES
+    + ", fact AS ("
+    + _WEATHER_FACT_SELECT
+    + """)
+SELECT CAST(year(dt_measurement_utc) AS INTEGER) AS year, count(*) AS n_rows, max(dt_measurement_utc) AS last_utc,
+       (SELECT max(dt_measurement_utc) FROM fact) AS latest, (SELECT count(*) FROM fact) AS n_all
+FROM fact GROUP BY 1
+""",
+)
+def summary_answers(spark, sf_dir):
+    """Years, row counts and the latest time of the refreshed fact, from its month
+    summary alone: no row of the fact is read."""
+    months = read_parquet(spark, f"{_refreshed(spark, sf_dir)}/month_summary", {"month": "string"})
+    years = months.groupBy(F.substring("month", 1, 4).cast("int").alias("year")).agg(
+        F.sum("n_rows").alias("n_rows"), F.max("last_utc").alias("last_utc")
+    )
+    whole = months.agg(F.max("last_utc").alias("latest"), F.sum("n_rows").alias("n_all"))  # one row
+    return years.join(F.broadcast(whole))
+
+
+@query(
+    "local_day_slice",
+    _weather_ctes(RICH)
+    + ", fact AS ("
+    + _WEATHER_FACT_SELECT
+    + """)
+SELECT *, CAST((dt_measurement_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Brussels' AS DATE) AS obs_date FROM fact
+WHERE CAST((dt_measurement_utc AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Brussels' AS DATE)
+      BETWEEN DATE '2024-04-01' AND DATE '2024-04-10'
+""",
+)
+def local_day_slice_q(spark, sf_dir):
+    """The first ten local days of April, the first of which is in March by UTC
+    (and after the change to summer time)."""
+    fact_path, _ = _run_weather(spark, sf_dir, RICH)
+    fact = read_parquet(spark, fact_path, {"month": "string"})
+    rows = local_day_slice(fact, "dt_measurement_utc", "2024-04-01", "2024-04-10", partition_col="month")
+    return rows.withColumn("obs_date", obs_date(F.col("dt_measurement_utc")))
+
+
+@query("staging_test_run", _WEATHER_CTES + "\nSELECT * FROM stg ORDER BY measurement_id LIMIT 100")
+def staging_test_run(spark, sf_dir):
+    """The staging model under its run variable: ordered by key, then the first 100 rows."""
     root = shared_dir(spark, "weather", uuid.uuid4().hex)
     globs = write_raw_from_events(table(spark, sf_dir, "events"), f"{root}/raw")
-    files = {c: weather.transform_measurements(weather.fetch_measurements(spark, f"{root}/raw", [c], globs["main"])) for c in ("historical", "recent")}
-    geo = weather.transform_history(
-        weather.fetch_geo(spark, f"{root}/raw", ["historical"], globs["metadata_geo"]), "stations_id", ["von_datum", "bis_datum"]
-    )
-    op_rows, _ = weather.fetch_operator(spark, f"{root}/raw", glob=globs["metadata_operator"])
-    op = weather.transform_history(op_rows, "stations_id", ["betrieb_von_datum", "betrieb_bis_datum"])
-    dims = weather.dim_geo(geo), weather.dim_operator(op)
-    for batch, category in enumerate(("historical", "recent", "recent")):
-        weather.refresh_months(spark, files[category], f"{root}/monthly", *dims, batch=min(batch, 1))
-    return read_parquet(spark, f"{root}/monthly/fact_measurements", {"month": "string"})
+    paths = weather.run_raw(spark, f"{root}/raw", f"{root}/clean", globs=globs)
+    return weather.stg_measurements(weather.read_raw(spark, paths)[0], test_run=True)
 
 
 @query("weather_checks", WEATHER_CHECKS_SQL)

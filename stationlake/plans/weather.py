@@ -573,6 +573,17 @@ def publish_marts(
     return names
 
 
+def month_summary(fact: DataFrame) -> DataFrame:
+    """Per month of the fact: rows, first and last time, highest temperature. Small
+    (a row per month), and enough for the fact's maxima, counts and years."""
+    return fact.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("dt_measurement_utc").alias("first_utc"),
+        F.max("dt_measurement_utc").alias("last_utc"),
+        F.max("max_temperature_2m_c_qn4").alias("max_temperature"),
+    )
+
+
 def refresh_months(
     spark: SparkSession,
     rows: DataFrame,
@@ -585,9 +596,9 @@ def refresh_months(
     """Take late ``rows`` (clean measurements, see ``transform_measurements``) into
     ``out`` and return the months they touch.
 
-    ``out/raw_measurements`` (by month and batch) and ``out/fact_measurements`` (by
-    month) keep all other months as they are, file by file: only the touched ones
-    are read, deduplicated (a station-day has one month) and replaced. A batch that
+    ``out/raw_measurements`` (by month and batch), ``out/fact_measurements`` and
+    ``out/month_summary`` (by month) keep all other months as they are, file by
+    file: only the touched ones are read, deduplicated (a station-day has one month) and replaced. A batch that
     is delivered again replaces its own rows. Rows without a valid day have no
     month and are in no fact; they are left out.
     """
@@ -612,6 +623,8 @@ def refresh_months(
         range_partitioned=built.ordered,
         bloom={"station_id": STATIONS},
     )
+    fresh = spark.read.schema(built.fact.schema).parquet(target).filter(F.col("month").isin(months))
+    write_partitioned(month_summary(fresh), f"{out}/month_summary", ["month"])
     return months
 
 

@@ -59,6 +59,8 @@ def test_a_late_row_changes_one_month(spark, tmp_path):
     march = {(r.station_id, r.dt_measurement_utc.day): r.max_wind_gust_mps_qn3 for r in fact.where("month = '2023-03'").collect()}
     assert march == {("a", 1): 3.0, ("a", 15): 99.0, ("b", 1): 3.0, ("b", 15): 3.0, ("c", 16): 5.0}
     assert fact.count() == 25 and spark.read.parquet(f"{out}/raw_measurements").count() == 26
+    summary = {r.month: (r.n_rows, r.max_temperature) for r in spark.read.parquet(f"{out}/month_summary").collect()}
+    assert summary == {f"2023-{m:02d}": (5 if m == 3 else 4, None) for m in range(1, 7)}
     # A batch that shrinks takes its rows back; an empty one touches nothing.
     assert weather.refresh_months(spark, raw(spark, [("c", "2023-03-16", 6.0, 1)]), out, *dims, batch=1) == ["2023-03"]
     assert weather.refresh_months(spark, raw(spark, []), out, *dims, batch=2) == []
@@ -184,3 +186,23 @@ def test_published_marts_and_a_failed_refresh(spark, tmp_path):
     report = {(r.model, r.check_name, r.column_name): r for r in spark.table(names["quality_report"]).collect()}
     assert report["stg_measurements", "accepted_values", "quality_niveau_4"].status == "fail"
     assert report["stg_measurements", "not_null", "station_id"].status == "pass"
+
+
+def test_local_days_at_the_edges(spark):
+    """Every local day of a slice, and no other, whatever the session zone and the UTC month."""
+    from stationlake.functions import localize, obs_date, utc_of_local_day
+    from stationlake.operators import local_day_slice
+
+    days = spark.sql("SELECT explode(sequence(DATE'2023-12-25', DATE'2024-11-05', INTERVAL 1 DAY)) AS day")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for session in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", session)
+        try:
+            df = days.withColumn("ts", localize(F.col("day").cast("timestamp_ntz"))).withColumn("month", F.date_format("ts", "yyyy-MM"))
+            assert df.where(obs_date(F.col("ts")) != F.col("day")).count() == 0
+            for first, last in (("2024-01-01", "2024-01-31"), ("2024-03-31", "2024-04-01"), ("2024-10-27", "2024-10-28"), ("2024-02-29", "2024-02-29")):
+                got = [str(r.day) for r in local_day_slice(df, "ts", first, last, partition_col="month").orderBy("day").collect()]
+                assert got == [str(r.day) for r in df.where(F.col("day").between(first, last)).orderBy("day").collect()] and got
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    assert utc_of_local_day(dt.date(2024, 1, 1)) == dt.datetime(2023, 12, 31, 23)
