@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
+    PAYMENT_TYPE_LABELS,
     cast_int_rounded,
     clean_station_id,
     concat_nullable,
@@ -57,7 +58,7 @@ from ..operators import (
     union_categories,
     write_ordered,
 )
-from ..schemas import PRECIPITATION_FORMS, QUALITY_LEVELS
+from ..schemas import OPERATOR_MARKER, PRECIPITATION_FORMS, QUALITY_LEVELS
 from ..session import materialize_counted, shared_dir
 from ..operators.sweep import sweep_join
 from ..sinks import publish_table, write_partitioned
@@ -345,10 +346,9 @@ def parse_dates(spark, sf_dir):
 
 @query(
     "decode_codes",
-    """
+    f"""
 SELECT l_linenumber,
-       CASE l_linenumber WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge'
-            WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip' END AS label,
+       CASE l_linenumber {" ".join(f"WHEN {k} THEN '{v}'" for k, v in PAYMENT_TYPE_LABELS.items())} END AS label,
        count(*) AS n_rows
 FROM lineitem GROUP BY 1, 2
 """,
@@ -873,18 +873,11 @@ def rejected_lines(spark, sf_dir):
 # Sectioned files
 # ---------------------------------------------------------------------------
 
-SECTION_HEADER = "Stations_ID;Betreibername;Von_Datum;Bis_Datum"
-
-
 def _sectioned_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One sectioned file per task: preamble, blank line, header, the rows
-    (ids right-aligned as published), footer; CRLF line ends."""
-    yield pd.DataFrame({"value": ["Stationsname / Betreibername\r", "\r", SECTION_HEADER + "\r"]})
-    for batch in batches:
-        lines = [
-            f"{doc_id:>12};{source};{lang};\r" for doc_id, source, lang in zip(batch["doc_id"], batch["source"], batch["lang"])
-        ]
-        yield pd.DataFrame({"value": lines})
+    """One sectioned file per task: preamble, blank line, header, the rows, footer; CRLF line ends."""
+    header = OPERATOR_MARKER.strip("\n ")
+    yield pd.DataFrame({"value": ["Stationsname / Betreibername\r", "\r", header + "\r"]})
+    yield from batches
     yield pd.DataFrame({"value": ["generiert: footer\r"]})
 
 
@@ -899,11 +892,13 @@ FROM documents
 def sectioned_roundtrip(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), ["doc_id"])
     path = shared_dir(spark, "sectioned", uuid.uuid4().hex)
-    docs.mapInPandas(_sectioned_lines, "value string").write.mode("overwrite").text(path)
+    # Ids right-aligned, as published.
+    lines = docs.select(F.format_string("%12d;%s;%s;\r", "doc_id", "source", "lang").alias("value"))
+    lines.mapInPandas(_sectioned_lines, "value string").write.mode("overwrite").text(path)
     rows, _ = read_sectioned(
         spark,
         path,
-        "\n\n" + SECTION_HEADER + "\n ",
+        OPERATOR_MARKER,
         ["stations_id", "betreibername", "betrieb_von_datum", "betrieb_bis_datum"],
         glob="*.txt",
     )
@@ -950,12 +945,12 @@ def _zip_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 @query(
     "archive_members",
     """
-SELECT member, route, n_bytes FROM (
+SELECT member, route, n_bytes, body_sha256 FROM (
   SELECT source || '/' || CASE lang WHEN 'en' THEN 'produkt_klima_tag_' WHEN 'de' THEN 'Metadaten_Geographie_'
                             WHEN 'fr' THEN 'Metadaten_' WHEN 'es' THEN 'beschreibung_' ELSE 'other_' END
            || CAST(doc_id AS VARCHAR) || CASE lang WHEN 'fr' THEN '.html' ELSE '.txt' END AS member,
          CASE lang WHEN 'en' THEN 'tables' WHEN 'de' THEN 'metadata' END AS route,
-         CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes
+         CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes, sha256(coalesce(text, '')) AS body_sha256
   FROM documents
 ) WHERE route IS NOT NULL
 """,
@@ -964,7 +959,7 @@ def archive_members(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), ["doc_id"])
     archives = docs.mapInPandas(_zip_documents, "archive string, content binary")
     members = route_members(explode_archives(archives))
-    return members.select("member", "route", F.length("body").cast("long").alias("n_bytes"))
+    return members.select("member", "route", F.length("body").cast("long").alias("n_bytes"), F.sha2("body", 256).alias("body_sha256"))
 
 
 # ---------------------------------------------------------------------------

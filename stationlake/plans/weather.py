@@ -57,12 +57,14 @@ from ..schemas import (
     CATEGORIES,
     FACT_COLUMNS,
     GEO_COLUMNS,
+    GEO_DIM_COLUMNS,
     GEO_FILE_GLOB,
     GEO_RENAMES,
     LISTING_KEEP,
     MEASUREMENT_COLUMNS,
     MEASUREMENT_FILE_TOKEN,
     OPERATOR_COLUMNS,
+    OPERATOR_DIM_COLUMNS,
     OPERATOR_FILE_GLOB,
     OPERATOR_MARKER,
     PRECIPITATION_FORMS,
@@ -369,25 +371,16 @@ def stg_measurements(raw: DataFrame, test_run: bool = False) -> DataFrame:
     return stg
 
 
+def _dim(history: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    return history.select(*[F.col(raw).cast(kind).alias(name) for raw, (name, kind) in columns.items()])
+
+
 def dim_geo(geo: DataFrame) -> DataFrame:
-    return geo.select(
-        F.col("stations_id").cast("string").alias("station_id"),
-        F.col("stationshoehe").cast("double").alias("station_height_m"),
-        F.col("geogr_breite").cast("string").alias("latitude"),
-        F.col("geogr_laenge").cast("string").alias("longitude"),
-        F.col("von_datum").cast("timestamp_ntz").alias("dt_geo_start"),
-        F.col("bis_datum").cast("timestamp_ntz").alias("dt_geo_end"),
-        F.col("stationsname").cast("string").alias("station_name"),
-    )
+    return _dim(geo, GEO_DIM_COLUMNS)
 
 
 def dim_operator(op: DataFrame) -> DataFrame:
-    return op.select(
-        F.col("stations_id").cast("string").alias("station_id"),
-        F.col("betreibername").cast("string").alias("operator_name"),
-        F.col("betrieb_von_datum").cast("timestamp_ntz").alias("dt_op_start"),
-        F.col("betrieb_bis_datum").cast("timestamp_ntz").alias("dt_op_end"),
-    )
+    return _dim(op, OPERATOR_DIM_COLUMNS)
 
 
 def fact_measurements(

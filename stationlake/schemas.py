@@ -86,6 +86,24 @@ STAGING_COLUMNS = {
     "tgk": ("mean_temperature_5cm_c_qn4", "round2"),
 }
 
+# Published names and types of the two dims, by raw column. Fixed values.
+GEO_DIM_COLUMNS = {
+    "stations_id": ("station_id", "string"),
+    "stationshoehe": ("station_height_m", "double"),
+    "geogr_breite": ("latitude", "string"),
+    "geogr_laenge": ("longitude", "string"),
+    "von_datum": ("dt_geo_start", "timestamp_ntz"),
+    "bis_datum": ("dt_geo_end", "timestamp_ntz"),
+    "stationsname": ("station_name", "string"),
+}
+
+OPERATOR_DIM_COLUMNS = {
+    "stations_id": ("station_id", "string"),
+    "betreibername": ("operator_name", "string"),
+    "betrieb_von_datum": ("dt_op_start", "timestamp_ntz"),
+    "betrieb_bis_datum": ("dt_op_end", "timestamp_ntz"),
+}
+
 MEASURES = [
     name
     for raw, (name, _) in STAGING_COLUMNS.items()
