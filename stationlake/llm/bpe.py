@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm._common import small_batches
+from stationlake.session import materialize
 
 #: Words in the lexicon: the most frequent of the whole corpus.
 LEXICON_WORDS = 50_000
@@ -67,13 +67,22 @@ class Vocabulary:
         space = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
         self.pattern = split["pattern"]["Regex"].replace(r"[^\s", f"[^{space}")
         self.char = [c for _, c in sorted(byte_chars().items())]
+        # For short words: ids of single bytes, alone and as a word's end, and the merges by id pairs.
+        single = [[self.ids.get(c + e) for c in self.char] for e in ("", self.end)]
+        self.single = None if None in single[0] + single[1] else single
+        known = ((r, self.ids.get(a), self.ids.get(b)) for (a, b), r in self.ranks.items())
+        self.pairs = {a << 32 | b: r for r, a, b in known if a is not None and b is not None}
+        self.made = [self.ids.get(a + b) for a, b in self.ranks]
+        if None in self.made or len(self.pairs) < len(self.ranks):
+            self.single = None
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the adjacent pair of lowest rank is merged, leftmost first."""
-        parts: list[str | None] = [self.char[b] for b in word.encode("utf-8")]
+        raw = word.encode("utf-8")
+        if len(raw) <= SCAN_BYTES and self.single:
+            return self._scan([*map(self.single[0].__getitem__, raw[:-1]), self.single[1][raw[-1]]])
+        parts: list[str | None] = [self.char[b] for b in raw]
         parts[-1] += self.end
-        if len(parts) <= SCAN_BYTES:
-            return self._scan(parts)
         n = len(parts)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None]
@@ -92,19 +101,19 @@ class Vocabulary:
                     heapq.heappush(heap, (r, x, parts[x], parts[y]))
         return [self.ids[p] for p in parts if p is not None and p in self.ids]
 
-    def _scan(self, parts: list[str]) -> list[int]:
-        """The same merges, with the ranks of all pairs in a list: the quicker way for short words."""
-        get, none = self.ranks.get, len(self.ranks)
-        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+    def _scan(self, ids: list[int]) -> list[int]:
+        """The same merges, on ids and with the ranks of all pairs in a list: the quicker way for short words."""
+        get, none, made = self.pairs.get, len(self.made), self.made
+        ranks = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while ranks and (low := min(ranks)) < none:
             i = ranks.index(low)
-            del ranks[i]
-            parts[i] = part = parts[i] + parts.pop(i + 1)
+            del ranks[i], ids[i + 1]
+            ids[i] = new = made[low]
             if i:
-                ranks[i - 1] = get((parts[i - 1], part), none)
+                ranks[i - 1] = get(ids[i - 1] << 32 | new, none)
             if i < len(ranks):
-                ranks[i] = get((part, parts[i + 1]), none)
-        return [self.ids[p] for p in parts if p in self.ids]
+                ranks[i] = get(new << 32 | ids[i + 1], none)
+        return ids
 
 
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
@@ -120,7 +129,11 @@ class Words:
     def plain(self, text: str) -> list[str]:
         # Lower case is by character: a final capital sigma is no special case.
         text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-        return [text] if text.isalpha() else self.find(text)  # letters alone are one word
+        if text.isalpha():  # letters alone are one word, and so are those before a comma or full stop
+            return [text]
+        if text[-1:] in (".", ",") and text[:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return self.find(text)
 
     def __call__(self, text: str) -> Iterator[tuple[list[str], str | None]]:
         """(runs without white space, special token after them) through the text.
@@ -268,7 +281,7 @@ class Encoder(dict):
     def encode(self, text: str) -> bytes:
         out = []
         for runs, special in self.words(text):
-            out.append(b"".join([self[r] for r in runs]))
+            out.append(b"".join(map(self.__getitem__, runs)))
             if special:
                 out.append(self.special[special])
         return b"".join(out)
@@ -305,16 +318,31 @@ def word_counts(docs: DataFrame, spec: dict) -> DataFrame:
                     yield portion()
         yield portion()
 
-    small_batches(docs.sparkSession)
     parts = docs.select("text").mapInPandas(run, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """The words (of word, n) that are more frequent than a cut-off, which leaves at
+    most ``size`` of them. How many words have a count says where to cut, so what
+    reaches the driver is a line a count and the words themselves."""
+    counts = materialize(counts, "word-counts")
+    by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    # Far fewer counts than words; of those above the cut there are at most `size`.
+    top, found = by_count.orderBy(F.desc("n")).limit(size + 1).collect(), 0
+    cut = 0
+    for r in top:
+        found += r["words"]
+        if found > size:
+            cut = r["n"]
+            break
+    return [r["word"] for r in counts.where(F.col("n") > cut).select("word").collect()]
+
+
 def build_lexicon(docs: DataFrame, spec: dict, size: int = LEXICON_WORDS) -> bytes:
-    """The ``size`` most frequent words of ``docs``, compiled. ``size`` bounds what the driver holds."""
-    top = word_counts(docs, spec).orderBy(F.desc("n"), "word").limit(size)
+    """The most frequent words of ``docs``, ``size`` at most, compiled."""
     vocab = Vocabulary(spec)
-    return Lexicon.build({r["word"]: vocab.merge(r["word"]) for r in top.select("word").collect()})
+    return Lexicon.build({w: vocab.merge(w) for w in frequent_words(word_counts(docs, spec), size)})
 
 
 def encode(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, ids: bool = True) -> DataFrame:
@@ -332,7 +360,6 @@ def encode(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, ids: boo
         for part in texts:
             yield pd.DataFrame(_digests(coder, part, ids), columns=list(added))
 
-    small_batches(docs.sparkSession)
     done = F.pandas_udf(run, ", ".join(f"{c} {t}" for c, t in added.items()))
     out = docs.select(F.struct("*").alias("d"), done("text").alias("e"))
     return out.select(
