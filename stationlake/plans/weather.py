@@ -477,10 +477,15 @@ def _join_histories(stg: DataFrame, geo: DataFrame, op: DataFrame, **join_option
     return FactBuild(fact.withColumn("month", year_month(F.col("dt_measurement_utc"))), geo, op, ordered)
 
 
-def build_fact(spark: SparkSession, paths: dict[str, str], **join_options) -> FactBuild:
-    """(fact with its month column, dim_geo, dim_operator) from the raw files.
+def build_fact(
+    spark: SparkSession, paths: dict[str, str], **join_options
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fact with its month column, dim_geo, dim_operator) from the raw files."""
+    return _build_fact(spark, paths, **join_options)[:3]
 
-    One shuffle for the whole fact build: a range partition on (day,
+
+def _build_fact(spark: SparkSession, paths: dict[str, str], **join_options) -> FactBuild:
+    """One shuffle for the whole fact build: a range partition on (day,
     station) puts every station-day in one task (what the dedup window
     needs) and gives each task a contiguous time range (what the
     month-partitioned, time-clustered write needs). Broadcast history joins
@@ -498,7 +503,7 @@ def build_fact(spark: SparkSession, paths: dict[str, str], **join_options) -> Fa
 def run_marts(spark: SparkSession, paths: dict[str, str], out: str, **join_options) -> tuple[str, DataFrame]:
     """Raw files -> published dims (``dim_geo``, ``dim_operator``) and fact (by
     UTC month, clustered by time), and the quality report of the published fact."""
-    fact, geo, op, ordered = build_fact(spark, paths, **join_options)
+    fact, geo, op, ordered = _build_fact(spark, paths, **join_options)
     for name, dim in (("dim_geo", geo), ("dim_operator", op)):
         dim.write.mode("overwrite").parquet(f"{out}/{name}")
     path = write_partitioned(
