@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,9 +26,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound what one Arrow batch holds, so long texts fit in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def portions(batch: Any, rows: int = 512) -> Iterator[Any]:
+    """A pandas batch in parts of so many rows. Spark bounds a batch's bytes, not
+    what a function makes of them: results are built part by part."""
+    for at in range(0, len(batch), rows):
+        yield batch.iloc[at : at + rows]
 
 
 def global_rank(

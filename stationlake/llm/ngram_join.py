@@ -44,9 +44,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm._common import small_batches
+from stationlake.llm._common import portions
 from stationlake.llm._components import components
-from stationlake.session import materialize, materialize_counted
+from stationlake.session import materialize, materialize_counted, release
 
 CLASS_RATIO = 1.5
 COUNT_FRAGMENTS = 8
@@ -141,27 +141,27 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def fragments(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Per document: doc_id, n_grams, set key (k1, k2; NULL without words), the
-    ``keys`` of its fragments, their ``number`` and ``least`` by size class."""
+    """Per document: doc_id, hash of its text, n_grams, set key (k1, k2; NULL without words),
+    the ``keys`` of its fragments, their ``number`` and ``least`` by size class."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _WordHash()
-        for b in batches:
+        for b in (part for batch in batches for part in portions(batch)):
             rows = []
-            for i, text in zip(b["doc_id"], b["text"]):
+            for i, th, text in zip(b["doc_id"], b["th"], b["text"]):
                 g = ngram_set(text, n, cache)
                 if len(g):
                     keys, number, least = fragment_keys(g, percent)
-                    rows.append((i, len(g), *_key(g), _signed(keys), number, least))
+                    rows.append((i, th, len(g), *_key(g), _signed(keys), number, least))
                 else:
-                    rows.append((i, 0, None, None, None, None, None))
+                    rows.append((i, th, 0, None, None, None, None, None))
             # As objects: columns with NULLs would pass through floats and lose digits.
-            out = pd.DataFrame(rows, columns=["doc_id", "n_grams", "k1", "k2", "keys", "number", "least"], dtype=object)
-            yield out.astype({"n_grams": "int64", "k1": "Int64", "k2": "Int64"})
+            columns = ["doc_id", "th", "n_grams", "k1", "k2", "keys", "number", "least"]
+            out = pd.DataFrame(rows, columns=columns, dtype=object)
+            yield out.astype({"th": "int64", "n_grams": "int64", "k1": "Int64", "k2": "Int64"})
 
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("string"), "text")
-    schema = "doc_id string, n_grams long, k1 long, k2 long, keys array<long>, number array<int>, least array<int>"
+    rows = docs.select(F.col("doc_id").cast("string"), F.xxhash64("text").alias("th"), "text")
+    schema = "doc_id string, th long, n_grams long, k1 long, k2 long, keys array<long>, number array<int>, least array<int>"
     return rows.mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -177,7 +177,7 @@ def segments(nodes: DataFrame, n: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _WordHash()
         limits = np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - (parts.bit_length() - 1))
-        for b in batches:
+        for b in (part for batch in batches for part in portions(batch)):
             rows = []
             for node, k1, k2, text in zip(b["node"], b["k1"], b["k2"], b["text"]):
                 g = ngram_set(text, n, cache)
@@ -188,7 +188,6 @@ def segments(nodes: DataFrame, n: int, parts: int) -> DataFrame:
 
     if parts & (parts - 1):
         raise ValueError("the number of fragments must be a power of two")
-    small_batches(nodes.sparkSession)
     return nodes.select("node", "k1", "k2", "text").mapInPandas(run, "node long, frag int, n long, grams array<long>")
 
 
@@ -217,6 +216,35 @@ def _small(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(out) if seen["rows"] <= MAX_BROADCAST_IDS else out
 
 
+def _repeated(filed: DataFrame) -> DataFrame:
+    """The rows of ``filed`` without those whose key nobody else has.
+
+    One exchange: rows are range-partitioned on (key, node), so a key that very
+    many share is cut over tasks too, and in a sorted partition a lone key differs
+    from both neighbours. A partition's first and last keys may go on in the next
+    one and are kept; the exact count comes after this, on few rows.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, first = None, True  # the last row so far waits for its neighbour
+        for b in batches:
+            if held is not None:
+                b = pd.concat([held, b], ignore_index=True)
+            if not len(b):
+                continue
+            key = b["key"].to_numpy()
+            same = key[1:] == key[:-1]
+            keep = np.r_[first or bool(b["keep"].iloc[0]), same] | np.r_[same, False]
+            held = b.iloc[[-1]].assign(keep=bool(keep[-1]))
+            yield b[:-1][keep[:-1]].drop(columns="keep")
+            first = False
+        if held is not None:
+            yield held.drop(columns="keep")
+
+    rows = filed.repartitionByRange("key", "node").sortWithinPartitions("key").withColumn("keep", F.lit(False))
+    return rows.mapInPandas(run, filed.schema)
+
+
 def _hub_pairs(filed: DataFrame) -> DataFrame:
     """a (member), b (hub), crowd (some common bucket has a third member)."""
     shared = filed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -229,6 +257,7 @@ def _hub_pairs(filed: DataFrame) -> DataFrame:
     at = materialize(at, "filed-fragments")
     shared = at.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = materialize(at.join(shared, "key"), "fragment-buckets")
+    release(at)
     score = buckets.groupBy("node").agg(F.sum("size").alias("score"))
     best = F.max(F.struct("score", (-F.col("node")).alias("neg")))
     hubs = buckets.join(score, "node").groupBy("key").agg(best.alias("best"))
@@ -237,24 +266,41 @@ def _hub_pairs(filed: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.max(F.col("size") > 2).alias("crowd"))
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_shingles, component_id``. Two documents
-    link at ``100 * intersection >= percent * union``; ``component_id`` is the
-    smallest doc_id that links reach."""
-    sets = fragments(docs, n, percent).withColumn("node", F.monotonically_increasing_id())
-    sets = materialize(sets, "ngram-sets")
+def _filed(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, key, next (1: filed under the next size class), number, least: the fragments that two nodes or more have."""
     known = sets.where(F.col("k1").isNotNull() & F.col("doc_id").isNotNull())
-    firsts = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "node")).alias("r"))
-    nodes = materialize(firsts.select("k1", "k2", F.col("r.doc_id").alias("first"), F.col("r.node").alias("node")), "ngram-nodes")
-
     copies = known.select("node").join(nodes.select("node"), "node", "left_anti")
     filed = known.select("node", "keys", "number", "least").join(_small(copies, "copies"), "node", "left_anti")
     filed = filed.select("node", "number", "least", F.posexplode("keys").alias("pos", "key"))
-    filed = filed.withColumn("next", (F.col("pos") >= F.get("number", F.lit(0))).cast("int"))
-    filed = filed.select("node", "key", "next", F.get("number", F.col("next")).alias("number"), F.get("least", F.col("next")).alias("least"))
+    nxt = (F.col("pos") >= F.get("number", F.lit(0))).cast("int")
+    # The three small numbers travel as one.
+    packed = F.shiftleft(F.get("number", nxt).cast("long"), 32) + F.shiftleft(F.get("least", nxt).cast("long"), 1) + nxt
+    rows = _repeated(filed.select("node", "key", packed.alias("p")))
+    return rows.select(
+        "node",
+        "key",
+        F.col("p").bitwiseAND(F.lit(1)).cast("int").alias("next"),
+        F.shiftright("p", 32).cast("int").alias("number"),
+        F.shiftright(F.col("p").bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int").alias("least"),
+    )
+
+
+def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, th (hash of its text), n_grams, ``first`` (smallest doc_id of
+    its set), ``component_id``, and ``named`` (its set names the component)."""
+    full = fragments(docs, n, percent).withColumn("node", F.monotonically_increasing_id())
+    full = materialize(full, "ngram-sets")
+    sets = materialize(full.select("doc_id", "th", "n_grams", "k1", "k2", "node"), "ngram-set-keys")
+    known = sets.where(F.col("k1").isNotNull() & F.col("doc_id").isNotNull())
+    firsts = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "node")).alias("r"))
+    nodes = materialize(firsts.select("k1", "k2", F.col("r.doc_id").alias("first"), F.col("r.node").alias("node")), "ngram-nodes")
+
+    filed = materialize(_filed(full, nodes), "repeated-fragments")
+    release(full)
     pairs, seen = materialize_counted(_hub_pairs(filed), "hub-pairs")
+    release(filed)
 
-    named = nodes.select("k1", "k2", F.col("first").alias("component_id"))
+    named = nodes.select("k1", "k2", "first", F.col("first").alias("component_id"), F.lit(True).alias("named"))
     if seen["rows"]:
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = _small(nodes.join(wanted, "node", "left_semi"), "candidates")
@@ -263,19 +309,51 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
         if not known.groupBy("doc_id").count().where("count > 1").isEmpty():
             segs = segs.dropDuplicates(["node", "frag"])
         segs = materialize(segs, "candidate-segments")
-        comp = components(_all_links(pairs, segs, percent))
+        comp = materialize(components(_all_links(pairs, segs, percent)), "components")
+        release(segs)
         comp = nodes.join(comp, "node").select("node", "component", "first")
-        least = comp.groupBy("component").agg(F.min("first").alias("least"))
+        least = comp.groupBy("component").agg(F.min(F.struct("first", "node")).alias("least"))
         comp = comp.join(least, "component").select("node", "least")
-        named = nodes.join(comp, "node", "left").select("k1", "k2", F.coalesce("least", "first").alias("component_id"))
-    out = sets.select("doc_id", "n_grams", "k1", "k2").join(named, ["k1", "k2"], "left")
+        named = nodes.join(comp, "node", "left").select(
+            "k1",
+            "k2",
+            "first",
+            F.coalesce("least.first", "first").alias("component_id"),
+            F.coalesce(F.col("least.node") == F.col("node"), F.lit(True)).alias("named"),
+        )
+    return sets.select("doc_id", "th", "n_grams", "k1", "k2").join(named, ["k1", "k2"], "left").drop("k1", "k2")
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_shingles, component_id``. Two documents
+    link at ``100 * intersection >= percent * union``; ``component_id`` is the
+    smallest doc_id that links reach."""
     reached = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    out = _components(docs, n, percent)
     return out.select("doc_id", F.col("n_grams").alias("n_shingles"), reached.alias("component_id"))
 
 
+#: A family of members that do not link with their hub gets a hub of its own while their
+#: differences from it would be joined to more than so many rows each, in so many rounds at most.
+FAMILY_ROWS, FAMILY_ROUNDS = 256, 3
+
+
 def _all_links(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect all links among the members of one bucket;
     ``pairs`` has each member (a) with the hub (b)."""
+    links, rounds = None, 0
+    while True:
+        found, pairs = _round(pairs, segs, percent, last=rounds >= FAMILY_ROUNDS)
+        links = found if links is None else links.union(found)
+        rounds += 1
+        if pairs is None:
+            return links
+
+
+def _round(pairs: DataFrame, segs: DataFrame, percent: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Links with the hubs and between members that do not both stay loose, and
+    the loose members of large families with a hub from among them (None: no such
+    family; all links are found)."""
     c, s = 100 - percent, 100 + percent
     total = F.col("na") + F.col("nb")
     star = _overlaps(pairs.select("a", "b"), segs).withColumn("linked", _links(F.col("both"), total, percent))
@@ -285,7 +363,10 @@ def _all_links(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     # one, where the hub has some that do not link with it.
     members = star.join(pairs.where("crowd").select("a", "b"), ["a", "b"], "left_semi")
     loose = members.where(~F.col("linked")).select("b").distinct()
-    members = materialize(members.join(loose, "b", "left_semi"), "loose-members")
+    members, seen = materialize_counted(members.join(loose, "b", "left_semi"), "loose-members")
+    direct = star.where("linked").select("a", "b")
+    if not seen["rows"]:
+        return direct, None
     differ = F.array_union(F.array_except("ga", "gb"), F.array_except("gb", "ga"))
     diffs = _fragment_pairs(members.select("a", "b"), segs).select("a", "b", F.explode(differ).alias("gram"))
     diffs = materialize(diffs, "hub-differences")
@@ -293,28 +374,68 @@ def _all_links(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     # What only one member has joins nothing, but keeps its place in the order.
     w = Window.partitionBy("b", "a").orderBy("df", "gram")
     ranked = diffs.join(rare, ["b", "gram"]).withColumn("pos", F.row_number().over(w)).where("df > 1")
-    ranked = ranked.join(members.drop("both"), ["a", "b"])
+    ranked = materialize(ranked.join(members.drop("both"), ["a", "b"]), "ranked-differences")
+    release(diffs)
 
     # For J(u, v) >= t: s |D(u) ^ D(v)| <= c (|u| + |v|), with s |D(u)| > c (|u| + |hub|) as u is loose.
     need_u = F.ceil((s * F.col("d") - c * total + (s - c)) / (2 * s))
     need_v = F.ceil((s * F.col("d") + c * (F.col("nb") - F.col("na")) + 1) / (2 * s))
     cols = ["b", "gram", "a", "na", "d", "pos"]
     u = ranked.where(~F.col("linked") & (F.col("pos") <= F.col("d") - need_u + 1)).select(*cols)
-    v = ranked.where(F.col("pos") <= F.col("d") - need_v + 1).select(*cols)
-    v = v.toDF("b", "gram", "v", "nv", "dv", "posv")
+    v = ranked.where(F.col("pos") <= F.col("d") - need_v + 1).select(*cols, "linked")
+
+    # Loose members that resemble each other more than the hub share most of their differences
+    # from it. What one hub leaves of a large family gets the next hub, the family's own.
+    families = None
+    if not last:
+        held = u.groupBy("b", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("hub"))
+        large = held.groupBy("b").agg(
+            F.sum(F.col("n") * F.col("n")).alias("joined"), F.sum("n").alias("rows"), F.max(F.struct("n", "hub")).alias("top")
+        )
+        large = large.where(F.col("joined") > F.col("rows") * FAMILY_ROWS).select("b", F.col("top.hub").alias("hub"))
+        families, seen = materialize_counted(large, "families")
+        if not seen["rows"]:
+            families = None
+    if families is not None:
+        v = v.join(families.select("b"), "b", "left_anti").union(
+            v.join(families.select("b"), "b", "left_semi").where("linked")
+        )
+    v = v.drop("linked").toDF("b", "gram", "v", "nv", "dv", "posv")
     # Common elements needed, against what the rest of both orders can hold.
     need = s * (F.col("d") + F.col("dv")) - c * (F.col("na") + F.col("nv"))
     rest = F.least(F.col("d") - F.col("pos"), F.col("dv") - F.col("posv")) + 1
     more = u.join(v, ["b", "gram"]).where((F.col("a") != F.col("v")) & (2 * s * rest >= need))
     more = more.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
     more = _overlaps(more, segs).where(_links(F.col("both"), total, percent))
-    return star.where("linked").select("a", "b").union(more.select("a", "b"))
+    found = direct.union(more.select("a", "b"))
+    if families is None:
+        return found, None
+    next_ = members.where(~F.col("linked")).select("a", "b").join(families, "b").where(F.col("a") != F.col("hub"))
+    next_ = next_.select("a", F.col("hub").alias("b")).distinct().withColumn("crowd", F.lit(True))
+    return materialize(found, "round-links"), materialize(next_, "family-pairs")
 
 
 def keep_one(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """``docs`` with one document of each component: that with the smallest
-    doc_id. Documents without words or without an id stay, and of rows that
-    are equal in all columns one stays."""
-    comp = jaccard_components(docs.select("doc_id", "text"), n, percent)
-    gone = comp.where(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti").dropDuplicates()
+    doc_id (of its texts, if it has several there, one). Documents without words
+    or without an id stay, and of rows that are equal in all columns one stays.
+
+    Rows are told apart by doc_id and text, so what happens to one text of a
+    doc_id does not touch its others. Texts are moved only where rows repeat.
+    """
+    comp = _components(docs.select("doc_id", "text"), n, percent)
+    leaves = (F.col("component_id") != F.col("doc_id")) | ~F.col("named")
+    leaves = F.col("doc_id").isNotNull() & F.coalesce(leaves, F.lit(False))
+    marks = comp.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+        F.max(leaves).alias("_gone"), (F.count(F.lit(1)) > 1).alias("_again")
+    )
+    marks = _small(marks.where("_gone OR _again"), "marked-rows")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
+    rows = docs.select(row)
+    same = F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("d.text") == F.col("_th"))
+    left = rows.join(marks, same, "left").where(~F.coalesce(F.col("_gone"), F.lit(False)))
+    cols = [F.col("d").getField(c).alias(c) for c in docs.columns]
+    once = left.where(F.col("_again").isNull() | ~F.col("_again")).select(*cols)
+    if marks.where("_again AND NOT _gone").isEmpty():
+        return once
+    return once.union(left.where("_again").select(*cols).dropDuplicates())
