@@ -128,9 +128,18 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, columns unchanged."""
-    seen = scan(docs, benchmark, n)
-    kept = seen.where(~contaminated(F.col("n_hit"), F.col("n_words")))
+    """The rows of ``docs`` that are not contaminated, columns unchanged.
+
+    Equal texts are judged alike, so only text hashes (128 bits) go through the
+    scan's exchange, and the few contaminated ones come back to the rows."""
+    keys = [F.xxhash64(F.lit(i), "text").alias(f"k{i}") for i in (1, 2)]
+    seen = scan(docs.select(*keys, "text"), benchmark, n, keep=["k1", "k2"])
+    bad = seen.where(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc.k1", "doc.k2").distinct()
+    bad, found = materialize_counted(bad, "contaminated-texts")
+    bad = F.broadcast(bad) if found["rows"] <= MAX_BROADCAST_WINDOWS else bad
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    same = [F.xxhash64(F.lit(i), "doc.text") == F.col(f"k{i}") for i in (1, 2)]
+    kept = rows.join(bad, same[0] & same[1], "left_anti")
     return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
