@@ -11,6 +11,11 @@ response. Rows repeated with one page_id, url and payload are captures of the
 same id and come back as often as they were written; rows that repeat a
 page_id with another url are captures of their own. A page with a NULL id never stands
 for others. An empty table gives an archive without records.
+
+White space and control characters of a url, which a header line cannot hold, are
+percent-encoded (their UTF-8 bytes). Reading checks every record: an archive that
+is cut short, a record that is not closed and a payload that is not the one its
+digest was taken of raise an error.
 """
 
 from __future__ import annotations
@@ -27,8 +32,8 @@ from pyspark.sql import functions as F
 from stationlake.session import shared_dir
 
 MIN_REVISIT = 100
-#: Records of one archive file, which a task reads whole.
-RECORDS_PER_FILE = 2_000
+#: Records of one archive file, which a task reads whole; payloads from LARGE bytes on have a file each.
+RECORDS_PER_FILE, LARGE = 2_000, 64 << 10
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -40,6 +45,16 @@ def _id(kind: str, *parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
+def _header_value(text: Column) -> Column:
+    """``text`` with white space and control characters percent-encoded."""
+    unsafe = r"[\x00-\x20\x7F-\xA0]"
+    one = F.transform(
+        F.split(text, ""),
+        lambda c: F.when(c.rlike(unsafe), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c),
+    )
+    return F.when(text.rlike(unsafe), F.array_join(one, "")).otherwise(text)
+
+
 def _record(kind: str | Column, fields: list[tuple[str, Column]], body: Column) -> Column:
     """A record without the two line ends that close it. NULL fields are left out."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
@@ -54,7 +69,8 @@ def plan_captures(pages: DataFrame) -> DataFrame:
     Groups of equal payloads are combined map-side to their smallest page_id;
     adaptive execution may split the join of a hot payload.
     """
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
+    url = _header_value(F.col("url")).alias("url")
+    rows = pages.select("page_id", url, F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
     firsts = rows.where(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest").agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")
@@ -69,8 +85,19 @@ def plan_captures(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str) -> None:
     """Archives of ``pages`` as gzip files under ``path``, by Spark's text writer
-    and commit protocol. Each line of its output is a record, closed by two line ends."""
-    p = plan_captures(pages)
+    and commit protocol. Each line of its output is a record, closed by two line ends.
+
+    A file is read back whole, so its size is bounded: by the number of records
+    for small payloads, and to one capture for large ones.
+    """
+    captures = plan_captures(pages)
+    large = F.octet_length("payload") >= LARGE
+    _write(captures.where(~large), path, RECORDS_PER_FILE, "overwrite")
+    if not pages.where(F.octet_length("html") >= LARGE).isEmpty():
+        _write(captures.where(large), path, 3, "append")
+
+
+def _write(p: DataFrame, path: str, records: int, mode: str) -> None:
     main = _id("capture", F.col("page_id"), F.col("url"), F.col("digest"))
     first = F.when(F.col("refers_to").isNotNull(), _id("capture", F.col("refers_to"), F.col("first_url"), F.col("digest")))
     again = first.isNotNull()
@@ -95,35 +122,46 @@ def write_archives(pages: DataFrame, path: str) -> None:
         own = _id(kind, F.col("page_id"), F.col("url"), F.col("digest"))
         return _record(kind, [("WARC-Record-ID", own), target, ("WARC-Concurrent-To", main), ("Content-Type", F.lit(media))], body)
 
-    records = p.select(
+    lines = p.select(
         F.explode(
             F.array(beside("request", "application/http; msgtype=request", ask), capture, beside("metadata", "application/warc-fields", about))
         ).alias("value")
     )
     (
-        records.write.mode("overwrite")
+        lines.write.mode(mode)
         .option("lineSep", CRLF + CRLF)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", records)
         .text(path)
     )
 
 
 def parse_archive(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and content block of every record of a gzip archive."""
-    data, at = b"", 0
-    while raw:  # one gzip member, or one a record
+    """Headers (lower-case names) and content block of every record of a gzip
+    archive. A member or record that is not whole raises ValueError."""
+    parts, at = [], 0
+    rest = memoryview(raw)
+    while len(rest):  # one gzip member, or one a record
         d = zlib.decompressobj(31)
-        data += d.decompress(raw)
-        raw = d.unused_data
+        parts.append(d.decompress(rest))
+        if not d.eof:
+            raise ValueError("the archive is cut short")
+        rest = rest[len(rest) - len(d.unused_data) :]
+    data = b"".join(parts)
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            raise ValueError(f"no end of the header at byte {at}")
         lines = data[at:end].decode("utf-8", "surrogateescape").split(CRLF)
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record at byte {at}")
         head = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
+        if not head.get("content-length", "").isdigit():
+            raise ValueError(f"no length of the record at byte {at}")
         start = end + 4
         stop = start + int(head["content-length"])
+        if data[stop : stop + 4] != b"\r\n\r\n":
+            raise ValueError(f"the record at byte {at} is not whole")
         yield head, data[start:stop]
         at = stop + 4
 
@@ -146,17 +184,20 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                     kind = head["warc-type"]
                     body = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
                     about = dict(x.split(": ", 1) for x in block.decode().split(CRLF) if x) if kind == "metadata" else {}
+                    found = hashlib.sha256(body).hexdigest() if body is not None else None
+                    told = head.get("warc-payload-digest", "").removeprefix("sha256:") or None
+                    if found and told and found != told:
+                        raise ValueError(f"the payload of {head['warc-record-id']} is not the one that was written")
                     number = len(body) if body is not None else int(about["payload-bytes"]) if about else None
                     rows.append((
                         kind, head["warc-record-id"], head.get("warc-concurrent-to"), head.get("warc-refers-to"),
-                        head.get("warc-target-uri"), head["warc-date"], head.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+                        head.get("warc-target-uri"), head["warc-date"], told,
                         int(about["page-id"]) if "page-id" in about else None, number,
-                        hashlib.sha256(body).hexdigest() if body is not None else None, body if payloads else None,
+                        found, body if payloads else None,
                     ))
                 names = [c.split()[0] for c in RECORD.split(", ")]
                 yield pd.DataFrame(rows, columns=names, dtype=object).astype({"page_id": "Int64", "payload_bytes": "Int64"})
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a file is a row
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInPandas(run, RECORD)
 
