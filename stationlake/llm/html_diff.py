@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm._common import global_rank, small_batches
+from stationlake.llm._common import global_rank, portions
 from stationlake.session import materialize
 
 # Elements by what they do to the text.
@@ -46,9 +46,16 @@ DROP = frozenset("nav header footer aside form head dialog menu button select".s
 MAIN = frozenset("article main".split())
 NOISE = re.compile(
     r"(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disqus|footer|gdpr|header|masthead"
-    r"|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|share|sharing"
+    r"|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|replies|respond"
+    r"|related(?![-_](?!articles?|content|items|links?|news|pages|posts?|stories|topics))|share|sharing"
     r"|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widgets?)(?![a-z])"
 )
+# Noise that no wrapper of the page is: an article in it is a comment, a teaser or an advert.
+NEVER_MAIN = frozenset("aside nav footer dialog menu".split())
+NEVER_MAIN_WORD = re.compile(r"(?<![a-z])(advert\w*|comments?|disqus|promo\w*|related|replies|respond|sponsor\w*)(?![a-z])")
+NEVER_MAIN_ROLES = frozenset("complementary contentinfo navigation dialog".split())
+# Classes of articles that are no main part themselves.
+NO_ARTICLE = re.compile(r"(?:ads?|advert\w*|comment|promo\w*|related|reply|sponsor\w*|teaser)(?:[-_].*)?")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 ATTR = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
@@ -56,24 +63,41 @@ ATTR = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I
 MAIN_LINE, OPEN_LINE, DROP_LINE = 2, 1, 0
 
 
+def _values(attrs: str) -> list[tuple[str, str]]:
+    return [(name.lower(), value.strip("\"'").lower()) for name, value in ATTR.findall(attrs)]
+
+
 def _is_noise(tag: str, attrs: str, inside: bool) -> bool:
     # An article's own header (title, by-line) is part of it.
     if tag in DROP and not (tag == "header" and inside):
         return True
-    for name, value in ATTR.findall(attrs):
-        value = value.strip("\"'").lower()
-        if (name.lower() == "role" and value in ROLES) or (name.lower() != "role" and tag not in MAIN | {"body", "html"} and NOISE.search(value)):
+    for name, value in _values(attrs):
+        if name == "role":
+            if value in ROLES:
+                return True
+        elif tag == "article":
+            if name == "class" and any(NO_ARTICLE.fullmatch(c) for c in value.split()):
+                return True
+        elif tag not in ("main", "body", "html") and NOISE.search(value):
             return True
     return False
 
 
+def _holds_no_main(tag: str, attrs: str) -> bool:
+    """Whether what this noise holds is never the main part (a form or an odd wrapper may hold the page)."""
+    return tag in NEVER_MAIN or any(
+        value in NEVER_MAIN_ROLES if name == "role" else NEVER_MAIN_WORD.search(value) for name, value in _values(attrs)
+    )
+
+
 def page_lines(page: str | None) -> list[tuple[int, str]]:
     """(place, text) of every line: in the main part, in boilerplate, or open."""
     page = page or ""
     out: list[tuple[int, str]] = []
     text: list[str] = []
-    stack: list[tuple[str, int, int]] = []  # element, depth in noise, depth in main
-    noise = main = 0
+    stack: list[tuple[str, int, int, int]] = []  # element, depths in noise, in main and in noise that never holds it
+    noise = main = never = 0
+    ended = False  # a main part has ended
 
     def flush() -> None:
         line = " ".join(html.unescape("".join(text)).split())
@@ -95,7 +119,8 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    _, noise, main = stack[k]
+                    ended = ended or (main > 0 and not noise and not stack[k][2])
+                    _, noise, main, never = stack[k]
                     del stack[k:]
                     break
                 if stack[k][0] in MAIN and tag not in ("body", "html"):
@@ -104,16 +129,20 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
         elif tag == "body":  # what came before is over, closed or not
-            stack, noise, main = [(tag, 0, 0)], int(_is_noise(tag, m[3], False)), 0
+            stack, noise, main, never = [(tag, 0, 0, 0)], int(_is_noise(tag, m[3], False)), 0, 0
         elif tag not in VOID and not m[3].endswith("/"):
             if tag == "p":  # a paragraph ends where the next one starts
                 while stack and stack[-1][0] == "p":
-                    _, noise, main = stack.pop()
-            stack.append((tag, noise, main))
-            if tag in MAIN and not main:  # what lies around the main part is not noise in it
+                    _, noise, main, never = stack.pop()
+            stack.append((tag, noise, main, never))
+            own = _is_noise(tag, m[3], main > 0)
+            # What lies around the main part is not noise in it; an article in a comment list, a
+            # sidebar or the like, or in noise that follows the main part, is none.
+            if tag in MAIN and not main and not own and not never and not (noise and ended):
                 noise = 0
-            noise += _is_noise(tag, m[3], main > 0)
-            main += tag in MAIN
+            noise += own
+            never += own and tag not in MAIN and _holds_no_main(tag, m[3])
+            main += tag in MAIN and not own
     tail = page[at:]
     cut = tail.find("<")
     # A tag that the page breaks off in is markup, not text.
@@ -122,28 +151,47 @@ def page_lines(page: str | None) -> list[tuple[int, str]]:
     return out
 
 
+def _suffix_row(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``x`` with every suffix of ``y``."""
+    row = np.zeros(len(y) + 1, np.int32)
+    for v in x[::-1]:
+        # By prefix maxima from the right: equal heads extend the diagonal.
+        best = np.maximum(row[:-1], np.where(y == v, row[1:] + 1, 0))
+        row[:-1] = np.maximum.accumulate(best[::-1])[::-1]
+    return row
+
+
+def _common(x: np.ndarray, y: np.ndarray, at: int, out: np.ndarray) -> None:
+    """Mark in ``out`` (from ``at`` on) the elements of ``x`` in a longest common
+    subsequence with ``y``. Equal ends align; the rest is halved (in ``x``, with
+    the cut in ``y`` that keeps the length), so memory is one row."""
+    while len(x) and len(y) and x[0] == y[0]:
+        out[at] = True
+        x, y, at = x[1:], y[1:], at + 1
+    while len(x) and len(y) and x[-1] == y[-1]:
+        out[at + len(x) - 1] = True
+        x, y = x[:-1], y[:-1]
+    if not len(x) or not len(y):
+        return
+    if len(x) == 1:
+        out[at] = bool((y == x[0]).any())
+        return
+    half = len(x) // 2
+    head = _suffix_row(x[:half][::-1], y[::-1])[::-1]
+    cut = int(np.argmax(head + _suffix_row(x[half:], y)))
+    _common(x[:half], y[:cut], at, out)
+    _common(x[half:], y[cut:], at + half, out)
+
+
 def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which elements of ``a`` a longest common subsequence with ``b`` has."""
     shared = np.zeros(len(a), bool)
-    # Lines that only one page has are in no alignment; equal ends align.
+    # Lines that only one page has are in no alignment.
     ia, jb = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
-    x, y = a[ia], b[jb]
-    if not len(x):
-        return shared
-    table = np.zeros((len(x) + 1, len(y) + 1), np.int32)
-    for i in range(len(x) - 1, -1, -1):
-        # Row i by prefix maxima from the right: equal heads extend the diagonal.
-        best = np.maximum(table[i + 1, :-1], np.where(y == x[i], table[i + 1, 1:] + 1, 0))
-        table[i, :-1] = np.maximum.accumulate(best[::-1])[::-1]
-    i = j = 0
-    while i < len(x) and j < len(y):
-        if x[i] == y[j]:
-            shared[ia[i]] = True
-            i, j = i + 1, j + 1
-        elif table[i + 1, j] >= table[i, j + 1]:
-            i += 1
-        else:
-            j += 1
+    if len(ia):
+        found = np.zeros(len(ia), bool)
+        _common(a[ia], b[jb], 0, found)
+        shared[ia] = found
     return shared
 
 
@@ -156,13 +204,12 @@ def line_hashes(pages: DataFrame) -> DataFrame:
     """key, host, path, places, hashes: the lines of every page as a byte and eight bytes each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (part.copy() for batch in batches for part in portions(batch, 128)):
             cut = [page_lines(x) for x in b.pop("html")]
             b["places"] = [bytes(p for p, _ in c) for c in cut]
             b["hashes"] = [np.array([xxhash.xxh64_intdigest(t) for _, t in c], np.uint64).tobytes() for c in cut]
             yield b
 
-    small_batches(pages.sparkSession, 128)
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(url, r"^[^/?#]*", 0))
     path = F.regexp_extract(url, r"^[^/?#]*([^?#]*)", 1)
@@ -215,7 +262,7 @@ def extract(pages: DataFrame) -> DataFrame:
     joined = rows.join(gone, "key", "left").select("page_id", "url", "html", "gone")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (part for batch in batches for part in portions(batch, 128)):
             texts = []
             for page, gone in zip(b["html"], b["gone"]):
                 shared = frozenset(gone if gone is not None else ())
@@ -225,6 +272,5 @@ def extract(pages: DataFrame) -> DataFrame:
             out["text"], out["n_chars"] = texts, [len(t) for t in texts]
             yield out
 
-    small_batches(pages.sparkSession, 128)
     out = joined.mapInPandas(run, "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast("long"))
