@@ -26,10 +26,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated three-line windows go everywhere but at their first place; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    length = F.char_length("text").cast("long")
-    chars = F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else length
-    return out.withColumn("n_chars", chars).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # What dedup_lines adds must not replace a column of docs.
+    others = [c for c in docs.columns if c != "text"]
+    out = line_dedup.dedup_lines(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("doc")))
+    values = {c: F.col("doc").getField(c) for c in others} | {"text": F.col("text")}
+    if "n_chars" in values:
+        values["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(values["n_chars"])
+    return out.select(*[values[c].alias(c) for c in docs.columns])
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm._common import small_batches
+from stationlake.llm._common import portions
 
 BUCKETS = 1 << 14
 DIMS = 32
@@ -90,7 +90,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         codes, (place, sign) = _Codes(), index_vectors()
         total = np.zeros((BUCKETS, DIMS))
         gap = np.full(2 * NEAR, _PAD)
-        for b in batches:
+        for b in (part for batch in batches for part in portions(batch)):
             parts = [x for t in b["text"] for x in (tokens(t, codes), gap)]
             flat = np.concatenate([gap, *parts]) if parts else gap
             real = np.flatnonzero(flat != _PAD)
@@ -102,7 +102,6 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         used = np.flatnonzero(np.abs(total).sum(1))
         yield pd.DataFrame({"bucket": used, **{f"d{j}": total[used, j] for j in range(DIMS)}})
 
-    small_batches(docs.sparkSession)
     dims = [f"d{j}" for j in range(DIMS)]
     parts = docs.select("text").mapInPandas(run, "bucket long, " + ", ".join(f"{d} double" for d in dims))
     rows = parts.groupBy("bucket").agg(*[F.sum(d).alias(d) for d in dims]).collect()  # BUCKETS rows at most
@@ -188,16 +187,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Network]:
             yield pd.DataFrame({"y": b["y"], "h": b["h"], "x": list(pooled(b["text"], shared.value, codes))})
 
     rows = docs.join(F.broadcast(known), docs["doc_id"] == known["id"]).select("text", "y", "h")
-    got = rows.mapInPandas(run, "y double, h long, x array<float>").toPandas()  # a multiple of MAX_LABELLED only if ids repeat
-    got = got.sort_values("h", kind="stable")
+    # A label speaks for one text: of a doc_id that repeats, that with the smallest hash is the
+    # sample's (max_by of the negated hash combines map-side), so at most MAX_LABELLED rows arrive.
+    rows = rows.groupBy("h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    got = rows.mapInPandas(run, "y double, h long, x array<float>").toPandas()
+    got = got.sort_values(["h", "y"], kind="stable")
     x = np.stack(got["x"].to_list()).astype(float) if len(got) else np.zeros((0, DIMS))
     return vectors, Network(x, got["y"].to_numpy(), (got["h"].to_numpy() // 7) % 5 == 0)
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on);
-    columns of these names are replaced."""
-    docs = docs.drop("score", "predicted")
+def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc`` (struct of the columns of ``docs``) and ``score``."""
     vectors, network = fit(docs.select("doc_id", "text"), labels)
     shared = docs.sparkSession.sparkContext.broadcast((vectors, vars(network)))
 
@@ -207,11 +207,18 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for part in texts:
             yield pd.Series(net.scores(pooled(part, vecs, codes)))
 
-    scored = docs.withColumn("score", F.pandas_udf(run, "double")(F.col("text")))
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(doc.alias("doc"), F.pandas_udf(run, "double")(F.col("text")).alias("score"))
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on);
+    columns of these names are replaced."""
+    cols = [F.col("doc").getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")]
+    return _scored(docs, labels).select(*cols, "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, columns unchanged."""
-    scored = score(docs, labels)
-    return scored.where(F.col("predicted") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = _scored(docs, labels).where(F.col("score") >= THRESHOLD)
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
