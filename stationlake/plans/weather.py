@@ -23,6 +23,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import (
     cast_int_rounded,
@@ -72,7 +73,7 @@ from ..schemas import (
     STAGING_COLUMNS,
 )
 from ..session import materialize, materialize_counted
-from ..sinks import create_view, publish_version, write_csv, write_partitioned
+from ..sinks import create_view, drop_partitions, partition_values, publish_version, write_csv, write_partitioned
 from ..sources import (
     extract_links,
     member_lines,
@@ -600,17 +601,19 @@ def refresh_months(
     is delivered again replaces its own rows. Rows without a valid day have no
     month and are in no fact; they are left out.
     """
-    raw, target = f"{out}/raw_measurements", f"{out}/fact_measurements"
+    raw, target, summary = (f"{out}/{t}" for t in ("raw_measurements", "fact_measurements", "month_summary"))
     month = year_month(F.col("mess_datum").cast("timestamp_ntz"))
     late = rows.filter(F.col("mess_datum").isNotNull()).withColumn("month", month)
-    late = materialize(late.withColumn("batch", F.lit(batch).cast("long")), "late-rows")
-    months = sorted(r["month"] for r in late.select("month").distinct().collect())  # a row per month
+    late = materialize(late, "late-rows")
+    own = f"{raw}/batch={batch}"
+    # A row per month; those the batch touched before are recomputed too.
+    months = {r["month"] for r in late.select("month").distinct().collect()} | set(partition_values(spark, own, "month"))
     if not months:
         return []
     # Raw rows first: what fails after this is made up for by the batch's next delivery.
-    write_partitioned(late, raw, ["month", "batch"], cluster_by=["mess_datum", "stations_id"])
-    schema = late.schema
-    stored = spark.read.schema(schema).parquet(raw).filter(F.col("month").isin(months))
+    write_partitioned(late, own, ["month"], cluster_by=["mess_datum", "stations_id"], full_refresh=True)
+    schema = T.StructType([*late.schema.fields, T.StructField("batch", T.LongType())])
+    stored = spark.read.schema(schema).parquet(raw).filter(F.col("month").isin(sorted(months)))
     stg = stg_measurements(stored.drop("month", "batch").repartitionByRange("mess_datum", "stations_id"))
     built = _join_histories(stg, geo, op, **join_options)
     write_partitioned(
@@ -621,9 +624,13 @@ def refresh_months(
         range_partitioned=built.ordered,
         bloom={"station_id": STATIONS},
     )
-    fresh = spark.read.schema(built.fact.schema).parquet(target).filter(F.col("month").isin(months))
-    write_partitioned(month_summary(fresh), f"{out}/month_summary", ["month"])
-    return months
+    fresh = spark.read.schema(built.fact.schema).parquet(target).filter(F.col("month").isin(sorted(months)))
+    write_partitioned(month_summary(fresh), summary, ["month"])
+    # A month whose last rows went with the batch's earlier delivery is replaced by nothing.
+    left = {r["month"] for r in stored.select("month").distinct().collect()}
+    for path in (target, summary):
+        drop_partitions(spark, path, "month", sorted(months - left))
+    return sorted(months)
 
 
 # ---------------------------------------------------------------------------

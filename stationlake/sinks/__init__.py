@@ -2,10 +2,12 @@
 
 from .writers import (
     create_view,
+    drop_partitions,
+    partition_values,
     publish_table,
     publish_version,
     write_csv,
     write_partitioned,
 )
 
-__all__ = ["create_view", "publish_table", "publish_version", "write_csv", "write_partitioned"]
+__all__ = ["create_view", "drop_partitions", "partition_values", "publish_table", "publish_version", "write_csv", "write_partitioned"]

@@ -98,6 +98,28 @@ def write_partitioned(
     return path
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the partition folders ``<path>/<column>=...``, from the listing alone."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{column}="))
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Delete the partition folders of ``values``: dynamic overwrite replaces
+    partitions that have new rows, and leaves those that have none any more."""
+    for value in values:
+        folder, files = _folder(spark, f"{path}/{column}={value}")
+        files.delete(folder, True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """CSV with header (no row-index column)."""
     df.write.mode(mode).option("header", "true").csv(path)

@@ -66,6 +66,12 @@ def test_a_late_row_changes_one_month(spark, tmp_path):
     assert weather.refresh_months(spark, raw(spark, []), out, *dims, batch=2) == []
     march = {(r.station_id, r.dt_measurement_utc.day): r.max_wind_gust_mps_qn3 for r in spark.read.parquet(f"{out}/fact_measurements").where("month = '2023-03'").collect()}
     assert march == {("a", 1): 3.0, ("a", 15): 3.0, ("b", 1): 3.0, ("b", 15): 3.0, ("c", 16): 6.0}
+    # One that moves to another month leaves nothing behind; a month without rows goes.
+    assert weather.refresh_months(spark, raw(spark, [("d", "2024-07-01", 7.0, 1)]), out, *dims, batch=1) == ["2023-03", "2024-07"]
+    assert weather.refresh_months(spark, raw(spark, []), out, *dims, batch=1) == ["2024-07"]
+    fact = spark.read.parquet(f"{out}/fact_measurements")
+    assert fact.count() == 24 and fact.where("station_id in ('c', 'd')").count() == 0
+    assert sorted(r.month for r in spark.read.parquet(f"{out}/month_summary").collect()) == [f"2023-{m:02d}" for m in range(1, 7)]
 
 
 def test_ledger_lists_nothing_twice(spark, tmp_path):
