@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stationlake.llm import bpe, decontaminate, line_dedup, ngram_join, quality
 from stationlake.llm._common import table
 from stationlake.llm.queries import word_vocabulary
-from stationlake.session import materialize
+from stationlake.session import configure, materialize
 
 #: Near copies: shingles of five words, Jaccard similarity of 0.8 or more.
 SHINGLE, PERCENT = 5, 80
@@ -21,6 +21,7 @@ SHINGLE, PERCENT = 5, 80
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network does not reject."""
+    configure(spark)  # the library's session settings, for stages that are called one by one
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
