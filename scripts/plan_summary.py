@@ -1,7 +1,7 @@
 """Markdown table of the physical plan shape of every registered query:
 shuffles by kind, broadcasts, Python stages, pushed filters.
 
-Usage: python scripts/plan_summary.py [sf_dir]
+Usage: python scripts/plan_summary.py [sf_dir [name ...]]
 """
 
 from __future__ import annotations
@@ -31,13 +31,14 @@ def main() -> None:
     spark = build_session(extra={"spark.ui.showConsoleProgress": "false"})
     print("| query | hash | range | round-robin | single | broadcast | python | pushed filters |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in QUERIES.items():
+    only = set(sys.argv[2:])
+    for name, fn in ((n, f) for n, f in QUERIES.items() if not only or n in only):
         p = plan_text(fn(spark, sf_dir))
         count = lambda pat: len(re.findall(pat, p))
         print(
             f"| {name} | {count(r'Exchange hashpartitioning')} | {count(r'Exchange rangepartitioning')} "
             f"| {count(r'Exchange RoundRobinPartitioning')} | {count(r'Exchange SinglePartition')} "
-            f"| {count(r'BroadcastExchange')} | {count(r'MapInPandas|ArrowEvalPython|BatchEvalPython')} "
+            f"| {count(r'BroadcastExchange')} | {count(r'MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython')} "
             f"| {'yes' if re.search(r'PushedFilters: \[[^\]]', p) else 'no'} |"
         )
     spark.stop()

@@ -21,6 +21,8 @@ SQL_CONF = {
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
+    # Long texts go to Python workers in small batches (Spark bounds a batch's bytes at 64 MiB too).
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Re-running a load replaces only the partitions it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
