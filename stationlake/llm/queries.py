@@ -335,8 +335,8 @@ ORACLE: dict[str, str] = {
 #: Queries that SQL cannot express: the tests (in tests/llm) that compare them with brute force.
 BRUTE_FORCE: dict[str, str] = {
     "op2_pii": "test_free.py::test_pii_base_spans",
-    "op3_sharding": "test_native.py::test_sharding_law",
-    "op4_quality": "test_free.py::test_quality_held_out",
+    "op3_sharding": "test_native.py::test_sharding_brute_force",
+    "op4_quality": "test_mended.py::test_word_vectors_brute_force",
     "op5_page_diff": "test_free.py::test_page_text_of_articles",
     "op7_scaled_sketch": "test_native.py::test_fingerprints_brute_force",
     "op9_ngram_join": "test_free.py::test_join_brute_force",

@@ -1,10 +1,13 @@
 """Line dedup, sharding, sketches and decontamination against brute force and odd input."""
 
 import hashlib
+import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from stationlake.llm import decontaminate, fingerprint, line_dedup, queries, sharding
@@ -71,6 +74,41 @@ def test_sharding_weights(spark):
     assert abs(n[1] / 20_000 - 0.75) < 0.02
 
 
+def test_sharding_brute_force(spark):
+    """Every record's shard by its scores, computed one by one, and the slots by sorting; clashing columns."""
+    weights = [1.0, 2.5, 0.5, 1.0]
+    docs = [(i * 7919 % 1000, f"t{i % 9}" if i % 5 else None) for i in range(600)] + [(None, "x"), (None, None), (5, "same"), (5, "same")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    for c in ("shard", "slot", "rank", "size", "_pid", "_idx", "law", "neg", "score"):
+        df = df.withColumn(c, F.lit("1"))
+
+    def shard(key, weights):
+        scores = []
+        for s, w in enumerate(weights):
+            seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+            u = ((xxhash.xxh64_intdigest(struct.pack("<i", s), seed) >> 11) + 0.5) / (1 << 53)
+            scores.append((-w / math.log(u), -s))
+        return -max(scores)[1]
+
+    want = defaultdict(list)
+    for i, t in docs:
+        raw = (t or "").encode()
+        want[shard(i, weights)].append((i is not None, i or 0, zlib.crc32(raw), len(raw) + 1, shard(i, [*weights, 1.0])))
+    got = defaultdict(list)
+    for r in sharding.assign_shards(df, 4, weights).orderBy("shard", "slot").collect():
+        assert r.slot == len(got[r.shard])
+        got[r.shard].append((r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"], r.grown_shard))
+    assert got == {s: sorted(rows) for s, rows in want.items()}
+
+
+def test_fingerprints_with_clashing_columns(make):
+    docs = make([(1, "a b c d e f g"), (2, "a b c d e f h"), (3, None)])
+    plain = sorted(map(tuple, fingerprint.edited_fingerprints(docs).collect()))
+    for c in ("sketch", "head", "th", "rank", "prev_id", "edited", "n", "_sketch_w"):
+        docs = docs.withColumn(c, F.lit("1"))
+    assert sorted(map(tuple, fingerprint.edited_fingerprints(docs).collect())) == plain
+
+
 def edited(texts):
     out = []
     for i, t in enumerate(texts):
