@@ -102,3 +102,38 @@ def test_types_and_clashing_names(spark):
     assert sorted((r.t, r.n) for r in sweep_join(ints, spans, "k", "t", "a", "b").collect()) == [(5, "u"), (9, None)]
     with pytest.raises(TypeError):
         sweep_join(fact, dim.withColumn("s", F.lit("2024")), "k", "ts", "s", "e")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_combined_rows_equal_grouped_pairs(fine, seed):
+    r = random.Random(seed)
+    facts = [(r.choice(["hot", "hot", "a", None]), at(r.choice([None, *range(300)])), i) for i in range(700)]
+    facts += facts[:30]
+    dims = []
+    for _ in range(200):
+        s = r.choice([None, *range(300)])
+        e = None if r.random() < 0.1 else (s or 0) + r.randrange(-5, 150)
+        dims.append((r.choice(["hot", "a", None]), at(s), at(e), None if r.random() < 0.2 else r.randrange(-50, 50)))
+    fact = fine.createDataFrame(facts, FACT).withColumn("row", F.monotonically_increasing_id()).repartition(3)
+    dim = fine.createDataFrame(dims, DIM.replace("name string", "v long"))
+    fact = fact.localCheckpoint()
+    aggs = {"n": ("count", "v"), "total": ("sum", "v"), "low": ("min", "v")}
+    for how in ("left", "inner"):
+        pairs = sweep_join(fact, dim, "k", "ts", "s", "e", how)
+        want = pairs.groupBy(*fact.columns).agg(F.count("v").alias("n"), F.sum("v").alias("total"), F.min("v").alias("low"))
+        got = sweep_join(fact, dim, "k", "ts", "s", "e", how, combine=aggs)
+        assert got.columns == want.columns and got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_combine_does_not_build_pairs(fine):
+    """60,000 facts that all meet 60,000 open intervals: 3.6e9 pairs, 60,000 rows."""
+    n = 60_000
+    facts = fine.range(n).select(F.lit("a").alias("k"), F.lit(T0 + dt.timedelta(days=1)).cast("timestamp_ntz").alias("ts"), "id")
+    dims = fine.range(n).select(
+        F.lit("a").alias("k"), F.lit(T0).cast("timestamp_ntz").alias("s"), F.lit(None).cast("timestamp_ntz").alias("e"), F.col("id").alias("v")
+    )
+    out = sweep_join(facts, dims, "k", "ts", "s", "e", combine={"n": ("count", "v"), "low": ("min", "v"), "total": ("sum", "v")})
+    assert out.agg(F.count("*"), F.min("n"), F.max("n"), F.max("low"), F.min("total")).first() == (n, n, n, 0, n * (n - 1) // 2)
+    with pytest.raises(TypeError):
+        sweep_join(facts, dims.withColumn("v", F.lit("x")), "k", "ts", "s", "e", combine={"n": ("min", "v")})
