@@ -297,3 +297,23 @@ def test_listing_links_and_fetch_selection(spark):
     stored = spark.createDataFrame([("DESCRIPTION.pdf",)], "href string")
     todo = sorted(r.href for r in weather.links_to_fetch(links.select("href"), stored).collect())
     assert todo == ["tageswerte_KL_00044_akt.zip", "tageswerte_KL_00044_hist.zip"]
+
+
+def test_independent_jobs_at_once():
+    """Results in order, all jobs under way together, an error raised."""
+    import threading
+
+    from stationlake.session import at_once
+
+    both = threading.Barrier(2, timeout=20)
+    assert at_once(lambda: (both.wait(), 1)[1], lambda: (both.wait(), 2)[1]) == [1, 2]
+    with pytest.raises(ZeroDivisionError):
+        at_once(lambda: 1 / 0, lambda: 3)
+
+
+def test_long_generated_methods_are_not_interpreted(spark):
+    """The JVM compiles no method over 8,000 bytes: stages beyond that run operator by operator."""
+    from stationlake.session import configure
+
+    configure(spark)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
