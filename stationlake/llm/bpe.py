@@ -278,18 +278,39 @@ class Encoder(dict):
             ids = self.merged[word] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
-    def encode(self, text: str) -> bytes:
-        out = []
+    def pieces(self, text: str) -> list[bytes]:
+        """Id bytes of each run and special token, in order."""
+        out: list[bytes] = []
         for runs, special in self.words(text):
-            out.append(b"".join(map(self.__getitem__, runs)))
+            out += map(self.__getitem__, runs)
             if special:
                 out.append(self.special[special])
-        return b"".join(out)
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(self.pieces(text))
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.vocab.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+class Decoder(dict):
+    """Id bytes of a piece to its text, remembered: tokens are joined by a blank
+    and nothing else, so a text is its pieces' texts joined likewise."""
+
+    def __init__(self, coder: Encoder):
+        self.decode = coder.decode
+
+    def __missing__(self, ids: bytes) -> str:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        self[ids] = text = self.decode(ids)
+        return text
+
+    def text(self, pieces: Iterable[bytes]) -> str:
+        return " ".join(map(self.__getitem__, filter(None, pieces)))  # a run without ids has no tokens
+
+
 def load_vocabulary(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         return json.load(f)
@@ -357,8 +378,9 @@ def encode(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, ids: boo
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = Encoder(Vocabulary(shared.value), Lexicon.mapped(block.value))
+        decoder = Decoder(coder)
         for part in texts:
-            yield pd.DataFrame(_digests(coder, part, ids), columns=list(added))
+            yield pd.DataFrame(_digests(coder, decoder, part, ids), columns=list(added))
 
     done = F.pandas_udf(run, ", ".join(f"{c} {t}" for c, t in added.items()))
     out = docs.select(F.struct("*").alias("d"), done("text").alias("e"))
@@ -367,10 +389,11 @@ def encode(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, ids: boo
     )
 
 
-def _digests(coder: Encoder, texts: Iterable[str | None], ids: bool) -> list[tuple]:
+def _digests(coder: Encoder, decoder: Decoder, texts: Iterable[str | None], ids: bool) -> list[tuple]:
     rows = []
     for text in texts:
-        raw = coder.encode(text or "")
-        row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(coder.decode(raw).encode("utf-8")).hexdigest())
+        pieces = coder.pieces(text or "")
+        raw = b"".join(pieces)
+        row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoder.text(pieces).encode("utf-8")).hexdigest())
         rows.append((np.frombuffer(raw, "<i4"), *row) if ids else row)
     return rows
