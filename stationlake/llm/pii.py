@@ -10,8 +10,7 @@ fitted here to weak labels that rules give to clear cases (a credential word
 before a mixed token; a number, a piece of an accepted span, a word with a
 year; for numbers and addresses, the accepted spans, and what has a form that
 only one sort has). Clear cases of the four fixed kinds need no score, and the score from which a span is taken is set on rows the fit did not
-see. Both sorts of clear cases are sampled by themselves, and weighted by their
-number in the table for the threshold. Where a table has fewer than two clear
+see. Every clear case of the table is in the fit or in the threshold. Where a table has fewer than two clear
 cases of a sort, the trees do not run and its clear credentials count.
 
 Built-in functions and the DataFrame-based ML library only. NULL and empty
@@ -67,8 +66,11 @@ MAY = {"email": "@", "keyed": "[=:]", "spelt": r"(?i)@|\sat\s|[\[({<]\s?at\s?[\]
 KINDS = ["email", "ip", "card", "phone", "secret"]
 BEFORE, AFTER = 24, 2
 
-#: Clear cases that are fitted and calibrated on, at most.
+#: Up to so many clear cases of a label are dealt to the folds by counting, more by hash. All are
+#: fitted; where there are more, a label's weight is as if either had half of so many.
 MAX_LABELLED = 20_000
+#: Clear cases to a task of the fit.
+FIT_ROWS = 100_000
 #: Share of right spans, among the clear cases at or above the threshold.
 PRECISION = 0.95
 
@@ -229,21 +231,25 @@ def _score(spans: DataFrame, kind: str) -> DataFrame:
         return ready.where(F.col("label") == 1.0).select(*cols)
     if not found:
         return spans.where(F.lit(False))
-    # Either label has half of the sample, and what the other one leaves.
-    take = {y: min(found[y], max(MAX_LABELLED // 2, MAX_LABELLED - found[1.0 - y])) for y in (0.0, 1.0)}
+    # All clear cases: three of four of a label are fitted on, the fourth calibrates.
     rows = clear.select("x", "label", F.xxhash64("doc_id", "start", "value").alias("h"))
-    lowest = [rows.where(F.col("label") == y).orderBy("h").limit(n) for y, n in take.items()]
-    # Every fourth of a label calibrates, so two rows of it are in both folds.
+    rows = materialize(rows, "clear-spans")
+    few = F.col("label").isin([y for y in (0.0, 1.0) if found[y] <= MAX_LABELLED])
+    # Counted where a label is rare, so that two rows of it are in both folds.
     nth = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    sample = materialize(lowest[0].union(lowest[1]).withColumn("nth", nth), "clear-spans")
+    dealt = rows.where(few).withColumn("nth", nth).unionByName(rows.where(~few).withColumn("nth", F.pmod("h", F.lit(4)).cast("int")))
+    dealt = materialize(dealt, "clear-folds")
     fold = F.col("nth") % 4 == 1
-    weight = F.when(F.col("label") == 1.0, found[1.0] / take[1.0]).otherwise(found[0.0] / take[0.0])
-    fit = sample.where(~fold).coalesce(2)  # at most MAX_LABELLED rows
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxDepth=3, maxIter=8, maxBins=32, seed=7, cacheNodeIds=False).fit(fit)
+    most = {y: min(found[y], max(MAX_LABELLED // 2, MAX_LABELLED - found[1.0 - y])) for y in (0.0, 1.0)}
+    weight = F.when(F.col("label") == 1.0, most[1.0] / found[1.0]).otherwise(most[0.0] / found[0.0])
+    # As many tasks as the rows need; the fit goes over them many times.
+    fit = dealt.where(~fold).withColumn("w", weight).coalesce(2 + sum(found.values()) // FIT_ROWS)
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="w", maxDepth=3, maxIter=8, maxBins=32, seed=7, cacheNodeIds=False)
+    model = trees.fit(fit)
     p = vector_to_array("probability")[1]
-    graded = model.transform(sample.where(fold)).select(F.floor(p * 100).cast("int").alias("bin"), "label", weight.alias("w"))
-    # Each label counts as often as in the table. 101 rows at most.
-    bins = graded.groupBy("bin").agg(F.sum(F.col("label") * F.col("w")).alias("yes"), F.sum("w").alias("n")).collect()
+    graded = model.transform(dealt.where(fold)).select(F.floor(p * 100).cast("int").alias("bin"), "label")
+    # 101 rows at most.
+    bins = graded.groupBy("bin").agg(F.sum("label").alias("yes"), F.count(F.lit(1)).alias("n")).collect()
     threshold, yes, n = 1.01, 0.0, 0.0
     for b in sorted(bins, key=lambda r: -r["bin"]):
         yes, n = yes + b["yes"], n + b["n"]

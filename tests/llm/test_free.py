@@ -86,6 +86,17 @@ def test_bpe_is_the_library(spark, sf):
     assert bpe.encode(docs.limit(0), queries.word_vocabulary()).count() == 0
 
 
+def test_pieces_decode_as_the_whole(spark, monkeypatch):
+    """Texts decoded run by run, with a small memory, are the decoded ids."""
+    vocab = bpe.Vocabulary(bpe.load_vocabulary(queries.word_vocabulary()))
+    coder = bpe.Encoder(vocab, bpe.Lexicon(bpe.Lexicon.build({w: vocab.merge(w) for w in ("the", "cat")})))
+    monkeypatch.setattr(bpe, "WORD_CACHE", 3)
+    decoder = bpe.Decoder(coder)
+    for text in ("", "The cat, the cat's hat. <|endoftext|>the é\x1c\x85 \ufeff x", "a b c d e f a b", "<|endoftext|>"):
+        pieces = coder.pieces(text)
+        assert b"".join(pieces) == coder.encode(text) and decoder.text(pieces) == coder.decode(coder.encode(text))
+
+
 def test_lexicon_is_minimal_and_exact():
     words = {a + b + c: [i, j, k] for i, a in enumerate(("un", "re", "")) for j, b in enumerate(("do", "tie", "é")) for k, c in enumerate(("", "s", "ing"))}
     lex = bpe.Lexicon.mapped(bpe.Lexicon.build(words))
@@ -262,6 +273,22 @@ def test_pii_rare_credentials(spark, monkeypatch):
         assert {i: s for i, s in got.items() if "secret" in s} == {i: f"secret:15:{t.index(' xy')}" for i, t in docs if i >= 1000}
 
 
+def test_pii_fits_all_clear_cases(spark, monkeypatch):
+    """However many clear cases there are, all of them are fitted or calibrate."""
+    monkeypatch.setattr(pii, "MAX_LABELLED", 40)
+    seen, fit = [], pii.GBTClassifier.fit
+
+    def counted(self, data, *args):
+        seen.append({r.label: r["count"] for r in data.groupBy("label").count().collect()})
+        return fit(self, data, *args)
+
+    monkeypatch.setattr(pii.GBTClassifier, "fit", counted)
+    docs = [(i, f"ab cd password=b7db{i:04x}aa5fcc783{i % 7} xy 77{i:07d} é") for i in range(400)]
+    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert found.where(pii.as_string(F.col("spans")).contains("secret:15:")).count() == 400
+    assert seen and seen[-1][1.0] > 500 and seen[-1][0.0] > 250
+
+
 def test_pii_credentials_around_base_spans(spark):
     """A credential that contains an email or a card number is found and redacted whole."""
     docs = [(i, f"ab cd password=b7db{i:04x}aa5fcc783{i % 7} xy user{i}abc1@mail{i}.org 77{i:07d}") for i in range(300)]
