@@ -41,6 +41,8 @@ COUNT_CACHE = 300_000
 WORD_CACHE = 300_000
 #: Up to so many bytes a word is merged by scanning its pairs; longer ones by a heap.
 SCAN_BYTES = 48
+#: Words that are looked up or merged side by side, and characters of the texts whose words are.
+ROWS, PORTION_CHARS = 4096, 1 << 20
 
 
 def byte_chars() -> dict[int, str]:
@@ -75,6 +77,12 @@ class Vocabulary:
         self.made = [self.ids.get(a + b) for a, b in self.ranks]
         if None in self.made or len(self.pairs) < len(self.ranks):
             self.single = None
+        if self.single:  # the same as arrays, for many words at a time
+            self.alone, self.last = (np.array(x, np.int32) for x in self.single)
+            self.result = np.array(self.made, np.int32)
+            at = np.fromiter(self.pairs, np.int64, len(self.pairs))
+            self.pair = np.sort(at)
+            self.rank = np.fromiter(self.pairs.values(), np.int32, len(at))[np.argsort(at)]
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the adjacent pair of lowest rank is merged, leftmost first."""
@@ -115,6 +123,72 @@ class Vocabulary:
                 ranks[i] = get(new << 32 | ids[i + 1], none)
         return ids
 
+    def merge_all(self, words: list[str]) -> list[bytes]:
+        """``merge`` of each word, as little-endian 32-bit integers."""
+        raw = [w.encode("utf-8") for w in words]
+        out: list[bytes] = [b""] * len(raw)
+        short = []
+        for i, r in enumerate(raw):
+            if self.single and len(r) <= SCAN_BYTES:
+                short.append(i)
+            else:
+                out[i] = np.asarray(self.merge(words[i]), "<u4").tobytes()
+        short.sort(key=lambda i: len(raw[i]))  # rows of like length go together
+        for at in range(0, len(short), ROWS):
+            some = short[at : at + ROWS]
+            for i, ids in self._merge_rows([raw[i] for i in some]):
+                out[some[i]] = ids
+        return out
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids; the number of merges for none. -1 is no id."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pair, key)
+        at[at == len(self.pair)] = 0
+        return np.where(self.pair[at] == key, self.rank[at], np.int32(len(self.made)))
+
+    def _merge_rows(self, raw: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """(place, id bytes) of short words, one merge of every word at a time."""
+        ids, size = _padded(raw, np.int32, -1, self.alone)
+        ids[np.arange(len(raw)), size - 1] = self.last[[r[-1] for r in raw]]
+        ranks, place = self._ranks(ids[:, :-1], ids[:, 1:]), np.arange(len(raw))
+        while len(place):
+            at = np.arange(len(place))
+            best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(place), np.int64)
+            low = ranks[at, best] if ranks.shape[1] else np.full(len(place), len(self.made))
+            more = low < len(self.made)
+            if not more.all():
+                over = ~more
+                n = size[over]
+                whole = ids[over][np.arange(ids.shape[1]) < n[:, None]].astype("<u4").tobytes()
+                ends = (np.cumsum(n) * 4).tolist()
+                yield from zip(place[over].tolist(), map(whole.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+                ids, ranks, size, place, best, low = (x[more] for x in (ids, ranks, size, place, best, low))
+                at = np.arange(len(place))
+                if not len(place):
+                    return
+            # The pair becomes one id; the rest of its row moves up.
+            stay = np.ones(ids.shape, bool)
+            stay[at, best + 1] = False
+            ids[at, best] = new = self.result[low]
+            ids = ids[stay].reshape(len(at), -1)
+            size = size - 1
+            stay = np.ones(ranks.shape, bool)
+            stay[at, best] = False
+            ranks = ranks[stay].reshape(len(at), -1)
+            k = np.flatnonzero(best > 0)
+            ranks[k, best[k] - 1] = self._ranks(ids[k, best[k] - 1], new[k])
+            k = np.flatnonzero(best < ranks.shape[1])
+            ranks[k, best[k]] = self._ranks(new[k], ids[k, best[k] + 1])
+
+
+def _padded(raw: list[bytes], kind: type, blank: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of ``values`` by byte for each word, filled up with ``blank``, and the words' lengths."""
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    rows = np.full((len(raw), size.max()), blank, kind)
+    rows[np.arange(rows.shape[1]) < size[:, None]] = values[np.frombuffer(b"".join(raw), np.uint8)]
+    return rows, size
+
 
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 
@@ -174,6 +248,9 @@ class Lexicon:
         self.first, self.ids = view(words + 1), view(ids)
         self.find, self.bytes = block.find, at
         self.root = states - 1
+        # Branches lie by state and byte: as one number each, they are looked up for many words at a time.
+        byte = np.frombuffer(block, np.uint8, branches, at)
+        self.branch = np.repeat(np.arange(states, dtype=np.int64), np.diff(self.start)) << 8 | byte
 
     @staticmethod
     def build(entries: dict[str, list[int]]) -> bytes:
@@ -248,6 +325,37 @@ class Lexicon:
             return None
         return self.ids[self.first[index] : self.first[index + 1]].tobytes()
 
+    def get_all(self, words: list[str]) -> list[bytes | None]:
+        """``get`` of each word."""
+        raw = [w.encode("utf-8") for w in words]
+        order = sorted(range(len(raw)), key=lambda i: len(raw[i]))
+        out: list[bytes | None] = [None] * len(raw)
+        for at in range(0, len(order) if len(self.branch) else 0, ROWS):
+            some = order[at : at + ROWS]
+            for i, index in self._walk([raw[i] for i in some]):
+                out[some[i]] = self.ids[self.first[index] : self.first[index + 1]].tobytes()
+        return out
+
+    def _walk(self, raw: list[bytes]) -> Iterator[tuple[int, int]]:
+        """(place, index) of the words that are here, one byte of every word at a time."""
+        text, size = _padded(raw, np.int64, 0, np.arange(256))
+        place, index = np.arange(len(raw)), np.zeros(len(raw), np.int64)
+        state = np.full(len(raw), self.root, np.int64)
+        final, target, before = map(np.asarray, (self.final, self.target, self.before))
+        for k in range(text.shape[1] + 1):
+            over = size[place] == k
+            found = over & (final[state] != 0)
+            yield from zip(place[found].tolist(), index[found].tolist())
+            place, index, state = place[~over], index[~over], state[~over]
+            if not len(place):
+                return
+            key = state << 8 | text[place, k]
+            at = np.searchsorted(self.branch, key)
+            at[at == len(self.branch)] = 0
+            hit = self.branch[at] == key
+            at, place = at[hit], place[hit]
+            index, state = index[hit] + before[at], target[at].astype(np.int64)
+
 
 class Encoder(dict):
     """Runs without white space to id bytes: remembered (the older half goes
@@ -258,6 +366,7 @@ class Encoder(dict):
         self.special = {t: struct.pack("<I", i) for t, i in vocab.special.items()}
         self.old: dict[str, bytes] = {}
         self.merged: dict[str, bytes] = {}  # words that are not in the lexicon
+        self.tokens = [vocab.tokens.get(i) for i in range(max(vocab.tokens, default=-1) + 1)]
 
     def __missing__(self, run: str) -> bytes:
         ids = self.old.get(run)
@@ -278,10 +387,38 @@ class Encoder(dict):
             ids = self.merged[word] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
+    def learn(self, runs: Iterable[str]) -> None:
+        """Remembers the ids of all these runs; the words of those that are new
+        are looked up side by side, and so are those merged that the lexicon has not."""
+        if len(self) >= WORD_CACHE:
+            self.old = dict(self)
+            self.clear()
+        if len(self.merged) >= WORD_CACHE:
+            self.merged.clear()
+        fresh, get = [], self.old.get
+        for run in [r for r in runs if r not in self]:
+            if (ids := get(run)) is None:
+                fresh.append(run)
+            else:
+                self[run] = ids
+        cut = dict(zip(fresh, map(self.words.plain, fresh)))
+        new = list({w for words in cut.values() for w in words if w not in self.merged})
+        known = dict(zip(new, self.lexicon.get_all(new)))
+        rare = [w for w, ids in known.items() if ids is None]
+        merged = dict(zip(rare, self.vocab.merge_all(rare)))
+        known |= merged
+        self.merged |= merged
+        for run, words in cut.items():
+            self[run] = b"".join([known[w] if w in known else self.merged[w] for w in words])
+
     def pieces(self, text: str) -> list[bytes]:
         """Id bytes of each run and special token, in order."""
+        return self.joined(self.words(text))
+
+    def joined(self, cut: Iterable[tuple[list[str], str | None]]) -> list[bytes]:
+        """``pieces`` of a text that is cut into runs already."""
         out: list[bytes] = []
-        for runs, special in self.words(text):
+        for runs, special in cut:
             out += map(self.__getitem__, runs)
             if special:
                 out.append(self.special[special])
@@ -291,24 +428,18 @@ class Encoder(dict):
         return b"".join(self.pieces(text))
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.vocab.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-class Decoder(dict):
-    """Id bytes of a piece to its text, remembered: tokens are joined by a blank
-    and nothing else, so a text is its pieces' texts joined likewise."""
+class Decoder:
+    """Pieces to text. Tokens are joined by a blank and nothing else, and a list
+    of them by id is read faster than texts of pieces are found again."""
 
     def __init__(self, coder: Encoder):
-        self.decode = coder.decode
-
-    def __missing__(self, ids: bytes) -> str:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        self[ids] = text = self.decode(ids)
-        return text
+        self.whole = coder.decode
 
     def text(self, pieces: Iterable[bytes]) -> str:
-        return " ".join(map(self.__getitem__, filter(None, pieces)))  # a run without ids has no tokens
+        return self.whole(b"".join(pieces))
 
 
 def load_vocabulary(path: str) -> dict:
@@ -389,11 +520,25 @@ def encode(docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, ids: boo
     )
 
 
+def _portions(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """The texts in parts of about so many characters; a long text is one by itself."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text or "")
+        size += len(some[-1])
+        if size >= PORTION_CHARS:
+            yield some
+            some, size = [], 0
+    yield some
+
+
 def _digests(coder: Encoder, decoder: Decoder, texts: Iterable[str | None], ids: bool) -> list[tuple]:
     rows = []
-    for text in texts:
-        pieces = coder.pieces(text or "")
-        raw = b"".join(pieces)
-        row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoder.text(pieces).encode("utf-8")).hexdigest())
-        rows.append((np.frombuffer(raw, "<i4"), *row) if ids else row)
+    for part in _portions(texts):
+        cut = [list(coder.words(text)) for text in part]
+        coder.learn(set().union(*[runs for text in cut for runs, _ in text]))
+        for text in cut:
+            raw = b"".join(coder.joined(text))
+            row = (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoder.whole(raw).encode("utf-8")).hexdigest())
+            rows.append((np.frombuffer(raw, "<i4"), *row) if ids else row)
     return rows

@@ -247,6 +247,27 @@ def test_frequent_words_stay_under_the_bound(spark):
         assert set(words) == {f"w{i}" for i in range(30 - len(words), 30)}
 
 
+def test_words_merged_side_by_side(monkeypatch):
+    """Many words at a time get the ids that each gets by itself, through full memories too."""
+    vocab = bpe.Vocabulary(bpe.load_vocabulary(queries.word_vocabulary()))
+    r = np.random.default_rng(3)
+    words = ["".join(r.choice(list("aetnhis'é\u4e2d0"), int(r.integers(1, 40)))) for _ in range(600)] + ["x" * 48, "y" * 49, "z"]
+    monkeypatch.setattr(bpe, "ROWS", 64)
+    assert [np.frombuffer(b, "<u4").tolist() for b in vocab.merge_all(words)] == [vocab.merge(w) for w in words]
+    assert vocab.merge_all([]) == []
+    lexicon = bpe.Lexicon.mapped(bpe.Lexicon.build({w: vocab.merge(w) for w in words[::2]}))
+    assert lexicon.get_all(words) == [lexicon.get(w) for w in words]
+    assert lexicon.get_all([words[0][:-1] + "q", "", words[0] + "a"]) == [None, None, None]
+    assert bpe.Lexicon.mapped(bpe.Lexicon.build({})).get_all(["a"]) == [None]
+
+    monkeypatch.setattr(bpe, "WORD_CACHE", 50)
+    monkeypatch.setattr(bpe, "PORTION_CHARS", 200)
+    texts = [" ".join(r.choice(words, 30)) + ",<|endoftext|>The. \u039f\u0394\u039f\u03a3" for _ in range(40)] + [None, "", " "]
+    coder, single = bpe.Encoder(vocab, lexicon), bpe.Encoder(vocab, lexicon)
+    for text, row in zip(texts, bpe._digests(coder, bpe.Decoder(coder), texts, True), strict=True):
+        assert row[0].astype("<u4").tobytes() == single.encode(text or "")
+
+
 def test_no_operator_changes_the_session(spark, sf):
     """Queries are built one after another; none leaves a setting behind."""
     before = dict(spark.sparkContext.getConf().getAll()) | {"b": spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")}
